@@ -1,0 +1,18 @@
+"""Percentage helpers shared by the report and the dashboard operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def round2(c: Column) -> Column:
+    return F.round(c, 2)
+
+
+def pct(part: Column, total: Column, digits: int | None = 2) -> Column:
+    """``part / total * 100`` rounded HALF_UP; 0.0 when the total is 0 or NULL."""
+    value = part.cast("double") / total.cast("double") * F.lit(100.0)
+    if digits is not None:
+        value = F.round(value, digits)
+    return F.when(F.coalesce(total, F.lit(0)) > 0, value).otherwise(F.lit(0.0))
