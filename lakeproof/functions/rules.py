@@ -1,16 +1,18 @@
-"""Compile rule records into boolean Spark Columns.
+"""Compile rule records into Spark SQL predicates.
 
-Every compiled condition is null-safe: a hard condition is
-``isNotNull & predicate`` folded to False when the predicate is NULL, so
-``filter(ok)`` and ``filter(~ok)`` split a batch exactly. A soft condition is
-the bare predicate; its invalid count is ``isNotNull & ~predicate``, so a
-NULL in an optional column is neither valid nor invalid.
+Every compiled hard condition is null-safe: ``isNotNull AND predicate``
+folded to FALSE when the predicate is NULL, so ``filter(ok)`` and
+``filter(NOT ok)`` split a batch exactly. A soft condition is the bare
+predicate; its invalid count is ``isNotNull AND NOT predicate``, so a NULL in
+an optional column is neither valid nor invalid.
+
+Conditions are kept as SQL expression text (one JVM call per projection);
+``condition()``/``ok()``/``reason()`` wrap them as Columns for callers that
+compose with the DataFrame API.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,43 +20,52 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakeproof.contract import REASON_SEPARATOR, Contract, Rule
+from lakeproof.functions.sqltext import ident, literal, string
 
 
-def as_of_literal(as_of: str | datetime | None) -> Column:
-    """One instant per batch; read in the session time zone."""
+def as_of_sql(as_of: str | datetime | None) -> str:
+    """One instant per batch, read in the session time zone."""
     if as_of is None:
-        return F.current_timestamp()
+        return "current_timestamp()"
     if isinstance(as_of, datetime):
         as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.lit(as_of).cast("timestamp")
+    return f"CAST({string(as_of)} AS TIMESTAMP)"
+
+
+def as_of_literal(as_of: str | datetime | None) -> Column:
+    return F.expr(as_of_sql(as_of))
 
 
-def predicate(rule: Rule, as_of: Column) -> Column:
-    c = F.col(rule.column)
+def predicate_sql(rule: Rule, as_of: str) -> str:
+    c = ident(rule.column)
     a = rule.args
     if rule.kind == "not_null":
-        return c.isNotNull()
+        return f"{c} IS NOT NULL"
     if rule.kind == "min":
-        return c >= F.lit(a["value"])
+        return f"{c} >= {literal(a['value'])}"
     if rule.kind == "positive":
-        return c > F.lit(0)
+        return f"{c} > 0"
     if rule.kind == "between":
-        return c.between(F.lit(a["low"]), F.lit(a["high"]))
+        return f"{c} BETWEEN {literal(a['low'])} AND {literal(a['high'])}"
     if rule.kind == "not_after":
-        return c <= as_of
+        return f"{c} <= {as_of}"
     if rule.kind == "in_domain":
-        return c.isin(list(a["values"]))
+        return f"{c} IN ({', '.join(literal(v) for v in a['values'])})"
     if rule.kind == "matches":
-        return c.rlike(a["pattern"])
+        return f"{c} RLIKE {string(a['pattern'])}"
     raise ValueError(rule.kind)
 
 
+def predicate(rule: Rule, as_of: str | datetime | None = None) -> Column:
+    return F.expr(predicate_sql(rule, as_of_sql(as_of)))
+
+
 @dataclass
 class CompiledRules:
-    """Conditions per ruled column, in contract order."""
+    """SQL conditions per ruled column, in contract order."""
 
-    hard: dict[str, Column]
-    soft: dict[str, Column]
+    hard: dict[str, str]
+    soft: dict[str, str]
     messages: dict[str, str]
     categorical: list[str]
     numeric: list[str]
@@ -66,21 +77,29 @@ class CompiledRules:
     def severity(self, column: str) -> str:
         return "hard" if column in self.hard else "soft"
 
-    def condition(self, column: str) -> Column:
+    def condition_sql(self, column: str) -> str:
         return self.hard[column] if column in self.hard else self.soft[column]
 
-    def ok(self) -> Column:
-        """Conjunction of all hard conditions (True when there are none)."""
+    def ok_sql(self) -> str:
+        """Conjunction of all hard conditions (TRUE when there are none)."""
+        return " AND ".join(f"({c})" for c in self.hard.values()) or "TRUE"
+
+    def reason_sql(self) -> str:
+        """Failed hard-rule messages joined in fixed order; passing rules skipped."""
         if not self.hard:
-            return F.lit(True)
-        return functools.reduce(operator.and_, self.hard.values())
+            return "''"
+        parts = ", ".join(f"CASE WHEN NOT ({cond}) THEN {string(self.messages[name])} END"
+                          for name, cond in self.hard.items())
+        return f"concat_ws({string(REASON_SEPARATOR)}, array({parts}))"
+
+    def condition(self, column: str) -> Column:
+        return F.expr(self.condition_sql(column))
+
+    def ok(self) -> Column:
+        return F.expr(self.ok_sql())
 
     def reason(self) -> Column:
-        """Failed hard-rule messages joined in fixed order; passing rules skipped."""
-        parts = [F.when(~cond, F.lit(self.messages[name])) for name, cond in self.hard.items()]
-        if not parts:
-            return F.lit("")
-        return F.concat_ws(REASON_SEPARATOR, F.array(*parts))
+        return F.expr(self.reason_sql())
 
 
 def compile_rules(contract: Contract, columns, as_of: str | datetime | None = None) -> CompiledRules:
@@ -89,18 +108,17 @@ def compile_rules(contract: Contract, columns, as_of: str | datetime | None = No
     Hard rules always apply (required columns are enforced at ingest); a soft
     rule exists only when its column is present.
     """
-    instant = as_of_literal(as_of)
+    instant = as_of_sql(as_of)
     grouped: dict[str, list[Rule]] = {}
     for rule in contract.rules_for(columns):
         grouped.setdefault(rule.column, []).append(rule)
-    hard: dict[str, Column] = {}
-    soft: dict[str, Column] = {}
+    hard: dict[str, str] = {}
+    soft: dict[str, str] = {}
     messages: dict[str, str] = {}
     for name, rules in grouped.items():
-        preds = [predicate(r, instant) for r in rules]
-        pred = functools.reduce(operator.and_, preds)
+        pred = " AND ".join(f"({predicate_sql(r, instant)})" for r in rules)
         if rules[0].severity == "hard":
-            hard[name] = F.coalesce(F.col(name).isNotNull() & pred, F.lit(False))
+            hard[name] = f"coalesce({ident(name)} IS NOT NULL AND {pred}, FALSE)"
             messages[name] = rules[0].message or f"invalid {name}"
         else:
             soft[name] = pred

@@ -2,60 +2,60 @@
 
 Each function takes a frame of reports (schema ``REPORT_DDL``, one row per
 batch, any number of batches) and returns a table; batch identity columns
-(``execution_date``, ``batch_id`` when present) are carried through, so the
+(``batch_id``, ``execution_date`` when present) are carried through, so the
 same operator serves one batch or the whole history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.contract import (CATALOG_OPTIONAL_WORDS, CATALOG_REQUIRED_WORDS,
                                 DASHBOARD_FALLBACK_THRESHOLD_PCT, LOCAL_TIME_FORMAT,
                                 LOCAL_TIME_OFFSET_HOURS, STATUS_YELLOW_BAND_PCT,
                                 TX_DOMAINS, TX_REQUIRED_COLUMNS)
-from lakeproof.functions.metrics import pct
+from lakeproof.functions.sqltext import ident, literal, pct, string
 
 _BATCH_KEYS = ("batch_id", "execution_date")
+_THRESHOLD = (f"coalesce(metrics.circuit_breaker_threshold_pct, "
+              f"{literal(DASHBOARD_FALLBACK_THRESHOLD_PCT)})")
 
 
 def _keys(reports: DataFrame) -> list[str]:
-    return [k for k in _BATCH_KEYS if k in reports.columns]
-
-
-def _threshold() -> Column:
-    return F.coalesce(F.col("metrics.circuit_breaker_threshold_pct"),
-                      F.lit(DASHBOARD_FALLBACK_THRESHOLD_PCT))
+    return [ident(k) for k in _BATCH_KEYS if k in reports.columns]
 
 
 def kpi_volumes(reports: DataFrame) -> DataFrame:
     """Ingested = distinct + duplicates; quarantine = errors; clean = distinct - errors."""
-    dup = F.coalesce(F.col("metrics.duplicate_records"), F.lit(0))
-    ingested = F.col("metrics.total_records") + dup
-    quarantined = F.col("metrics.total_errors")
-    clean = F.col("metrics.total_records") - quarantined
-    return reports.select(
+    dup = "coalesce(metrics.duplicate_records, 0)"
+    ingested = f"(metrics.total_records + {dup})"
+    clean = "(metrics.total_records - metrics.total_errors)"
+    return reports.selectExpr(
         *_keys(reports),
-        ingested.alias("total_ingested"), dup.alias("duplicates"),
-        quarantined.alias("quarantine"), clean.alias("clean_records"),
-        pct(dup, ingested).alias("pct_duplicates"),
-        pct(quarantined, ingested).alias("pct_quarantine"),
-        pct(clean, ingested).alias("pct_clean"),
+        f"{ingested} AS total_ingested", f"{dup} AS duplicates",
+        "metrics.total_errors AS quarantine", f"{clean} AS clean_records",
+        f"{pct(dup, ingested)} AS pct_duplicates",
+        f"{pct('metrics.total_errors', ingested)} AS pct_quarantine",
+        f"{pct(clean, ingested)} AS pct_clean",
     )
 
 
 def batch_status(reports: DataFrame) -> DataFrame:
     """Batch passes when conformity reaches the threshold (95.0 when absent)."""
-    conformity = F.col("metrics.conformity_rate_pct")
-    passed = conformity >= _threshold()
-    return reports.select(*_keys(reports), conformity.alias("conformity_pct"),
-                          _threshold().alias("threshold_pct"), passed.alias("passed"),
-                          F.when(passed, F.lit("ok")).otherwise(F.lit("fail")).alias("status"))
+    passed = f"metrics.conformity_rate_pct >= {_THRESHOLD}"
+    return reports.selectExpr(*_keys(reports), "metrics.conformity_rate_pct AS conformity_pct",
+                              f"{_THRESHOLD} AS threshold_pct", f"{passed} AS passed",
+                              f"CASE WHEN {passed} THEN 'ok' ELSE 'fail' END AS status")
 
 
-def band(value: Column, threshold: Column, yellow: float = STATUS_YELLOW_BAND_PCT) -> Column:
+def band_sql(value: str, threshold: str, yellow: float = STATUS_YELLOW_BAND_PCT) -> str:
     """green at or above the threshold, yellow within ``yellow`` points below, else red."""
+    return (f"CASE WHEN {value} >= {threshold} THEN 'green' "
+            f"WHEN {value} >= {threshold} - {literal(float(yellow))} THEN 'yellow' ELSE 'red' END")
+
+
+def band(value: Column, threshold: Column, yellow: float = STATUS_YELLOW_BAND_PCT) -> Column:
     return (F.when(value >= threshold, F.lit("green"))
             .when(value >= threshold - F.lit(yellow), F.lit("yellow"))
             .otherwise(F.lit("red")))
@@ -63,77 +63,69 @@ def band(value: Column, threshold: Column, yellow: float = STATUS_YELLOW_BAND_PC
 
 def column_rows(reports: DataFrame) -> DataFrame:
     """One row per batch and ruled column, with the batch totals alongside."""
-    return reports.select(
-        *_keys(reports), F.col("metrics.total_records").alias("total_records"),
-        _threshold().alias("threshold_pct"),
-        F.explode(F.col("column_quality")).alias("column_name", "q"),
-    ).select(*_keys(reports), "total_records", "threshold_pct", "column_name", "q.*")
+    keys = _keys(reports)
+    rows = reports.selectExpr(*keys, "metrics.total_records AS total_records",
+                              f"{_THRESHOLD} AS threshold_pct",
+                              "explode(column_quality) AS (column_name, q)")
+    return rows.selectExpr(*keys, "total_records", "threshold_pct", "column_name", "q.*")
 
 
-def _validity_nonnull(total: Column, valid: Column, nulls: Column) -> Column:
-    non_null = total - nulls
-    return F.when(non_null > 0, valid.cast("double") / non_null.cast("double") * F.lit(100.0)) \
-        .otherwise(F.lit(100.0))
+_VALIDITY_NN = ("CASE WHEN total_records - `null` > 0 "
+                "THEN CAST(valid AS DOUBLE) / CAST(total_records - `null` AS DOUBLE) * 100.0D ELSE 100.0D END")
 
 
 def validity_nonnull(reports: DataFrame) -> DataFrame:
     """Validity over non-null values, unrounded; 100 when a column has no values."""
-    rows = column_rows(reports)
-    return rows.select(*_keys(reports), "column_name",
-                       _validity_nonnull(F.col("total_records"), F.col("valid"), F.col("null"))
-                       .alias("validity_nonnull_pct"))
+    return column_rows(reports).selectExpr(*_keys(reports), "column_name",
+                                           f"{_VALIDITY_NN} AS validity_nonnull_pct")
 
 
 def column_status(reports: DataFrame) -> DataFrame:
     """Completeness and non-null validity per column with their three-band status."""
-    rows = column_rows(reports)
-    validity = _validity_nonnull(F.col("total_records"), F.col("valid"), F.col("null"))
-    return rows.select(
-        *_keys(reports), "column_name", "completeness_pct",
-        validity.alias("validity_nonnull_pct"),
-        band(F.col("completeness_pct"), F.col("threshold_pct")).alias("completeness_status"),
-        band(validity, F.col("threshold_pct")).alias("validity_status"),
+    return column_rows(reports).selectExpr(
+        *_keys(reports), "column_name", "completeness_pct", f"{_VALIDITY_NN} AS validity_nonnull_pct",
+        f"{band_sql('completeness_pct', 'threshold_pct')} AS completeness_status",
+        f"{band_sql(f'({_VALIDITY_NN})', 'threshold_pct')} AS validity_status",
     )
 
 
 def issue_ranking(reports: DataFrame) -> DataFrame:
     """Columns by invalid + null occurrences, most first (name breaks ties)."""
-    rows = column_rows(reports).withColumn("total_issues", F.col("invalid") + F.col("null"))
-    w = Window.partitionBy(*_keys(reports)).orderBy(F.col("total_issues").desc(), F.col("column_name"))
-    return rows.select(*_keys(reports), "column_name", "invalid", "null", "total_issues",
-                       F.row_number().over(w).alias("issue_rank"))
+    keys = _keys(reports)
+    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return column_rows(reports).selectExpr(
+        *keys, "column_name", "invalid", "`null`", "invalid + `null` AS total_issues",
+        f"row_number() OVER ({part}ORDER BY invalid + `null` DESC, column_name) AS issue_rank")
 
 
 def required_optional(reports: DataFrame, required=TX_REQUIRED_COLUMNS) -> DataFrame:
     """Split ruled columns into the required (blocking) and optional groups."""
-    rows = column_rows(reports)
-    group = F.when(F.col("column_name").isin(list(required)), F.lit("required")).otherwise(F.lit("optional"))
-    return rows.select(*_keys(reports), "column_name", group.alias("column_group"))
+    names = ", ".join(string(c) for c in required)
+    return column_rows(reports).selectExpr(
+        *_keys(reports), "column_name",
+        f"CASE WHEN column_name IN ({names}) THEN 'required' ELSE 'optional' END AS column_group")
 
 
 def audit_counts(reports: DataFrame) -> DataFrame:
     """Alerts, missing and invalid occurrences; 0 when absent."""
-    return reports.select(
-        *_keys(reports),
-        F.coalesce(F.col("metrics.total_alerts"), F.lit(0)).alias("alerts"),
-        F.coalesce(F.col("anomalies.missing_values"), F.lit(0)).alias("missing_values"),
-        F.coalesce(F.col("anomalies.invalid_values"), F.lit(0)).alias("invalid_values"),
-    )
+    return reports.selectExpr(*_keys(reports),
+                              "coalesce(metrics.total_alerts, 0) AS alerts",
+                              "coalesce(anomalies.missing_values, 0) AS missing_values",
+                              "coalesce(anomalies.invalid_values, 0) AS invalid_values")
 
 
 def schema_drift_alert(reports: DataFrame) -> DataFrame:
     """Number and names of uncatalogued columns, and whether to alert."""
-    unmapped = F.coalesce(F.col("metrics.unmapped_columns"), F.array().cast("array<string>"))
-    return reports.select(*_keys(reports), F.size(unmapped).alias("unmapped_count"),
-                          F.concat_ws(",", unmapped).alias("unmapped_names"),
-                          (F.size(unmapped) > 0).alias("drift_alert"))
+    unmapped = "coalesce(metrics.unmapped_columns, CAST(array() AS ARRAY<STRING>))"
+    return reports.selectExpr(*_keys(reports), f"size({unmapped}) AS unmapped_count",
+                              f"concat_ws(',', {unmapped}) AS unmapped_names",
+                              f"size({unmapped}) > 0 AS drift_alert")
 
 
-def _domain_map(domains: dict[str, list[str]]) -> Column:
-    entries = []
-    for name, values in domains.items():
-        entries += [F.lit(name), F.array(*[F.lit(v) for v in values])]
-    return F.create_map(*entries)
+def _domain_map(domains: dict[str, list[str]]) -> str:
+    entries = ", ".join(f"{string(k)}, array({', '.join(string(v) for v in vs)})"
+                        for k, vs in domains.items())
+    return f"map({entries})"
 
 
 def category_drift(reports: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
@@ -142,31 +134,34 @@ def category_drift(reports: DataFrame, domains: dict[str, list[str]] = TX_DOMAIN
     A profiled column with no declared domain has an empty expectation, so
     all its values are reported.
     """
-    found = reports.select(*_keys(reports),
-                           F.explode(F.col("eda.categorical")).alias("column_name", "found"))
-    expected = F.coalesce(F.element_at(_domain_map(domains), F.col("column_name")),
-                          F.array().cast("array<string>"))
-    return found.select(*_keys(reports), "column_name",
-                        F.explode(F.array_except(F.col("found"), expected)).alias("value"))
+    keys = _keys(reports)
+    found = reports.selectExpr(*keys, "explode(eda.categorical) AS (column_name, found)")
+    expected = f"coalesce(element_at({_domain_map(domains)}, column_name), CAST(array() AS ARRAY<STRING>))"
+    return found.selectExpr(*keys, "column_name", f"explode(array_except(found, {expected})) AS value")
 
 
 def numeric_stats(reports: DataFrame) -> DataFrame:
     """(column_name, min, max, avg) from the report's numeric profile."""
-    return (reports.select(*_keys(reports), F.explode(F.col("eda.numeric")).alias("column_name", "s"))
-            .select(*_keys(reports), "column_name", "s.min", "s.max", "s.avg"))
+    keys = _keys(reports)
+    return (reports.selectExpr(*keys, "explode(eda.numeric) AS (column_name, s)")
+            .selectExpr(*keys, "column_name", "s.min", "s.max", "s.avg"))
 
 
-def local_time(text: Column, hours: int = LOCAL_TIME_OFFSET_HOURS,
-               fmt: str = LOCAL_TIME_FORMAT) -> Column:
+def local_time_sql(text: str, hours: int = LOCAL_TIME_OFFSET_HOURS, fmt: str = LOCAL_TIME_FORMAT) -> str:
     """ISO text shifted by ``hours`` and formatted; unparsable text returned as is."""
+    shifted = f"timestampadd(HOUR, {int(hours)}, try_cast({text} AS TIMESTAMP_NTZ))"
+    return f"coalesce(date_format({shifted}, {string(fmt)}), {text})"
+
+
+def local_time(text: Column, hours: int = LOCAL_TIME_OFFSET_HOURS, fmt: str = LOCAL_TIME_FORMAT) -> Column:
     parsed = text.try_cast("timestamp_ntz")
-    shifted = F.timestamp_add("HOUR", F.lit(hours), parsed)
-    return F.coalesce(F.date_format(shifted, fmt), text)
+    return F.coalesce(F.date_format(F.timestamp_add("HOUR", F.lit(hours), parsed), fmt), text)
 
 
 def catalog_listing(catalog: DataFrame) -> DataFrame:
     """Catalog rows with the mandatory flag classified (only layers having the field)."""
-    flag = F.lower(F.trim(F.col("obrigatorio")))
-    kind = (F.when(flag.isin(CATALOG_REQUIRED_WORDS), F.lit("required"))
-            .when(flag.isin(CATALOG_OPTIONAL_WORDS), F.lit("optional")))
-    return catalog.withColumn("mandatory", kind)
+    req = ", ".join(string(w) for w in CATALOG_REQUIRED_WORDS)
+    opt = ", ".join(string(w) for w in CATALOG_OPTIONAL_WORDS)
+    flag = "lower(trim(obrigatorio))"
+    return catalog.selectExpr(
+        "*", f"CASE WHEN {flag} IN ({req}) THEN 'required' WHEN {flag} IN ({opt}) THEN 'optional' END AS mandatory")

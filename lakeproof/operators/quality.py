@@ -10,13 +10,11 @@ tables (column quality, profiles, metrics) are projections of that one row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from lakeproof.contract import CIRCUIT_BREAKER_THRESHOLD_PCT
-from lakeproof.functions.metrics import pct
 from lakeproof.functions.rules import CompiledRules
+from lakeproof.functions.sqltext import ident, literal, pct, string, string_array, total
 from lakeproof.operators.shape import MULTIPLICITY
 from lakeproof.operators.split import OK
 
@@ -31,6 +29,10 @@ REPORT_DDL = (
     "eda struct<categorical map<string, array<string>>, "
     "numeric map<string, struct<min double, max double, avg double>>>"
 )
+_CQ_TYPE = ("MAP<STRING, STRUCT<valid: BIGINT, `null`: BIGINT, invalid: BIGINT, "
+            "completeness_pct: DOUBLE, validity_pct: DOUBLE>>")
+_CAT_TYPE = "MAP<STRING, ARRAY<STRING>>"
+_NUM_TYPE = "MAP<STRING, STRUCT<min: DOUBLE, max: DOUBLE, avg: DOUBLE>>"
 
 
 def _n_null(c: str) -> str:
@@ -43,95 +45,94 @@ def _n_invalid(c: str) -> str:
 
 def batch_stats(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
     """One-row aggregate with every count and statistic of the batch."""
-    ok = F.col(OK) if OK in flagged.columns else rules.ok()
-    incoming = (F.coalesce(F.sum(MULTIPLICITY), F.lit(0)).cast("bigint")
-                if MULTIPLICITY in flagged.columns else F.count(F.lit(1)))
-    aggs: list[Column] = [
-        F.count(F.lit(1)).alias("total_records"),
-        incoming.alias("total_incoming"),
-        F.count_if(ok).alias("valid_records"),
-    ]
+    ok = ident(OK) if OK in flagged.columns else f"({rules.ok_sql()})"
+    incoming = (f"CAST(coalesce(sum({ident(MULTIPLICITY)}), 0) AS BIGINT)"
+                if MULTIPLICITY in flagged.columns else "count(1)")
+    exprs = ["count(1) AS total_records", f"{incoming} AS total_incoming",
+             f"count_if({ok}) AS valid_records"]
     for c in rules.columns:
-        cond = rules.condition(c)
-        aggs.append(F.count_if(F.col(c).isNull()).alias(_n_null(c)))
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~cond).alias(_n_invalid(c)))
+        exprs.append(f"count_if({ident(c)} IS NULL) AS {_n_null(c)}")
+        exprs.append(f"count_if({ident(c)} IS NOT NULL AND NOT ({rules.condition_sql(c)})) AS {_n_invalid(c)}")
     for c in rules.numeric:
-        aggs += [F.min(c).cast("double").alias(f"min__{c}"),
-                 F.max(c).cast("double").alias(f"max__{c}"),
-                 F.avg(c).alias(f"avg__{c}")]
+        exprs += [f"CAST(min({ident(c)}) AS DOUBLE) AS {ident('min__' + c)}",
+                  f"CAST(max({ident(c)}) AS DOUBLE) AS {ident('max__' + c)}",
+                  f"avg({ident(c)}) AS {ident('avg__' + c)}"]
     for c in rules.categorical:
-        aggs.append(F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"cat__{c}"))
-    return flagged.agg(*aggs)
+        exprs.append(f"sort_array(collect_set(CAST({ident(c)} AS STRING))) AS {ident('cat__' + c)}")
+    return flagged.selectExpr(*exprs)
+
+
+def _valid(c: str) -> str:
+    return f"(total_records - {_n_null(c)} - {_n_invalid(c)})"
+
+
+def _quality_struct(c: str) -> str:
+    return (f"named_struct('valid', {_valid(c)}, 'null', {_n_null(c)}, 'invalid', {_n_invalid(c)}, "
+            f"'completeness_pct', {pct(f'total_records - {_n_null(c)}', 'total_records')}, "
+            f"'validity_pct', {pct(_valid(c), 'total_records')})")
 
 
 def column_quality(stats: DataFrame, rules: CompiledRules) -> DataFrame:
     """(column_name, severity, valid, null, invalid, completeness_pct, validity_pct)."""
-    entries = [F.struct(F.lit(c).alias("column_name"), F.lit(rules.severity(c)).alias("severity"),
-                        F.col(_n_null(c)).alias("null"), F.col(_n_invalid(c)).alias("invalid"))
-               for c in rules.columns]
-    total = F.col("total_records")
-    long = stats.select(total, F.inline(F.array(*entries)))
-    long = long.withColumn("valid", total - F.col("null") - F.col("invalid"))
-    return long.select(
-        "column_name", "severity", "valid", "null", "invalid",
-        pct(total - F.col("null"), total).alias("completeness_pct"),
-        pct(F.col("valid"), total).alias("validity_pct"),
-    )
+    entries = ", ".join(
+        f"named_struct('column_name', {string(c)}, 'severity', {string(rules.severity(c))}, "
+        f"'valid', {_valid(c)}, 'null', {_n_null(c)}, 'invalid', {_n_invalid(c)}, "
+        f"'completeness_pct', {pct(f'total_records - {_n_null(c)}', 'total_records')}, "
+        f"'validity_pct', {pct(_valid(c), 'total_records')})"
+        for c in rules.columns)
+    return stats.selectExpr(f"inline(array({entries}))")
 
 
-def _sum_cols(names: list[str]) -> Column:
-    total: Column = F.lit(0).cast("bigint")
-    for n in names:
-        total = total + F.col(n)
-    return total
+def _totals(rules: CompiledRules) -> dict[str, str]:
+    return {
+        "missing_values": total([_n_null(c) for c in rules.columns]),
+        "invalid_values": total([_n_invalid(c) for c in rules.columns]),
+        "total_alerts": total([_n_invalid(c) for c in rules.soft]),
+    }
 
 
 def anomaly_totals(stats: DataFrame, rules: CompiledRules) -> DataFrame:
     """(missing_values, invalid_values, total_alerts) over all ruled columns."""
-    return stats.select(
-        _sum_cols([_n_null(c) for c in rules.columns]).alias("missing_values"),
-        _sum_cols([_n_invalid(c) for c in rules.columns]).alias("invalid_values"),
-        _sum_cols([_n_invalid(c) for c in rules.soft]).alias("total_alerts"),
-    )
-
+    return stats.selectExpr(*[f"{e} AS {n}" for n, e in _totals(rules).items()])
 
-def _unmapped_array(unmapped: list[str]) -> Column:
-    return F.array(*[F.lit(u) for u in unmapped]).cast("array<string>")
 
-
-def metrics_columns(rules: CompiledRules, unmapped: list[str],
-                    threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT) -> list[Column]:
-    total = F.col("total_records")
-    errors = total - F.col("valid_records")
-    return [
-        total.alias("total_records"),
-        errors.alias("total_errors"),
-        _sum_cols([_n_invalid(c) for c in rules.soft]).alias("total_alerts"),
-        (F.col("total_incoming") - total).alias("duplicate_records"),
-        _unmapped_array(unmapped).alias("unmapped_columns"),
-        pct(errors, total).alias("error_rate_pct"),
-        pct(F.col("valid_records"), total).alias("conformity_rate_pct"),
-        F.lit(float(threshold)).alias("circuit_breaker_threshold_pct"),
-    ]
+def _metrics(rules: CompiledRules, unmapped: list[str], threshold: float) -> dict[str, str]:
+    errors = "(total_records - valid_records)"
+    return {
+        "total_records": "total_records",
+        "total_errors": errors,
+        "total_alerts": _totals(rules)["total_alerts"],
+        "duplicate_records": "(total_incoming - total_records)",
+        "unmapped_columns": string_array(unmapped),
+        "error_rate_pct": pct(errors, "total_records"),
+        "conformity_rate_pct": pct("valid_records", "total_records"),
+        "circuit_breaker_threshold_pct": literal(float(threshold)),
+    }
 
 
 def batch_metrics(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None = None,
                   threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT) -> DataFrame:
     """One row: totals, errors, alerts, duplicates, drift, rates and threshold."""
-    return stats.select(*metrics_columns(rules, unmapped or [], threshold))
+    return stats.selectExpr(*[f"{e} AS {n}" for n, e in _metrics(rules, unmapped or [], threshold).items()])
 
 
-def _avg_or_zero(c: Column) -> Column:
+def _avg_or_zero(c: str) -> str:
     """Average rounded to 2; 0 when NULL or 0."""
-    return F.when(F.coalesce(c, F.lit(0.0)) == 0, F.lit(0.0)).otherwise(F.round(c, 2))
+    a = ident("avg__" + c)
+    return f"CASE WHEN coalesce({a}, 0.0D) = 0.0D THEN 0.0D ELSE round({a}, 2) END"
+
+
+def _numeric_struct(c: str) -> str:
+    return (f"named_struct('min', {ident('min__' + c)}, 'max', {ident('max__' + c)}, "
+            f"'avg', {_avg_or_zero(c)})")
 
 
 def numeric_profile(stats: DataFrame, rules: CompiledRules) -> DataFrame:
     """(column_name, min, max, avg) of the profiled numeric columns."""
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"min__{c}").alias("min"),
-                        F.col(f"max__{c}").alias("max"), _avg_or_zero(F.col(f"avg__{c}")).alias("avg"))
-               for c in rules.numeric]
-    return stats.select(F.inline(F.array(*entries)))
+    entries = ", ".join(
+        f"named_struct('column_name', {string(c)}, 'min', {ident('min__' + c)}, "
+        f"'max', {ident('max__' + c)}, 'avg', {_avg_or_zero(c)})" for c in rules.numeric)
+    return stats.selectExpr(f"inline(array({entries}))")
 
 
 def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -141,45 +142,30 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     grouped count with map-side combine; its size is the number of distinct
     values, whatever the number of rows.
     """
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns]))
-    return (df.select(pairs.alias("p")).select("p.column_name", "p.value")
-            .filter(F.col("value").isNotNull())
-            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    pairs = ", ".join(f"named_struct('column_name', {string(c)}, 'value', CAST({ident(c)} AS STRING))"
+                      for c in columns)
+    return (df.selectExpr(f"inline(array({pairs}))")
+            .where("value IS NOT NULL")
+            .groupBy("column_name", "value").count().withColumnRenamed("count", "n"))
 
 
 def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None = None,
               execution_date: str | None = None,
               threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT) -> DataFrame:
     """The batch report as a one-row nested frame (schema ``REPORT_DDL``)."""
-    total = F.col("total_records")
-    cq_entries = []
-    for c in rules.columns:
-        n_null, n_bad = F.col(_n_null(c)), F.col(_n_invalid(c))
-        n_valid = total - n_null - n_bad
-        cq_entries += [F.lit(c), F.struct(
-            n_valid.alias("valid"), n_null.alias("null"), n_bad.alias("invalid"),
-            pct(total - n_null, total).alias("completeness_pct"),
-            pct(n_valid, total).alias("validity_pct"))]
-    cat_entries = []
-    for c in rules.categorical:
-        cat_entries += [F.lit(c), F.col(f"cat__{c}")]
-    num_entries = []
-    for c in rules.numeric:
-        num_entries += [F.lit(c), F.struct(F.col(f"min__{c}").alias("min"), F.col(f"max__{c}").alias("max"),
-                                           _avg_or_zero(F.col(f"avg__{c}")).alias("avg"))]
-    executed = F.lit(execution_date) if execution_date else F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    report = stats.select(
-        executed.alias("execution_date"),
-        F.struct(*metrics_columns(rules, unmapped or [], threshold)).alias("metrics"),
-        F.struct(_sum_cols([_n_null(c) for c in rules.columns]).alias("missing_values"),
-                 _sum_cols([_n_invalid(c) for c in rules.columns]).alias("invalid_values")).alias("anomalies"),
-        F.create_map(*cq_entries).alias("column_quality"),
-        F.struct(F.create_map(*cat_entries).cast("map<string,array<string>>").alias("categorical"),
-                 F.create_map(*num_entries).cast("map<string,struct<min:double,max:double,avg:double>>")
-                 .alias("numeric")).alias("eda"),
+    metrics = _metrics(rules, unmapped or [], threshold)
+    totals = _totals(rules)
+    cq = ", ".join(f"{string(c)}, {_quality_struct(c)}" for c in rules.columns)
+    cat = ", ".join(f"{string(c)}, {ident('cat__' + c)}" for c in rules.categorical)
+    num = ", ".join(f"{string(c)}, {_numeric_struct(c)}" for c in rules.numeric)
+    executed = (string(execution_date) if execution_date
+                else "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")")
+    return stats.selectExpr(
+        f"{executed} AS execution_date",
+        "named_struct(" + ", ".join(f"{string(n)}, {e}" for n, e in metrics.items()) + ") AS metrics",
+        f"named_struct('missing_values', {totals['missing_values']}, "
+        f"'invalid_values', {totals['invalid_values']}) AS anomalies",
+        f"CAST(map({cq}) AS {_CQ_TYPE}) AS column_quality",
+        f"named_struct('categorical', CAST(map({cat}) AS {_CAT_TYPE}), "
+        f"'numeric', CAST(map({num}) AS {_NUM_TYPE})) AS eda",
     )
-    schema = T.StructType.fromDDL(REPORT_DDL)
-    return report.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.functions.rules import CompiledRules
+from lakeproof.functions.sqltext import ident
 
 OK = "__ok"
 REASON = "rejection_reason"
@@ -18,7 +19,8 @@ def flag(df: DataFrame, rules: CompiledRules) -> DataFrame:
 
 def rule_flags(df: DataFrame, rules: CompiledRules, prefix: str = "ok_") -> DataFrame:
     """One boolean per ruled column: hard = passes, soft = NULL when the value is NULL."""
-    return df.withColumns({f"{prefix}{name}": rules.condition(name) for name in rules.columns})
+    return df.selectExpr("*", *[f"{rules.condition_sql(name)} AS {ident(prefix + name)}"
+                                for name in rules.columns])
 
 
 def valid(flagged: DataFrame) -> DataFrame:
@@ -33,10 +35,10 @@ def quarantine(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
 
 def reason_counts(quarantined: DataFrame) -> DataFrame:
     """Rejected rows per distinct reason text."""
-    return quarantined.groupBy(REASON).agg(F.count(F.lit(1)).alias("n"))
+    return quarantined.groupBy(REASON).count().withColumnRenamed("count", "n")
 
 
 def split_counts(flagged: DataFrame) -> DataFrame:
     """(valid_records, error_records) in one pass."""
-    return flagged.agg(F.count_if(F.col(OK)).alias("valid_records"),
-                       F.count_if(~F.col(OK)).alias("error_records"))
+    return flagged.selectExpr(f"count_if({ident(OK)}) AS valid_records",
+                              f"count_if(NOT {ident(OK)}) AS error_records")
