@@ -90,9 +90,15 @@ def main() -> None:
     def silver_layer():
         return spark.read.parquet(silver_once)
 
+    # Report history as the dashboard reads it: one report per batch on storage.
+    from lakeproof.sources.readers import read_reports
+    from lakeproof.sources.writers import write_report
+    history = scratch_path(spark, "bench-reports")
+    p0 = plan_silver(spark.read.parquet(bronze), TX_CONTRACT, AS_OF)
+    write_report(p0.report(p0.stats(), AS_OF), history, "20260101_000000_000000")
+
     def report_df():
-        p = plan_silver(spark.read.parquet(bronze), TX_CONTRACT, AS_OF)
-        return p.report(p.stats(), AS_OF)
+        return read_reports(spark, history)
 
     def run_all_job():
         run_all(spark, LakePaths(scratch_path(spark, "bench-runall")), TX_CONTRACT, AS_OF,

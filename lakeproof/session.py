@@ -64,3 +64,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "lakeproof-scratch", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    Map splits and shuffle partitions both target ``partition_bytes`` so a
+    task's share fits executor memory; AQE then coalesces partitions that
+    turn out small and splits skewed ones. At 100 TB and 512 MiB this is about
+    200k map tasks and 200k initial reducers before coalescing.
+    """
+    n = max(200, -(-int(input_bytes) // int(partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        **{k: v for k, v in ENGINE_CONF.items() if k != "spark.ui.enabled"},
+    }
