@@ -64,10 +64,13 @@ def band(value: Column, threshold: Column, yellow: float = STATUS_YELLOW_BAND_PC
 def column_rows(reports: DataFrame) -> DataFrame:
     """One row per batch and ruled column, with the batch totals alongside."""
     keys = _keys(reports)
-    rows = reports.selectExpr(*keys, "metrics.total_records AS total_records",
-                              f"{_THRESHOLD} AS threshold_pct",
-                              "explode(column_quality) AS (column_name, q)")
-    return rows.selectExpr(*keys, "total_records", "threshold_pct", "column_name", "q.*")
+    # Batch-level fields are lifted to top-level columns before the map is
+    # unnested: extracting them in the same projection as the generator trips
+    # nested-field pruning in Spark 4.1 (attribute not found at execution).
+    base = reports.selectExpr(*keys, "metrics.total_records AS total_records",
+                              f"{_THRESHOLD} AS threshold_pct", "column_quality")
+    rows = base.selectExpr(*keys, "total_records", "threshold_pct", "inline(map_entries(column_quality))")
+    return rows.selectExpr(*keys, "total_records", "threshold_pct", "key AS column_name", "value.*")
 
 
 _VALIDITY_NN = ("CASE WHEN total_records - `null` > 0 "

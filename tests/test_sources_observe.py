@@ -104,3 +104,15 @@ def test_issue_ranking_per_batch(spark):
     totals = [r["total_issues"] for r in rows]
     assert totals == sorted(totals, reverse=True)
     assert [r["issue_rank"] for r in rows] == list(range(1, 14))
+
+
+def test_column_ops_over_written_history(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    write_report(_report(spark), path, "20260101_000000_000001")
+    hist = read_reports(spark, path)
+    for op in (observe.column_status, observe.issue_ranking, observe.validity_nonnull,
+               observe.required_optional, observe.category_drift, observe.numeric_stats,
+               observe.kpi_volumes, observe.audit_counts, observe.schema_drift_alert):
+        op(hist).write.format("noop").mode("overwrite").save()
+    rows = observe.column_status(hist).collect()
+    assert len(rows) == 13 and all(r["batch_id"] == "20260101_000000_000001" for r in rows)
