@@ -42,14 +42,18 @@ class SilverResult:
 
 def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str,
                reports_path: str, contract: Contract = TX_CONTRACT, as_of=None,
-               batch_id: str | None = None, raw: DataFrame | None = None) -> SilverResult:
+               batch_id: str | None = None, raw: DataFrame | None = None,
+               materialize: str = "persist") -> SilverResult:
     """Dedup, type, validate, split, profile; write report, Silver and quarantine.
 
     Spark jobs: one aggregate (which also materialises the flagged rows),
-    one tiny report write, two layer writes.
+    one tiny report write, two layer writes. ``materialize="checkpoint"``
+    writes the flagged rows once to the shared checkpoint folder instead of
+    caching them on executors.
     """
     raw = raw if raw is not None else read_layer(spark, bronze_path)
-    plan = plan_silver(raw, contract, as_of).persist()
+    plan = plan_silver(raw, contract, as_of)
+    plan = plan.checkpoint() if materialize == "checkpoint" else plan.persist()
     try:
         stats = quality.batch_stats(plan.flagged, plan.rules).persist()
         executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()

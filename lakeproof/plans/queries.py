@@ -206,6 +206,29 @@ def q_numeric_stats(spark, sf_dir):
     return observe.numeric_stats(_report(spark, sf_dir))
 
 
+def q_report_metrics(spark, sf_dir):
+    """The report document's scalar fields, flattened."""
+    rep = _report(spark, sf_dir)
+    return rep.selectExpr("metrics.total_records", "metrics.total_errors", "metrics.total_alerts",
+                          "metrics.duplicate_records", "size(metrics.unmapped_columns) AS unmapped_count",
+                          "metrics.error_rate_pct", "metrics.conformity_rate_pct",
+                          "metrics.circuit_breaker_threshold_pct",
+                          "anomalies.missing_values", "anomalies.invalid_values")
+
+
+def q_report_categorical(spark, sf_dir):
+    """The report's categorical value lists, one row per (column, value, position)."""
+    rep = _report(spark, sf_dir)
+    return (rep.selectExpr("explode(eda.categorical) AS (column_name, found)")
+            .selectExpr("column_name", "posexplode(found) AS (position, value)"))
+
+
+def q_layer_preview_ordered(spark, sf_dir):
+    path = scratch_path(spark, "silver-preview")
+    write_layer(_plan(spark, sf_dir).valid(), path)
+    return preview(spark, path, 250, order_by=TX_COLS)
+
+
 def q_local_time(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.col("ts").cast("string"))
@@ -305,6 +328,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift_alert": q_schema_drift_alert,
     "category_drift": q_category_drift,
     "numeric_stats": q_numeric_stats,
+    "report_metrics": q_report_metrics,
+    "report_categorical": q_report_categorical,
+    "layer_preview_ordered": q_layer_preview_ordered,
     "local_time": q_local_time,
     "layer_preview": q_layer_preview,
     "run_all": q_run_all,
@@ -529,6 +555,17 @@ ORACLES: dict[str, str] = {
                   "'%d/%m/%Y %H:%M:%S'), txt) AS local_time FROM (SELECT event_id, CASE WHEN event_type = 'error' "
                   "THEN props ELSE CAST(ts AS VARCHAR) END AS txt FROM events)",
     "run_all": _with(_VALID) + _REGION,
+    "report_metrics": _with(_STATS, _CQ, _METRICS)
+                      + "SELECT m.total_records, total_errors, total_alerts, duplicate_records, 0 AS unmapped_count, "
+                        "error_rate_pct, conformity_rate_pct, circuit_breaker_threshold_pct, "
+                        '(SELECT sum("null") FROM cq)::BIGINT AS missing_values, '
+                        "(SELECT sum(invalid) FROM cq)::BIGINT AS invalid_values FROM metrics m",
+    "report_categorical": _with() + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS position, value "
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IS NOT NULL)"
+        for c in _CATEGORICAL),
+    "layer_preview_ordered": _with(_VALID) + f"SELECT * FROM valid ORDER BY " + ", ".join(
+        f'"{c}" ASC NULLS FIRST' for c in TX_COLS) + " LIMIT 250",
     "lineitem_column_quality": _lineitem_cq(),
     "lineitem_reason_counts": _lineitem_reasons(),
     "orders_latest_per_customer": "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM ("

@@ -68,6 +68,19 @@ class SilverPlan:
         self.flagged = self.flagged.persist(level)
         return self
 
+    def checkpoint(self) -> "SilverPlan":
+        """Write the flagged rows once to the shared checkpoint folder.
+
+        For very long lineages or clusters with frequent executor loss: the
+        aggregate and both writes then read a reliable copy instead of
+        recomputing lost blocks.
+        """
+        from lakeproof.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.flagged.sparkSession)
+        self.flagged = self.flagged.checkpoint(eager=True)
+        return self
+
     def unpersist(self) -> None:
         self.flagged.unpersist()
 

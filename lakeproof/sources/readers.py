@@ -74,12 +74,19 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
                        *[F.col("rec").getItem(f).alias(f) for f in CATALOG_FIELDS])
 
 
-def preview(spark: SparkSession, path: str, limit: int = PREVIEW_DEFAULT_LIMIT) -> DataFrame:
-    """The first ``limit`` rows of a layer, in no particular order."""
+def preview(spark: SparkSession, path: str, limit: int = PREVIEW_DEFAULT_LIMIT,
+            order_by: list[str] | None = None) -> DataFrame:
+    """The first ``limit`` rows of a layer, in no particular order.
+
+    With ``order_by`` the rows are the first under that order (planned as a
+    per-partition top-k, never a full sort).
+    """
     if limit <= 0:
         raise ValueError("limit must be positive")
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:
         raise FileNotFoundError(f"{MSG_LAYER_NOT_FOUND} ({path})") from exc
+    if order_by:
+        df = df.orderBy(*order_by)
     return df.limit(limit)

@@ -114,3 +114,12 @@ def test_run_all_stops_gold_when_breaker_trips(spark, mock_csv, tmp_path):
     import os
     assert not os.path.exists(paths.region_risk)
     assert TX_CONTRACT.threshold_pct == 80.0
+
+
+def test_silver_checkpoint_mode_same_result(spark, mock_csv, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"), source_csv=mock_csv)
+    bronze_ingest(spark, paths.source, paths.bronze)
+    result = silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports,
+                        materialize="checkpoint")
+    assert result.verdict() == {"conformity_pct": 12.5}
+    assert spark.read.parquet(paths.quarantine).count() == 7

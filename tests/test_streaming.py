@@ -43,3 +43,13 @@ def test_scale_conf():
     conf = scale_conf(100 * 10 ** 12)
     assert int(conf["spark.sql.shuffle.partitions"]) > 100_000
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_cli_run_and_report(spark, mock_csv, tmp_path, capsys):
+    from lakeproof.__main__ import main
+
+    base = str(tmp_path / "lake")
+    assert main(["run", "--base", base, "--source", mock_csv]) == 2
+    assert "Circuit Breaker acionado" in capsys.readouterr().err
+    assert main(["report", "--base", base]) == 0
+    assert "conformity_pct" in capsys.readouterr().out
