@@ -45,6 +45,11 @@ def _n_invalid(c: str) -> str:
 
 def batch_stats(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
     """One-row aggregate with every count and statistic of the batch."""
+    return flagged.selectExpr(*batch_stats_exprs(flagged, rules))
+
+
+def batch_stats_exprs(flagged: DataFrame, rules: CompiledRules) -> list[str]:
+    """The aggregate expressions of ``batch_stats`` (also usable with ``observe``)."""
     ok = ident(OK) if OK in flagged.columns else f"({rules.ok_sql()})"
     incoming = (f"CAST(coalesce(sum({ident(MULTIPLICITY)}), 0) AS BIGINT)"
                 if MULTIPLICITY in flagged.columns else "count(1)")
@@ -59,7 +64,7 @@ def batch_stats(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
                   f"avg({ident(c)}) AS {ident('avg__' + c)}"]
     for c in rules.categorical:
         exprs.append(f"sort_array(collect_set(CAST({ident(c)} AS STRING))) AS {ident('cat__' + c)}")
-    return flagged.selectExpr(*exprs)
+    return exprs
 
 
 def _valid(c: str) -> str:

@@ -9,11 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from lakeproof.contract import TX_CONTRACT, Contract
 from lakeproof.operators import gold, quality
 from lakeproof.operators.gates import circuit_breaker, require_columns, require_non_empty
+from lakeproof.operators.shape import MULTIPLICITY
+from lakeproof.operators.split import valid
 from lakeproof.plans.silver import SilverPlan, plan_silver
 from lakeproof.sources.paths import LakePaths
 from lakeproof.sources.readers import read_layer, read_raw
@@ -44,10 +47,13 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
                reports_path: str, contract: Contract = TX_CONTRACT, as_of=None,
                batch_id: str | None = None, raw: DataFrame | None = None,
                materialize: str = "persist") -> SilverResult:
-    """Dedup, type, validate, split, profile; write report, Silver and quarantine.
+    """Dedup, type, validate, split, profile; write Silver, quarantine and the report.
 
-    Spark jobs: one aggregate (which also materialises the flagged rows),
-    one tiny report write, two layer writes. ``materialize="checkpoint"``
+    Two passes over the batch: the Silver write computes the dedup shuffle,
+    fills the cache of flagged rows and, through ``observe``, every count and
+    statistic of the report (one row of metrics, collected from the write's
+    own tasks); the quarantine write reads the cache. The report is then a
+    one-row frame built from those metrics. ``materialize="checkpoint"``
     writes the flagged rows once to the shared checkpoint folder instead of
     caching them on executors.
     """
@@ -55,13 +61,17 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     plan = plan_silver(raw, contract, as_of)
     plan = plan.checkpoint() if materialize == "checkpoint" else plan.persist()
     try:
-        stats = quality.batch_stats(plan.flagged, plan.rules).persist()
+        observation = Observation("silver_batch_stats")
+        exprs = quality.batch_stats_exprs(plan.flagged, plan.rules)
+        observed = plan.flagged.observe(observation, *[F.expr(e) for e in exprs])
+        write_layer(valid(observed).drop(MULTIPLICITY), silver_path)
+        write_layer(plan.quarantine(), quarantine_path)
+        schema = quality.batch_stats(plan.flagged, plan.rules).schema
+        values = observation.get
+        stats = spark.createDataFrame([tuple(values[f] for f in schema.fieldNames())], schema)
         executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
         batch_id = write_report(plan.report(stats, executed), reports_path, batch_id)
-        write_layer(plan.valid(), silver_path)
-        write_layer(plan.quarantine(), quarantine_path)
         metrics = quality.batch_metrics(stats, plan.rules, plan.unmapped, contract.threshold_pct).first()
-        stats.unpersist()
     finally:
         plan.unpersist()
     return SilverResult(float(metrics["conformity_rate_pct"]), batch_id, plan)

@@ -1,12 +1,13 @@
-"""The fused Silver plan: one shuffle, one aggregate, two writes.
+"""The fused Silver plan: one shuffle, stats as one aggregate, two writes.
 
     raw --groupBy(all columns) with copy count--> distinct rows   (the only shuffle)
         --lenient casts--> typed --rule flags--> flagged          (narrow, codegen)
     flagged --one global aggregate--> batch stats (1 row)          (map-side partials)
     flagged --filter ok--> Silver      flagged --filter not ok--> quarantine
 
-``flagged`` is materialised once so the aggregate and both writes read it
-instead of redoing the dedup shuffle each time.
+``flagged`` is materialised once so both writes read it instead of redoing
+the dedup shuffle; the Silver job (``plans.jobs.silver_job``) observes the
+batch stats during the Silver write rather than running the aggregate apart.
 """
 
 from __future__ import annotations
