@@ -53,6 +53,10 @@ def coerce(df: DataFrame, column: str, type_name: str) -> Column:
         return lenient_int(c, source)
     if type_name == "timestamp":
         return lenient_timestamp(c, source)
+    if type_name == "timestamp_ntz":
+        if isinstance(source, T.TimestampNTZType):
+            return c
+        return lenient_timestamp(c, source).cast("timestamp_ntz")
     if type_name == "string":
         return lenient_string(c)
     return c.try_cast(type_name)

@@ -254,7 +254,7 @@ LINEITEM_CONTRACT = Contract(
               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
     required=["l_orderkey", "l_quantity", "l_extendedprice", "l_shipdate"],
     types={"l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
-           "l_tax": "double", "l_shipdate": "timestamp"},
+           "l_tax": "double", "l_shipdate": "timestamp_ntz"},
     rules=[
         Rule("l_quantity", "positive", {}, "hard", "bad quantity"),
         Rule("l_extendedprice", "min", {"value": 0}, "hard", "bad price"),
