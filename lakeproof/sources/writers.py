@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -20,8 +19,11 @@ def new_batch_id(now: datetime | None = None) -> str:
 
 
 def write_report(report: DataFrame, path: str, batch_id: str | None = None) -> str:
-    """Append one report row under ``path/batch_id=<id>/`` as JSON; returns the id."""
+    """Write one report row as JSON under ``path/batch_id=<id>/``; returns the id.
+
+    Each batch owns its folder, so the history only grows by new batches and
+    a retried batch replaces its own report instead of adding a second row.
+    """
     batch_id = batch_id or new_batch_id()
-    (report.withColumn("batch_id", F.lit(batch_id)).coalesce(1)
-     .write.mode("append").partitionBy("batch_id").json(path))
+    report.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/batch_id={batch_id}")
     return batch_id

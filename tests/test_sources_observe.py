@@ -116,3 +116,10 @@ def test_column_ops_over_written_history(spark, tmp_path):
         op(hist).write.format("noop").mode("overwrite").save()
     rows = observe.column_status(hist).collect()
     assert len(rows) == 13 and all(r["batch_id"] == "20260101_000000_000001" for r in rows)
+
+
+def test_report_rewrite_same_batch_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    write_report(_report(spark), path, "20260101_000000_000001")
+    write_report(_report(spark), path, "20260101_000000_000001")
+    assert read_reports(spark, path).count() == 1
