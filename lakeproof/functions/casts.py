@@ -65,3 +65,8 @@ def coerce(df: DataFrame, column: str, type_name: str) -> Column:
 def numeric_text_key(c: Column) -> Column:
     """Dedup key for a numeric column read as text: '1.0' and '1.00' agree."""
     return F.coalesce(c.try_cast("double").cast("string"), c)
+
+
+def timestamp_text_key(c: Column) -> Column:
+    """Dedup key for a timestamp column read as text: one spelling per instant."""
+    return F.coalesce(lenient_timestamp(c, T.StringType()).cast("string"), c)

@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.contract import Contract
-from lakeproof.functions.casts import coerce, numeric_text_key
+from lakeproof.functions.casts import coerce, numeric_text_key, timestamp_text_key
 
 MULTIPLICITY = "__copies"
 _NUMERIC_TYPES = ("float", "double", "int", "bigint")
+_TIME_TYPES = ("timestamp", "timestamp_ntz")
 
 
 def _dedup_keys(df: DataFrame, contract: Contract | None) -> DataFrame:
     """Numeric contract columns still held as text get a normalised key.
 
-    With a declared all-string read, '1.0' and '1.00' would otherwise stay
-    apart although they are the same amount.
+    With a declared all-string read, '1.0' and '1.00' (or two spellings of
+    one instant) would otherwise stay apart although they are the same value.
     """
     if contract is None:
         return df
     fixes = {}
     for name, type_name in contract.types.items():
-        if (type_name in _NUMERIC_TYPES and name in df.columns
-                and isinstance(df.schema[name].dataType, T.StringType)):
+        if name not in df.columns or not isinstance(df.schema[name].dataType, T.StringType):
+            continue
+        if type_name in _NUMERIC_TYPES:
             fixes[name] = numeric_text_key(F.col(name))
+        elif type_name in _TIME_TYPES:
+            fixes[name] = timestamp_text_key(F.col(name))
     return df.withColumns(fixes) if fixes else df
 
 

@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) "
+                           "for checkpoints and scratch tables")
     local = tempfile.mkdtemp(prefix="lakeproof-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -143,3 +143,13 @@ def test_breaker_verdict_frame(spark, variant, passed):
     p = plan_silver(tx_raw(spark, SF_SMALL, variant), TX_CONTRACT, AS_OF)
     v = breaker_verdict(quality.batch_metrics(p.stats(), p.rules)).first()
     assert v["passed"] is passed
+
+
+def test_dedup_normalises_timestamp_text(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", "x"), ("2024-01-01T00:00:00", "x"),
+                                ("1704067200", "x"), ("junk", "x"), ("junk", "x")],
+                               "timestamp string, transaction_type string")
+    row = duplicate_count(dedup_exact(df, TX_CONTRACT, MULTIPLICITY)).first()
+    assert (row["distinct_records"], row["duplicate_records"]) == (2, 3)
+    typed = apply_types(dedup_exact(df, TX_CONTRACT), TX_CONTRACT)
+    assert sorted(str(r[0]) for r in typed.select("timestamp").collect()) == ["2024-01-01 00:00:00", "None"]
