@@ -153,3 +153,19 @@ def test_dedup_normalises_timestamp_text(spark):
     assert (row["distinct_records"], row["duplicate_records"]) == (2, 3)
     typed = apply_types(dedup_exact(df, TX_CONTRACT), TX_CONTRACT)
     assert sorted(str(r[0]) for r in typed.select("timestamp").collect()) == ["2024-01-01 00:00:00", "None"]
+
+
+def test_rule_literals_are_escaped(spark):
+    contract = Contract(
+        name="t", expected=["name", "code"], required=[], types={},
+        rules=[Rule("name", "in_domain", {"values": ["O'Brien", "back\\slash", "ação"]}, "hard", "it's bad"),
+               Rule("code", "matches", {"pattern": r"^\d+\\x'$"}, "soft")])
+    df = spark.createDataFrame([("O'Brien", "12\\x'"), ("back\\slash", "12x"), ("ação", None), ("other", "1")],
+                               "name string, code string")
+    rules = compile_rules(contract, df.columns)
+    out = df.selectExpr("*", f"{rules.condition_sql('name')} AS ok_name",
+                        f"{rules.condition_sql('code')} AS ok_code").collect()
+    assert [r["ok_name"] for r in out] == [True, True, True, False]
+    assert [r["ok_code"] for r in out] == [True, False, None, False]
+    q = quarantine(flag(df, rules), rules).collect()
+    assert [r["rejection_reason"] for r in q] == ["it's bad"]
