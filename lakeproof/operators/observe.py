@@ -143,6 +143,16 @@ def category_drift(reports: DataFrame, domains: dict[str, list[str]] = TX_DOMAIN
     return found.selectExpr(*keys, "column_name", f"explode(array_except(found, {expected})) AS value")
 
 
+def profile_drift(profile: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
+    """Exact category drift from a categorical profile table: (column_name, value, n).
+
+    Unlike the report's bounded value lists this sees every distinct value; a
+    filter over the distributed profile, no join.
+    """
+    expected = f"coalesce(element_at({_domain_map(domains)}, column_name), CAST(array() AS ARRAY<STRING>))"
+    return profile.where(f"NOT array_contains({expected}, value)")
+
+
 def numeric_stats(reports: DataFrame) -> DataFrame:
     """(column_name, min, max, avg) from the report's numeric profile."""
     keys = _keys(reports)

@@ -1,11 +1,18 @@
 """Batch quality aggregates, profiles and the report document (Q1-Q12).
 
-Everything the report needs comes out of ONE global aggregate over the
-de-duplicated, typed, flagged batch (``batch_stats``): row counts, per-column
-null and invalid counts, numeric min/max/avg and the distinct values of the
-categorical columns. Each of those is a partial aggregate computed map-side,
-so the final merge sees one small row per input partition. The long-form
-tables (column quality, profiles, metrics) are projections of that one row.
+Every count and statistic of the report comes out of ONE global aggregate
+over the de-duplicated, typed, flagged batch (``batch_stats``): row counts,
+per-column null and invalid counts, numeric min/max/avg. Each is a partial
+aggregate computed map-side, so the final merge sees one small fixed-size row
+per input partition. The long-form tables (column quality, metrics, numeric
+profile) are projections of that one row.
+
+Categorical values are not gathered by that aggregate: a column that drifts
+to free text could hold billions of distinct values. They come from the
+distributed profile ``(column_name, value, n)``; the report embeds at most
+``max_values`` sorted values per column (all of them for closed domains)
+together with the exact distinct count, and the complete profile is a table
+of its own.
 """
 
 from __future__ import annotations
@@ -27,8 +34,10 @@ REPORT_DDL = (
     "column_quality map<string, struct<valid bigint, `null` bigint, invalid bigint, "
     "completeness_pct double, validity_pct double>>, "
     "eda struct<categorical map<string, array<string>>, "
-    "numeric map<string, struct<min double, max double, avg double>>>"
+    "numeric map<string, struct<min double, max double, avg double>>, "
+    "categorical_distinct map<string, bigint>>"
 )
+MAX_REPORT_VALUES = 10_000
 _CQ_TYPE = ("MAP<STRING, STRUCT<valid: BIGINT, `null`: BIGINT, invalid: BIGINT, "
             "completeness_pct: DOUBLE, validity_pct: DOUBLE>>")
 _CAT_TYPE = "MAP<STRING, ARRAY<STRING>>"
@@ -62,8 +71,6 @@ def batch_stats_exprs(flagged: DataFrame, rules: CompiledRules) -> list[str]:
         exprs += [f"CAST(min({ident(c)}) AS DOUBLE) AS {ident('min__' + c)}",
                   f"CAST(max({ident(c)}) AS DOUBLE) AS {ident('max__' + c)}",
                   f"avg({ident(c)}) AS {ident('avg__' + c)}"]
-    for c in rules.categorical:
-        exprs.append(f"sort_array(collect_set(CAST({ident(c)} AS STRING))) AS {ident('cat__' + c)}")
     return exprs
 
 
@@ -154,14 +161,47 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("column_name", "value").count().withColumnRenamed("count", "n"))
 
 
+def categorical_values(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> DataFrame:
+    """(column_name, values, distinct_values) from a categorical profile.
+
+    ``values`` holds the first ``max_values`` distinct values in sorted order
+    (planned as a per-key WindowGroupLimit on both sides of the shuffle, so no
+    task gathers more than ``max_values`` values of a column per input
+    partition); ``distinct_values`` is exact.
+    """
+    counts = profile.groupBy("column_name").count().withColumnRenamed("count", "distinct_values")
+    firsts = (profile.selectExpr("column_name", "value",
+                                 "row_number() OVER (PARTITION BY column_name ORDER BY value) AS rank_in_column")
+              .where(f"rank_in_column <= {int(max_values)}")
+              .groupBy("column_name")
+              .agg({"value": "collect_list"}).withColumnRenamed("collect_list(value)", "values")
+              .selectExpr("column_name", "array_sort(values) AS values"))
+    return firsts.join(counts, "column_name", "inner")
+
+
+def categorical_lists(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> dict[str, tuple[list[str], int]]:
+    """Bounded value lists per column, collected for the one-row report."""
+    return {r["column_name"]: (list(r["values"]), int(r["distinct_values"]))
+            for r in categorical_values(profile, max_values).collect()}
+
+
 def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None = None,
               execution_date: str | None = None,
-              threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT) -> DataFrame:
-    """The batch report as a one-row nested frame (schema ``REPORT_DDL``)."""
+              threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT,
+              categorical: dict[str, tuple[list[str], int]] | None = None) -> DataFrame:
+    """The batch report as a one-row nested frame (schema ``REPORT_DDL``).
+
+    ``categorical`` maps each profiled column to (sorted values, distinct
+    count), as returned by ``categorical_lists``; columns without values get
+    an empty list.
+    """
     metrics = _metrics(rules, unmapped or [], threshold)
     totals = _totals(rules)
     cq = ", ".join(f"{string(c)}, {_quality_struct(c)}" for c in rules.columns)
-    cat = ", ".join(f"{string(c)}, {ident('cat__' + c)}" for c in rules.categorical)
+    categorical = categorical or {}
+    cat = ", ".join(f"{string(c)}, {string_array(categorical.get(c, ([], 0))[0])}" for c in rules.categorical)
+    cat_n = ", ".join(f"{string(c)}, CAST({int(categorical.get(c, ([], 0))[1])} AS BIGINT)"
+                      for c in rules.categorical)
     num = ", ".join(f"{string(c)}, {_numeric_struct(c)}" for c in rules.numeric)
     executed = (string(execution_date) if execution_date
                 else "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")")
@@ -172,5 +212,6 @@ def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None
         f"'invalid_values', {totals['invalid_values']}) AS anomalies",
         f"CAST(map({cq}) AS {_CQ_TYPE}) AS column_quality",
         f"named_struct('categorical', CAST(map({cat}) AS {_CAT_TYPE}), "
-        f"'numeric', CAST(map({num}) AS {_NUM_TYPE})) AS eda",
+        f"'numeric', CAST(map({num}) AS {_NUM_TYPE}), "
+        f"'categorical_distinct', CAST(map({cat_n}) AS MAP<STRING, BIGINT>)) AS eda",
     )

@@ -6,6 +6,7 @@ storage, so any layer can be rebuilt on its own.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -20,7 +21,7 @@ from lakeproof.operators.split import valid
 from lakeproof.plans.silver import SilverPlan, plan_silver
 from lakeproof.sources.paths import LakePaths
 from lakeproof.sources.readers import read_layer, read_raw
-from lakeproof.sources.writers import write_layer, write_report
+from lakeproof.sources.writers import new_batch_id, write_layer, write_report
 
 
 def bronze_ingest(spark: SparkSession, source: str, target: str, contract: Contract = TX_CONTRACT,
@@ -46,17 +47,22 @@ class SilverResult:
 def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str,
                reports_path: str, contract: Contract = TX_CONTRACT, as_of=None,
                batch_id: str | None = None, raw: DataFrame | None = None,
-               materialize: str = "persist") -> SilverResult:
+               materialize: str = "persist", profiles_path: str | None = None) -> SilverResult:
     """Dedup, type, validate, split, profile; write Silver, quarantine and the report.
 
     Two passes over the batch: the Silver write computes the dedup shuffle,
     fills the cache of flagged rows and, through ``observe``, every count and
     statistic of the report (one row of metrics, collected from the write's
     own tasks); the quarantine write reads the cache. The report is then a
-    one-row frame built from those metrics. ``materialize="checkpoint"``
-    writes the flagged rows once to the shared checkpoint folder instead of
-    caching them on executors.
+    one-row frame built from those metrics. The categorical profile
+    ``(column_name, value, n)`` of the batch is written as its own table
+    (``profiles_path/batch_id=<id>``, reading only the profiled columns of the
+    cache); the report embeds its sorted values, bounded per column.
+    ``materialize="checkpoint"`` writes the flagged rows once to the shared
+    checkpoint folder instead of caching them on executors.
     """
+    profiles_path = profiles_path or os.path.join(os.path.dirname(reports_path.rstrip("/")), "dq_profiles")
+    batch_id = batch_id or new_batch_id()
     raw = raw if raw is not None else read_layer(spark, bronze_path)
     plan = plan_silver(raw, contract, as_of)
     plan = plan.checkpoint() if materialize == "checkpoint" else plan.persist()
@@ -69,8 +75,11 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
         schema = quality.batch_stats(plan.flagged, plan.rules).schema
         values = observation.get
         stats = spark.createDataFrame([tuple(values[f] for f in schema.fieldNames())], schema)
+        profile_path = f"{profiles_path.rstrip('/')}/batch_id={batch_id}"
+        write_layer(plan.profile(), profile_path)
         executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
-        batch_id = write_report(plan.report(stats, executed), reports_path, batch_id)
+        report = plan.report(stats, executed, profile=read_layer(spark, profile_path))
+        batch_id = write_report(report, reports_path, batch_id)
         metrics = quality.batch_metrics(stats, plan.rules, plan.unmapped, contract.threshold_pct).first()
     finally:
         plan.unpersist()
@@ -111,7 +120,7 @@ def run_all(spark: SparkSession, paths: LakePaths, contract: Contract = TX_CONTR
         require_columns(raw, contract.required)
         write_layer(raw, paths.bronze)
     silver = silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports,
-                        contract, as_of)
+                        contract, as_of, profiles_path=paths.profiles)
     message = circuit_breaker(silver.verdict(), contract.threshold_pct)
     gold_region_risk(spark, paths.silver, paths.region_risk)
     gold_top_sales(spark, paths.silver, paths.top_sales)

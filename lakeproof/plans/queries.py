@@ -202,6 +202,10 @@ def q_category_drift(spark, sf_dir):
     return observe.category_drift(_report(spark, sf_dir))
 
 
+def q_profile_drift(spark, sf_dir):
+    return observe.profile_drift(_plan(spark, sf_dir).profile())
+
+
 def q_numeric_stats(spark, sf_dir):
     return observe.numeric_stats(_report(spark, sf_dir))
 
@@ -327,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_counts": q_audit_counts,
     "schema_drift_alert": q_schema_drift_alert,
     "category_drift": q_category_drift,
+    "profile_drift": q_profile_drift,
     "numeric_stats": q_numeric_stats,
     "report_metrics": q_report_metrics,
     "report_categorical": q_report_categorical,
@@ -550,6 +555,9 @@ ORACLES: dict[str, str] = {
     "category_drift": _with() + " UNION ALL ".join(
         f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM typed "
         f"WHERE {c} IS NOT NULL AND {c} NOT IN {_DOMAINS_SQL[c]}" for c in _CATEGORICAL),
+    "profile_drift": _with() + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM typed "
+        f"WHERE {c} IS NOT NULL AND {c} NOT IN {_DOMAINS_SQL[c]} GROUP BY {c}" for c in _CATEGORICAL),
     "numeric_stats": _with() + _numeric_sql(),
     "local_time": "SELECT event_id, coalesce(strftime(TRY_CAST(txt AS TIMESTAMP) - INTERVAL 3 HOUR, "
                   "'%d/%m/%Y %H:%M:%S'), txt) AS local_time FROM (SELECT event_id, CASE WHEN event_type = 'error' "

@@ -55,9 +55,19 @@ class SilverPlan:
     def stats(self) -> DataFrame:
         return quality.batch_stats(self.flagged, self.rules)
 
-    def report(self, stats: DataFrame | None = None, execution_date: str | None = None) -> DataFrame:
+    def profile(self) -> DataFrame:
+        """(column_name, value, n) of the categorical columns (distributed)."""
+        return quality.categorical_profile(self.flagged, self.rules.categorical)
+
+    def report(self, stats: DataFrame | None = None, execution_date: str | None = None,
+               profile: DataFrame | None = None,
+               max_values: int = quality.MAX_REPORT_VALUES) -> DataFrame:
+        """One-row report; categorical lists come from ``profile`` (bounded per column)."""
+        cats = {}
+        if self.rules.categorical:
+            cats = quality.categorical_lists(profile if profile is not None else self.profile(), max_values)
         return quality.dq_report(stats if stats is not None else self.stats(), self.rules,
-                                 self.unmapped, execution_date, self.contract.threshold_pct)
+                                 self.unmapped, execution_date, self.contract.threshold_pct, cats)
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "SilverPlan":
         """Keep the flagged rows for the aggregate and both writes.

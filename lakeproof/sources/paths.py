@@ -45,6 +45,10 @@ class LakePaths:
     def reports(self) -> str:
         return self.overrides.get("reports", os.path.join(self.base, "silver", "dq_reports"))
 
+    @property
+    def profiles(self) -> str:
+        return self.overrides.get("profiles", os.path.join(self.base, "silver", "dq_profiles"))
+
     @property
     def source(self) -> str:
         return self.source_csv or os.path.join(self.base, "df_fraud_credit.csv")

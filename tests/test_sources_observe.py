@@ -123,3 +123,36 @@ def test_report_rewrite_same_batch_is_idempotent(spark, tmp_path):
     write_report(_report(spark), path, "20260101_000000_000001")
     write_report(_report(spark), path, "20260101_000000_000001")
     assert read_reports(spark, path).count() == 1
+
+
+def test_report_lists_are_bounded_and_counts_exact(spark):
+    from lakeproof.operators import quality
+    from .test_plans import _plan_text
+    # location_region of events-derived rows: six distinct values; bound at 4.
+    p = plan_silver(tx_raw(spark, SF_SMALL), TX_CONTRACT, AS_OF)
+    vals = quality.categorical_values(p.profile(), max_values=4)
+    assert "WindowGroupLimit" in _plan_text(vals)
+    got = {r["column_name"]: (r["values"], r["distinct_values"]) for r in vals.collect()}
+    full = {r["column_name"]: r["n"] for r in p.profile().groupBy("column_name").count()
+            .withColumnRenamed("count", "n").collect()}
+    for col, (values, n) in got.items():
+        assert n == full[col]
+        assert len(values) == min(4, n) and values == sorted(values)
+    rep = p.report(p.stats(), AS_OF, max_values=4).first()
+    assert rep["eda"]["categorical_distinct"]["location_region"] == 6
+    assert len(rep["eda"]["categorical"]["location_region"]) == 4
+
+
+def test_profile_drift_is_exact(spark, tmp_path):
+    from lakeproof.plans.jobs import silver_job
+    from lakeproof.sources.paths import LakePaths
+    paths = LakePaths(str(tmp_path / "lake"))
+    tx_raw(spark, SF_SMALL).write.parquet(paths.bronze)
+    res = silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports, as_of=AS_OF,
+                     profiles_path=paths.profiles)
+    profile = spark.read.parquet(f"{paths.profiles}/batch_id={res.batch_id}")
+    drift = {(r["column_name"], r["value"]) for r in observe.profile_drift(profile).collect()}
+    assert drift == {("transaction_type", "refund"), ("location_region", "Euro"), ("anomaly", "extreme"),
+                     ("age_group", "legacy"), ("purchase_pattern", "bulk")}
+    hist = read_reports(spark, paths.reports)
+    assert {(r["column_name"], r["value"]) for r in observe.category_drift(hist).collect()} == drift
