@@ -161,28 +161,53 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("column_name", "value").count().withColumnRenamed("count", "n"))
 
 
+def _first_values(profile: DataFrame, max_values: int) -> DataFrame:
+    """(column_name, value): the first ``max_values`` values of each column in sorted order.
+
+    ``row_number() <= k`` is planned as a WindowGroupLimit on both sides of
+    the shuffle, so no task gathers more than ``max_values`` values of a
+    column per input partition.
+    """
+    return (profile.selectExpr("column_name", "value",
+                               "row_number() OVER (PARTITION BY column_name ORDER BY value) AS rank_in_column")
+            .where(f"rank_in_column <= {int(max_values)}").select("column_name", "value"))
+
+
+def _distinct_counts(profile: DataFrame) -> DataFrame:
+    return profile.groupBy("column_name").count().withColumnRenamed("count", "distinct_values")
+
+
 def categorical_values(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> DataFrame:
     """(column_name, values, distinct_values) from a categorical profile.
 
-    ``values`` holds the first ``max_values`` distinct values in sorted order
-    (planned as a per-key WindowGroupLimit on both sides of the shuffle, so no
-    task gathers more than ``max_values`` values of a column per input
-    partition); ``distinct_values`` is exact.
+    ``values`` holds the first ``max_values`` distinct values in sorted order;
+    ``distinct_values`` is exact. Both sides hold one row per column.
     """
-    counts = profile.groupBy("column_name").count().withColumnRenamed("count", "distinct_values")
-    firsts = (profile.selectExpr("column_name", "value",
-                                 "row_number() OVER (PARTITION BY column_name ORDER BY value) AS rank_in_column")
-              .where(f"rank_in_column <= {int(max_values)}")
-              .groupBy("column_name")
+    firsts = (_first_values(profile, max_values).groupBy("column_name")
               .agg({"value": "collect_list"}).withColumnRenamed("collect_list(value)", "values")
               .selectExpr("column_name", "array_sort(values) AS values"))
-    return firsts.join(counts, "column_name", "inner")
+    return firsts.join(_distinct_counts(profile), "column_name", "inner")
 
 
 def categorical_lists(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> dict[str, tuple[list[str], int]]:
-    """Bounded value lists per column, collected for the one-row report."""
-    return {r["column_name"]: (list(r["values"]), int(r["distinct_values"]))
-            for r in categorical_values(profile, max_values).collect()}
+    """Bounded value lists per column, collected for the one-row report (one job).
+
+    At most ``max_values`` values plus one count per column reach the
+    driver; values are ordered like Spark's string order (UTF-8 bytes, which
+    is code-point order).
+    """
+    rows = (_first_values(profile, max_values).selectExpr("column_name", "value", "CAST(NULL AS BIGINT) AS n")
+            .unionByName(_distinct_counts(profile).selectExpr(
+                "column_name", "CAST(NULL AS STRING) AS value", "distinct_values AS n"))
+            .collect())
+    values: dict[str, list[str]] = {}
+    counts: dict[str, int] = {}
+    for r in rows:
+        if r["n"] is None:
+            values.setdefault(r["column_name"], []).append(r["value"])
+        else:
+            counts[r["column_name"]] = int(r["n"])
+    return {c: (sorted(values.get(c, [])), n) for c, n in counts.items()}
 
 
 def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None = None,
