@@ -169,3 +169,30 @@ def test_rule_literals_are_escaped(spark):
     assert [r["ok_code"] for r in out] == [True, False, None, False]
     q = quarantine(flag(df, rules), rules).collect()
     assert [r["rejection_reason"] for r in q] == ["it's bad"]
+
+
+def test_ip_prefix_text_is_kept_with_declared_text_read(spark, tmp_path):
+    # Item 3: inference turns '10.10' into 10.1 and '172' into 172.0; a text read keeps them.
+    from lakeproof.sources.readers import read_raw
+    path = tmp_path / "ip.csv"
+    path.write_text("ip_prefix,amount\n10.10,1\n172,2\n")
+    text = apply_types(read_raw(spark, str(path)), TX_CONTRACT)
+    assert sorted(r[0] for r in text.select("ip_prefix").collect()) == ["10.10", "172"]
+    inferred = apply_types(read_raw(spark, str(path), infer=True), TX_CONTRACT)
+    assert sorted(r[0] for r in inferred.select("ip_prefix").collect()) == ["10.1", "172.0"]
+
+
+def test_percentages_round_half_up(spark):
+    # Item 9: 1/800 = 0.125 % -> 0.13 (HALF_UP), zero total -> 0.0.
+    from lakeproof.functions.sqltext import pct
+    row = spark.range(1).selectExpr(f"{pct('1', '800')} AS a", f"{pct('1', '8')} AS b",
+                                    f"{pct('0', '0')} AS c").first()
+    assert (row["a"], row["b"], row["c"]) == (0.13, 12.5, 0.0)
+
+
+def test_regex_anchor_semantics_follow_java(spark):
+    # Item 10: '$' matches before a final newline; bare '0x' and upper '0X' fail.
+    rules = compile_rules(TX_CONTRACT, TX_CONTRACT.expected, AS_OF)
+    df = spark.createDataFrame([("0xAB\n",), ("0x",), ("0XAB",), ("0xab",)], "receiving_address string")
+    got = [r[0] for r in df.selectExpr(rules.condition_sql("receiving_address")).collect()]
+    assert got == [True, False, False, True]
