@@ -45,3 +45,14 @@ def total(parts: list[str]) -> str:
 
 def string_array(values: list[str]) -> str:
     return f"CAST(array({', '.join(string(v) for v in values)}) AS ARRAY<STRING>)"
+
+
+def typed_literal(value, type_sql: str) -> str:
+    """A literal of the given Spark SQL type; doubles keep every bit (NaN and infinities too)."""
+    if value is None:
+        return f"CAST(NULL AS {type_sql})"
+    if isinstance(value, float):
+        return f"CAST({string(repr(value))} AS {type_sql})"
+    if isinstance(value, (list, tuple)):
+        return f"CAST(array({', '.join(literal(v) for v in value)}) AS {type_sql})"
+    return f"CAST({literal(value)} AS {type_sql})"

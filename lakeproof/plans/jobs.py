@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.contract import TX_CONTRACT, Contract
+from lakeproof.functions.sqltext import ident, typed_literal
 from lakeproof.operators import gold, quality
 from lakeproof.operators.gates import circuit_breaker, require_columns, require_non_empty
 from lakeproof.operators.shape import MULTIPLICITY
@@ -74,7 +75,11 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
         write_layer(plan.quarantine(), quarantine_path)
         schema = quality.batch_stats(plan.flagged, plan.rules).schema
         values = observation.get
-        stats = spark.createDataFrame([tuple(values[f] for f in schema.fieldNames())], schema)
+        # The one observed row as a literal frame: projections over it fold into a
+        # local relation, so reading the verdict below runs no Spark job.
+        stats = spark.sql("SELECT " + ", ".join(
+            f"{typed_literal(values[f.name], f.dataType.simpleString())} AS {ident(f.name)}"
+            for f in schema.fields))
         profile_path = f"{profiles_path.rstrip('/')}/batch_id={batch_id}"
         write_layer(plan.profile(), profile_path)
         executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
