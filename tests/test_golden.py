@@ -123,3 +123,14 @@ def test_silver_checkpoint_mode_same_result(spark, mock_csv, tmp_path):
                         materialize="checkpoint")
     assert result.verdict() == {"conformity_pct": 12.5}
     assert spark.read.parquet(paths.quarantine).count() == 7
+
+
+def test_silver_job_on_empty_batch(spark, tmp_path):
+    from lakeproof.plans.fixtures import AS_OF, tx_raw
+    paths = LakePaths(str(tmp_path / "lake"))
+    tx_raw(spark, "/root/testdata/sf0.001").limit(0).write.parquet(paths.bronze)
+    result = silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports, as_of=AS_OF)
+    assert result.verdict() == {"conformity_pct": 0.0}
+    rep = read_reports(spark, paths.reports).first()
+    assert rep["metrics"]["total_records"] == 0 and rep["eda"]["categorical"]["location_region"] == []
+    assert spark.read.parquet(paths.silver).count() == 0
