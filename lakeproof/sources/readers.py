@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeproof.contract import MSG_LAYER_NOT_FOUND, PREVIEW_DEFAULT_LIMIT
+from lakeproof.contract import MSG_LAYER_NOT_FOUND, MSG_NO_REPORTS, PREVIEW_DEFAULT_LIMIT
 from lakeproof.operators.quality import REPORT_DDL
 
 
@@ -40,8 +40,11 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
     file name then serves as the batch id.
     """
     schema = T.StructType.fromDDL(REPORT_DDL)
-    df = (spark.read.schema(schema).option("multiLine", True)
-          .option("recursiveFileLookup", True).json(path))
+    try:
+        df = (spark.read.schema(schema).option("multiLine", True)
+              .option("recursiveFileLookup", True).json(path))
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"{MSG_NO_REPORTS} ({path})") from exc
     file_path = F.col("_metadata.file_path")
     from_folder = F.regexp_extract(file_path, r"batch_id=([^/]+)/", 1)
     from_name = F.regexp_extract(file_path, r"([^/]+)\.json$", 1)

@@ -156,3 +156,8 @@ def test_profile_drift_is_exact(spark, tmp_path):
                      ("age_group", "legacy"), ("purchase_pattern", "bulk")}
     hist = read_reports(spark, paths.reports)
     assert {(r["column_name"], r["value"]) for r in observe.category_drift(hist).collect()} == drift
+
+
+def test_missing_report_history(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="Nenhum"):
+        read_reports(spark, str(tmp_path / "none"))
