@@ -415,7 +415,7 @@ _METRICS = ("metrics AS (SELECT total_records, total_records - valid_records AS
             "total_incoming - total_records AS duplicate_records, "
             + _pct("total_records - valid_records", "total_records") + " AS error_rate_pct, "
             + _pct("valid_records", "total_records") + " AS conformity_rate_pct, "
-            "80.0 AS circuit_breaker_threshold_pct FROM stats)")
+            "CAST(80.0 AS DOUBLE) AS circuit_breaker_threshold_pct FROM stats)")
 _LATEST = """latest AS (
   SELECT receiving_address, amount, "timestamp" FROM (
     SELECT *, row_number() OVER (PARTITION BY receiving_address ORDER BY "timestamp" DESC, amount DESC) AS rn
@@ -514,9 +514,9 @@ ORACLES: dict[str, str] = {
         f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in _CATEGORICAL),
     "numeric_profile": _with() + _numeric_sql(),
     "circuit_breaker": _with(_STATS, _METRICS) + "SELECT conformity_rate_pct AS conformity_pct, "
-                       "80.0 AS threshold_pct, conformity_rate_pct >= 80.0 AS passed FROM metrics",
+                       "CAST(80.0 AS DOUBLE) AS threshold_pct, conformity_rate_pct >= 80.0 AS passed FROM metrics",
     "circuit_breaker_rejected": _with(_STATS, _METRICS, variant="rejected")
-                                + "SELECT conformity_rate_pct AS conformity_pct, 80.0 AS threshold_pct, "
+                                + "SELECT conformity_rate_pct AS conformity_pct, CAST(80.0 AS DOUBLE) AS threshold_pct, "
                                   "conformity_rate_pct >= 80.0 AS passed FROM metrics",
     "gold_region_risk": _with(_VALID) + _REGION,
     "sales_only": _with(_VALID) + "SELECT * FROM valid WHERE transaction_type = 'sale'",
@@ -532,7 +532,7 @@ ORACLES: dict[str, str] = {
                    + _pct("total_records - total_errors", "total_records + duplicate_records")
                    + " AS pct_clean FROM metrics",
     "batch_status": _with(_STATS, _METRICS)
-                    + "SELECT conformity_rate_pct AS conformity_pct, 80.0 AS threshold_pct, "
+                    + "SELECT conformity_rate_pct AS conformity_pct, CAST(80.0 AS DOUBLE) AS threshold_pct, "
                       "conformity_rate_pct >= 80.0 AS passed, "
                       "CASE WHEN conformity_rate_pct >= 80.0 THEN 'ok' ELSE 'fail' END AS status FROM metrics",
     "column_status": _with(_STATS, _CQ)
@@ -542,7 +542,7 @@ ORACLES: dict[str, str] = {
                      + _band(_VALIDITY_NN) + " AS validity_status FROM cq",
     "issue_ranking": _with(_STATS, _CQ)
                      + 'SELECT column_name, invalid, "null", invalid + "null" AS total_issues, '
-                       'row_number() OVER (ORDER BY invalid + "null" DESC, column_name) AS issue_rank FROM cq',
+                       'CAST(row_number() OVER (ORDER BY invalid + "null" DESC, column_name) AS INTEGER) AS issue_rank FROM cq',
     "required_optional": _with(_STATS, _CQ)
                          + "SELECT column_name, CASE WHEN column_name IN ('timestamp', 'receiving_address', "
                            "'amount', 'transaction_type', 'location_region', 'risk_score') THEN 'required' "

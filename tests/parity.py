@@ -58,6 +58,31 @@ def canon(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows), sorted(columns)
 
 
+_SPARK_KIND = {"ByteType": "int8", "ShortType": "int16", "IntegerType": "int32", "LongType": "int64",
+               "FloatType": "float32", "DoubleType": "float64", "StringType": "string",
+               "BooleanType": "bool", "TimestampType": "timestamp", "TimestampNTZType": "timestamp",
+               "DateType": "date", "DecimalType": "decimal"}
+_DUCK_KIND = {"TINYINT": "int8", "SMALLINT": "int16", "INTEGER": "int32", "BIGINT": "int64",
+              "HUGEINT": "int128", "FLOAT": "float32", "DOUBLE": "float64", "VARCHAR": "string",
+              "BOOLEAN": "bool", "TIMESTAMP": "timestamp", "DATE": "date"}
+
+
+def spark_kinds(df) -> dict:
+    out = {}
+    for f in df.schema.fields:
+        name = type(f.dataType).__name__
+        out[f.name] = _SPARK_KIND.get(name, f.dataType.simpleString())
+    return out
+
+
+def duck_kinds(rel) -> dict:
+    out = {}
+    for name, typ in zip(rel.columns, rel.types):
+        t = str(typ).upper()
+        out[name] = "decimal" if t.startswith("DECIMAL") else _DUCK_KIND.get(t, t.lower())
+    return out
+
+
 def compare(spark, sf_dir, names=None, con=None, verbose=True):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as E
@@ -93,6 +118,8 @@ def compare(spark, sf_dir, names=None, con=None, verbose=True):
             continue
         s_c, s_names = canon(scols, srows)
         d_c, d_names = canon(dcols, drows)
+        sk, dk = spark_kinds(sdf), duck_kinds(con.sql(oracles[name]))
+        type_diff = {c: (sk[c], dk.get(c)) for c in sk if sk[c] != dk.get(c)}
         if s_names != d_names:
             status = f"COLUMNS differ spark={s_names} duck={d_names}"
         elif len(s_c) != len(d_c):
@@ -100,6 +127,8 @@ def compare(spark, sf_dir, names=None, con=None, verbose=True):
         elif s_c != d_c:
             bad = [(a, b) for a, b in zip(s_c, d_c) if a != b][:2]
             status = f"VALUES differ e.g. {bad}"
+        elif type_diff:
+            status = f"TYPES differ (spark, duck): {type_diff}"
         else:
             status = "ok"
         results[name] = status
