@@ -35,7 +35,7 @@ MOCK_CSV = """timestamp,receiving_address,amount,transaction_type,location_regio
 
 @pytest.fixture
 def mock_csv(tmp_path):
-    path = tmp_path / "raw" / "mock_fraud_data.csv"
+    path = tmp_path / "raw" / "raw_batch.csv"
     path.parent.mkdir(parents=True)
     path.write_text(MOCK_CSV)
     return str(path)
