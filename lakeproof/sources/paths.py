@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from lakeproof.contract import LAYER_FOLDERS
+from lakeproof.contract import DEFAULT_SOURCE_CSV, LAYER_FOLDERS, REPORTS_FOLDER
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class LakePaths:
 
     @property
     def reports(self) -> str:
-        return self.overrides.get("reports", os.path.join(self.base, "silver", "dq_reports"))
+        return self.overrides.get("reports", os.path.join(self.base, REPORTS_FOLDER))
 
     @property
     def profiles(self) -> str:
@@ -51,4 +51,4 @@ class LakePaths:
 
     @property
     def source(self) -> str:
-        return self.source_csv or os.path.join(self.base, "df_fraud_credit.csv")
+        return self.source_csv or os.path.join(self.base, DEFAULT_SOURCE_CSV)
