@@ -47,7 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when it is unset (local tests, the benchmark) a folder of our
     own is created so that ``checkpoint()`` and scratch tables have a home.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the client has no SparkContext
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return current
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
