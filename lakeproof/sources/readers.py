@@ -12,18 +12,20 @@ from lakeproof.operators.quality import REPORT_DDL
 
 
 def read_raw(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-             infer: bool = False, header: bool = True) -> DataFrame:
+             infer: bool = False, header: bool = True, sampling_ratio: float = 1.0) -> DataFrame:
     """A raw CSV batch with a header row.
 
     Default: every column as text (no inference pass over the data; typing is
     done leniently in Silver). ``schema`` declares types up front; ``infer``
-    reproduces type inference, which costs a full extra scan.
+    reproduces type inference, which costs an extra scan of the input
+    (``sampling_ratio`` < 1 infers from a sample of the rows instead; the
+    types may then differ from a full inference).
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
-        reader = reader.option("inferSchema", True)
+        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(path)
 
 
