@@ -7,6 +7,7 @@ storage, so any layer can be rebuilt on its own.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -68,7 +69,7 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     plan = plan_silver(raw, contract, as_of)
     plan = plan.checkpoint() if materialize == "checkpoint" else plan.persist()
     try:
-        observation = Observation("silver_batch_stats")
+        observation = Observation(f"silver_batch_stats_{uuid.uuid4().hex}")
         exprs = quality.batch_stats_exprs(plan.flagged, plan.rules)
         observed = plan.flagged.observe(observation, *[F.expr(e) for e in exprs])
         write_layer(valid(observed).drop(MULTIPLICITY), silver_path)
