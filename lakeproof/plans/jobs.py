@@ -52,17 +52,19 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
                materialize: str = "persist", profiles_path: str | None = None) -> SilverResult:
     """Dedup, type, validate, split, profile; write Silver, quarantine and the report.
 
-    Two passes over the batch: the Silver write computes the dedup shuffle,
-    fills the cache of flagged rows and, through ``observe``, every count and
-    statistic of the report (one row of metrics, collected from the write's
-    own tasks); the quarantine write reads the cache. The report is then a
-    one-row frame built from those metrics. The categorical profile
+    One data shuffle. The Silver write computes the dedup shuffle, fills the
+    cache of flagged rows and, through ``observe``, every count and statistic
+    of the report (one row of metrics, collected from the write's own tasks);
+    the quarantine write reads the cache. The report is then a one-row frame
+    built from those metrics. The categorical profile
     ``(column_name, value, n)`` of the batch is written as its own table
     (``profiles_path/batch_id=<id>``, reading only the profiled columns of the
     cache); the report embeds its sorted values, bounded per column.
     ``materialize="checkpoint"`` writes the flagged rows once to the shared
     checkpoint folder instead of caching them on executors.
     """
+    if materialize not in ("persist", "checkpoint"):
+        raise ValueError(f"materialize must be 'persist' or 'checkpoint', not {materialize!r}")
     profiles_path = profiles_path or os.path.join(os.path.dirname(reports_path.rstrip("/")), "dq_profiles")
     batch_id = batch_id or new_batch_id()
     raw = raw if raw is not None else read_layer(spark, bronze_path)

@@ -1,13 +1,15 @@
-"""The fused Silver plan: one shuffle, stats as one aggregate, two writes.
+"""The fused Silver plan: one data shuffle, then narrow work and small aggregates.
 
-    raw --groupBy(all columns) with copy count--> distinct rows   (the only shuffle)
+    raw --groupBy(all columns) with copy count--> distinct rows   (the only data shuffle)
         --lenient casts--> typed --rule flags--> flagged          (narrow, codegen)
     flagged --one global aggregate--> batch stats (1 row)          (map-side partials)
     flagged --filter ok--> Silver      flagged --filter not ok--> quarantine
+    flagged[categorical columns] --grouped count--> profile       (column_name, value, n)
 
-``flagged`` is materialised once so both writes read it instead of redoing
-the dedup shuffle; the Silver job (``plans.jobs.silver_job``) observes the
-batch stats during the Silver write rather than running the aggregate apart.
+``flagged`` is materialised once so the writes and the profile read it instead
+of redoing the dedup shuffle; the Silver job (``plans.jobs.silver_job``)
+observes the batch stats during the Silver write rather than running the
+aggregate apart.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from lakeproof.contract import TX_CONTRACT, Contract
 from lakeproof.functions.rules import CompiledRules, compile_rules
 from lakeproof.operators import quality
 from lakeproof.operators.shape import MULTIPLICITY, apply_types, dedup_exact, unmapped_columns
-from lakeproof.operators.split import flag, quarantine, valid
+from lakeproof.operators.split import OK, flag, quarantine, valid
 
 
 def resolve_as_of(as_of: str | datetime | None) -> str:
@@ -49,7 +51,6 @@ class SilverPlan:
         return quarantine(self.flagged, self.rules).drop(MULTIPLICITY)
 
     def typed(self) -> DataFrame:
-        from lakeproof.operators.split import OK
         return self.flagged.drop(OK, MULTIPLICITY)
 
     def stats(self) -> DataFrame:
@@ -70,7 +71,7 @@ class SilverPlan:
                                  self.unmapped, execution_date, self.contract.threshold_pct, cats)
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "SilverPlan":
-        """Keep the flagged rows for the aggregate and both writes.
+        """Keep the flagged rows for both writes and the profile.
 
         A lost executor's cached blocks are recomputed from lineage (scan and
         one shuffle), so the job survives executor loss without a full
@@ -83,7 +84,7 @@ class SilverPlan:
         """Write the flagged rows once to the shared checkpoint folder.
 
         For very long lineages or clusters with frequent executor loss: the
-        aggregate and both writes then read a reliable copy instead of
+        writes and the profile then read a reliable copy instead of
         recomputing lost blocks.
         """
         from lakeproof.session import ensure_checkpoint_dir
