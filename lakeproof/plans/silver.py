@@ -63,10 +63,21 @@ class SilverPlan:
     def report(self, stats: DataFrame | None = None, execution_date: str | None = None,
                profile: DataFrame | None = None,
                max_values: int = quality.MAX_REPORT_VALUES) -> DataFrame:
-        """One-row report; categorical lists come from ``profile`` (bounded per column)."""
+        """One-row report; categorical lists come from ``profile`` (bounded per column).
+
+        Without a written ``profile`` it is computed here and cached while the
+        lists are read; ``persist()`` the plan first so the stats and the
+        profile share one dedup.
+        """
         cats = {}
         if self.rules.categorical:
-            cats = quality.categorical_lists(profile if profile is not None else self.profile(), max_values)
+            own = profile is None
+            prof = self.profile().persist() if own else profile
+            try:
+                cats = quality.categorical_lists(prof, max_values)
+            finally:
+                if own:
+                    prof.unpersist()
         return quality.dq_report(stats if stats is not None else self.stats(), self.rules,
                                  self.unmapped, execution_date, self.contract.threshold_pct, cats)
 

@@ -52,12 +52,16 @@ def main() -> None:
     sl = spark.read.parquet(silver)
     reports = scratch_path(spark, "plans-reports")
     write_report(p.report(p.stats(), AS_OF), reports, "20260101_000000_000000")
+    profile_path = scratch_path(spark, "plans-profile")
+    p.profile().write.parquet(profile_path)
 
     cases = [
         ("Silver batch stats (dedup shuffle + one global aggregate)", p.stats()),
         ("Silver valid rows", p.valid()),
         ("Quarantine with reasons", p.quarantine()),
         ("Categorical profile", quality.categorical_profile(p.typed(), p.rules.categorical)),
+        ("Bounded report lists from the written profile (first k values per column + exact counts)",
+         quality.categorical_values(spark.read.parquet(profile_path), 1000)),
         ("Gold region risk", gold.region_risk(sl)),
         ("Gold top sales (latest per address, top 3)", gold.top_sales(sl)),
         ("Latest per address via max_by (alternative)",
