@@ -27,3 +27,14 @@ def write_report(report: DataFrame, path: str, batch_id: str | None = None) -> s
     batch_id = batch_id or new_batch_id()
     report.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/batch_id={batch_id}")
     return batch_id
+
+
+def compact_reports(spark, reports_path: str, table_path: str) -> None:
+    """Fold the per-batch JSON reports into one Parquet table (one row per batch).
+
+    Long histories otherwise mean one small file per batch to list and parse;
+    the observability operators accept the compacted table as it is.
+    """
+    from lakeproof.sources.readers import read_reports
+
+    read_reports(spark, reports_path).write.mode("overwrite").parquet(table_path)

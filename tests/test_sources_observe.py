@@ -161,3 +161,15 @@ def test_profile_drift_is_exact(spark, tmp_path):
 def test_missing_report_history(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="Nenhum"):
         read_reports(spark, str(tmp_path / "none"))
+
+
+def test_compacted_history_feeds_the_same_operators(spark, tmp_path):
+    from lakeproof.sources.writers import compact_reports
+    path, table = str(tmp_path / "reports"), str(tmp_path / "reports_table")
+    write_report(_report(spark), path, "20260101_000000_000001")
+    write_report(_report(spark, "rejected"), path, "20260102_000000_000001")
+    compact_reports(spark, path, table)
+    compacted = spark.read.parquet(table)
+    a = sorted(observe.batch_status(compacted).collect())
+    b = sorted(observe.batch_status(read_reports(spark, path)).collect())
+    assert a == b and len(a) == 2
