@@ -5,6 +5,7 @@
     python -m lakeproof silver  --base /lake
     python -m lakeproof gold    --base /lake
     python -m lakeproof report  --base /lake [--batch-id ID]
+    python -m lakeproof compact --base /lake --path /lake/silver/dq_reports_table
     python -m lakeproof preview --path /lake/silver/fraud_data_clean --limit 250
 
 Under ``spark-submit`` the cluster's session settings apply; the engine only
@@ -33,7 +34,7 @@ def _session() -> SparkSession:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="lakeproof")
-    parser.add_argument("command", choices=["run", "bronze", "silver", "gold", "report", "preview"])
+    parser.add_argument("command", choices=["run", "bronze", "silver", "gold", "report", "preview", "compact"])
     parser.add_argument("--base", help="lake base folder")
     parser.add_argument("--source", help="raw CSV file or folder")
     parser.add_argument("--infer", action="store_true", help="infer CSV types (extra scan)")
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     from lakeproof.operators import observe
     from lakeproof.operators.gates import QualityGateError, circuit_breaker
     from lakeproof.plans import jobs
-    from lakeproof.sources import LakePaths, preview, read_reports, select_report
+    from lakeproof.sources import LakePaths, compact_reports, preview, read_reports, select_report
 
     spark = _session()
     paths = LakePaths(args.base or ".", source_csv=args.source)
@@ -69,6 +70,8 @@ def main(argv: list[str] | None = None) -> int:
             for op in (observe.kpi_volumes, observe.batch_status, observe.audit_counts,
                        observe.issue_ranking, observe.category_drift, observe.numeric_stats):
                 op(chosen).show(truncate=False)
+        elif args.command == "compact":
+            compact_reports(spark, paths.reports, args.path)
         elif args.command == "preview":
             preview(spark, args.path, args.limit).show(args.limit, truncate=False)
     except QualityGateError as err:

@@ -53,3 +53,13 @@ def test_cli_run_and_report(spark, mock_csv, tmp_path, capsys):
     assert "Circuit Breaker acionado" in capsys.readouterr().err
     assert main(["report", "--base", base]) == 0
     assert "conformity_pct" in capsys.readouterr().out
+
+
+def test_cli_compact(spark, mock_csv, tmp_path):
+    from lakeproof.__main__ import main
+
+    base = str(tmp_path / "lake")
+    main(["run", "--base", base, "--source", mock_csv])
+    table = str(tmp_path / "table")
+    assert main(["compact", "--base", base, "--path", table]) == 0
+    assert spark.read.parquet(table).count() == 1
