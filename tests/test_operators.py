@@ -196,3 +196,24 @@ def test_regex_anchor_semantics_follow_java(spark):
     df = spark.createDataFrame([("0xAB\n",), ("0x",), ("0XAB",), ("0xab",)], "receiving_address string")
     got = [r[0] for r in df.selectExpr(rules.condition_sql("receiving_address")).collect()]
     assert got == [True, False, False, True]
+
+
+def test_top_sales_with_a_hot_address_matches_brute_force(spark):
+    from pyspark.sql import functions as F2
+    p = plan_silver(tx_raw(spark, SF_SMALL), TX_CONTRACT, AS_OF)
+    valid_rows = p.valid()
+    # One address receives a third of all rows.
+    hot = valid_rows.withColumn("receiving_address",
+                                F2.when(F2.hash("timestamp", "amount") % 3 == 0, F2.lit("0xHOT"))
+                                .otherwise(F2.col("receiving_address")))
+    got = [tuple(r) for r in gold.top_sales(hot, 3).collect()]
+    got_agg = sorted(tuple(r) for r in gold.latest_per_key_agg(
+        gold.sales_only(hot), "receiving_address", ["timestamp", "amount"], ["amount", "timestamp"]).collect())
+    pdf = hot.filter("transaction_type = 'sale'").select("receiving_address", "amount", "timestamp").toPandas()
+    latest = (pdf.sort_values(["receiving_address", "timestamp", "amount"], ascending=[True, False, False])
+              .groupby("receiving_address", as_index=False).head(1))
+    want_latest = sorted((r.receiving_address, r.amount, r.timestamp.to_pydatetime())
+                         for r in latest.itertuples())
+    assert [(a, b, c) for a, b, c in got_agg] == [(a, b, c) for a, b, c in want_latest]
+    top = latest.sort_values(["amount", "receiving_address"], ascending=[False, True]).head(3)
+    assert got == [(r.receiving_address, r.amount, r.timestamp.to_pydatetime()) for r in top.itertuples()]
