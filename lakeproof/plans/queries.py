@@ -220,6 +220,12 @@ def q_report_metrics(spark, sf_dir):
                           "anomalies.missing_values", "anomalies.invalid_values")
 
 
+def q_dq_report_json(spark, sf_dir):
+    """The whole report document (without its execution time) as JSON text."""
+    return _report(spark, sf_dir).selectExpr(
+        "to_json(struct(metrics, anomalies, column_quality, eda)) AS report_json")
+
+
 def q_report_categorical(spark, sf_dir):
     """The report's categorical value lists, one row per (column, value, position)."""
     rep = _report(spark, sf_dir)
@@ -334,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_drift": q_profile_drift,
     "numeric_stats": q_numeric_stats,
     "report_metrics": q_report_metrics,
+    "dq_report_json": q_dq_report_json,
     "report_categorical": q_report_categorical,
     "layer_preview_ordered": q_layer_preview_ordered,
     "local_time": q_local_time,
@@ -483,6 +490,40 @@ def _lineitem_reasons() -> str:
             f"FROM li WHERE NOT ({ok}) GROUP BY 1")
 
 
+def _report_json_sql() -> str:
+    """The report document as DuckDB JSON, key order as in the engine's report."""
+    def pct(part, total):
+        return _pct(part, total)
+    t = "s.total_records"
+    cq = ", ".join(
+        f"'{c}', json_object('valid', {t} - {c}_null - {c}_invalid, 'null', {c}_null, "
+        f"'invalid', {c}_invalid, 'completeness_pct', {pct(f'{t} - {c}_null', t)}, "
+        f"'validity_pct', {pct(f'{t} - {c}_null - {c}_invalid', t)})"
+        for c in _HARD + _SOFT)
+    cat = ", ".join(
+        f"'{c}', (SELECT coalesce(list_sort(list(DISTINCT CAST({c} AS VARCHAR))), []::VARCHAR[]) FROM typed "
+        f"WHERE {c} IS NOT NULL)" for c in _CATEGORICAL)
+    cat_n = ", ".join(f"'{c}', (SELECT count(DISTINCT {c}) FROM typed)" for c in _CATEGORICAL)
+    num = ", ".join(
+        f"'{c}', (SELECT json_object('min', CAST(min({c}) AS DOUBLE), 'max', CAST(max({c}) AS DOUBLE), "
+        f"'avg', CASE WHEN coalesce(avg({c}), 0) = 0 THEN 0.0::DOUBLE ELSE round(avg({c}), 2) END) FROM typed)"
+        for c in ["amount", "risk_score"])
+    missing = " + ".join(f"{c}_null" for c in _HARD + _SOFT)
+    invalid = " + ".join(f"{c}_invalid" for c in _HARD + _SOFT)
+    return (_with(_STATS, _METRICS)
+            + "SELECT CAST(json_object("
+              "'metrics', json_object('total_records', m.total_records, 'total_errors', m.total_errors, "
+              "'total_alerts', m.total_alerts, 'duplicate_records', m.duplicate_records, "
+              "'unmapped_columns', []::VARCHAR[], 'error_rate_pct', m.error_rate_pct, "
+              "'conformity_rate_pct', m.conformity_rate_pct, "
+              "'circuit_breaker_threshold_pct', m.circuit_breaker_threshold_pct), "
+            + f"'anomalies', json_object('missing_values', {missing}, 'invalid_values', {invalid}), "
+            + f"'column_quality', json_object({cq}), "
+            + f"'eda', json_object('categorical', json_object({cat}), 'numeric', json_object({num}), "
+            + f"'categorical_distinct', json_object({cat_n}))) AS VARCHAR) AS report_json "
+              "FROM metrics m, stats s")
+
+
 ORACLES: dict[str, str] = {
     "csv_roundtrip_typed": f"WITH {duckdb_cte('clean', 'raw')} {_TYPED_BODY} FROM raw",
     "required_columns": "SELECT * FROM (VALUES ('timestamp', true), ('receiving_address', true), ('amount', true), "
@@ -568,6 +609,7 @@ ORACLES: dict[str, str] = {
                         "error_rate_pct, conformity_rate_pct, circuit_breaker_threshold_pct, "
                         '(SELECT sum("null") FROM cq)::BIGINT AS missing_values, '
                         "(SELECT sum(invalid) FROM cq)::BIGINT AS invalid_values FROM metrics m",
+    "dq_report_json": _report_json_sql(),
     "report_categorical": _with() + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS position, value "
         f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IS NOT NULL)"
