@@ -84,11 +84,16 @@ class CompiledRules:
         """Conjunction of all hard conditions (TRUE when there are none)."""
         return " AND ".join(f"({c})" for c in self.hard.values()) or "TRUE"
 
-    def reason_sql(self) -> str:
-        """Failed hard-rule messages joined in fixed order; passing rules skipped."""
+    def reason_sql(self, flags: dict[str, str] | None = None) -> str:
+        """Failed hard-rule messages joined in fixed order; passing rules skipped.
+
+        ``flags`` maps a column to an already computed validity flag to read
+        instead of re-evaluating its condition.
+        """
         if not self.hard:
             return "''"
-        parts = ", ".join(f"CASE WHEN NOT ({cond}) THEN {string(self.messages[name])} END"
+        flags = flags or {}
+        parts = ", ".join(f"CASE WHEN NOT ({flags.get(name, cond)}) THEN {string(self.messages[name])} END"
                           for name, cond in self.hard.items())
         return f"concat_ws({string(REASON_SEPARATOR)}, array({parts}))"
 

@@ -23,7 +23,7 @@ from lakeproof.contract import CIRCUIT_BREAKER_THRESHOLD_PCT
 from lakeproof.functions.rules import CompiledRules
 from lakeproof.functions.sqltext import ident, literal, pct, string, string_array, total
 from lakeproof.operators.shape import MULTIPLICITY
-from lakeproof.operators.split import OK
+from lakeproof.operators.split import OK, flag_column
 
 REPORT_DDL = (
     "execution_date string, "
@@ -65,8 +65,9 @@ def batch_stats_exprs(flagged: DataFrame, rules: CompiledRules) -> list[str]:
     exprs = ["count(1) AS total_records", f"{incoming} AS total_incoming",
              f"count_if({ok}) AS valid_records"]
     for c in rules.columns:
+        cond = ident(flag_column(c)) if flag_column(c) in flagged.columns else f"({rules.condition_sql(c)})"
         exprs.append(f"count_if({ident(c)} IS NULL) AS {_n_null(c)}")
-        exprs.append(f"count_if({ident(c)} IS NOT NULL AND NOT ({rules.condition_sql(c)})) AS {_n_invalid(c)}")
+        exprs.append(f"count_if({ident(c)} IS NOT NULL AND NOT {cond}) AS {_n_invalid(c)}")
     for c in rules.numeric:
         exprs += [f"CAST(min({ident(c)}) AS DOUBLE) AS {ident('min__' + c)}",
                   f"CAST(max({ident(c)}) AS DOUBLE) AS {ident('max__' + c)}",

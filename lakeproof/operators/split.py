@@ -10,11 +10,28 @@ from lakeproof.functions.sqltext import ident
 
 OK = "__ok"
 REASON = "rejection_reason"
+FLAG_PREFIX = "__v_"
+
+
+def flag_column(column: str) -> str:
+    return FLAG_PREFIX + column
+
+
+def flag_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith(FLAG_PREFIX)]
 
 
 def flag(df: DataFrame, rules: CompiledRules) -> DataFrame:
-    """Add the row verdict (conjunction of hard rules); never NULL."""
-    return df.withColumn(OK, rules.ok())
+    """Add one validity flag per ruled column and the row verdict.
+
+    Each condition (regexes included) is evaluated once per row; the verdict,
+    the quality counts and the rejection reason all read the flags. Hard
+    flags and the verdict are never NULL; a soft flag is NULL when its value is.
+    """
+    flags = df.selectExpr("*", *[f"{rules.condition_sql(c)} AS {ident(flag_column(c))}"
+                                 for c in rules.columns])
+    verdict = " AND ".join(ident(flag_column(c)) for c in rules.hard) or "TRUE"
+    return flags.withColumn(OK, F.expr(verdict))
 
 
 def rule_flags(df: DataFrame, rules: CompiledRules, prefix: str = "ok_") -> DataFrame:
@@ -25,12 +42,15 @@ def rule_flags(df: DataFrame, rules: CompiledRules, prefix: str = "ok_") -> Data
 
 def valid(flagged: DataFrame) -> DataFrame:
     """Rows meeting every hard rule, without extra columns."""
-    return flagged.filter(F.col(OK)).drop(OK)
+    return flagged.filter(F.col(OK)).drop(OK, *flag_columns(flagged))
 
 
 def quarantine(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
     """The exact complement of ``valid`` plus the reasons for rejection."""
-    return flagged.filter(~F.col(OK)).drop(OK).withColumn(REASON, rules.reason())
+    present = set(flag_columns(flagged))
+    flags = {c: ident(flag_column(c)) for c in rules.hard if flag_column(c) in present}
+    rejected = flagged.filter(~F.col(OK)).withColumn(REASON, F.expr(rules.reason_sql(flags)))
+    return rejected.drop(OK, *present)
 
 
 def reason_counts(quarantined: DataFrame) -> DataFrame:

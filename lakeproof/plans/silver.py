@@ -24,7 +24,7 @@ from lakeproof.contract import TX_CONTRACT, Contract
 from lakeproof.functions.rules import CompiledRules, compile_rules
 from lakeproof.operators import quality
 from lakeproof.operators.shape import MULTIPLICITY, apply_types, dedup_exact, unmapped_columns
-from lakeproof.operators.split import OK, flag, quarantine, valid
+from lakeproof.operators.split import OK, flag, flag_columns, quarantine, valid
 
 
 def resolve_as_of(as_of: str | datetime | None) -> str:
@@ -51,7 +51,7 @@ class SilverPlan:
         return quarantine(self.flagged, self.rules).drop(MULTIPLICITY)
 
     def typed(self) -> DataFrame:
-        return self.flagged.drop(OK, MULTIPLICITY)
+        return self.flagged.drop(OK, MULTIPLICITY, *flag_columns(self.flagged))
 
     def stats(self) -> DataFrame:
         return quality.batch_stats(self.flagged, self.rules)
