@@ -2,9 +2,10 @@
 
 Usage: python -m tests.parity [sf_dir] [name ...]
 
-Comparison: same column names, same row count, and the same multiset of
-rows after sorting columns by name (floats compared after rounding to 9
-significant digits, timestamps as naive UTC).
+Comparison: same column names, same row count, the same multiset of rows
+after sorting columns by name (floats compared after rounding to 9
+significant digits, timestamps as naive UTC), and the same result types
+(integer width, float width, decimal vs double, timestamp, string, boolean).
 """
 
 from __future__ import annotations
