@@ -134,3 +134,12 @@ def test_silver_job_on_empty_batch(spark, tmp_path):
     rep = read_reports(spark, paths.reports).first()
     assert rep["metrics"]["total_records"] == 0 and rep["eda"]["categorical"]["location_region"] == []
     assert spark.read.parquet(paths.silver).count() == 0
+
+
+def test_silver_job_releases_its_cache_and_checks_mode(spark, mock_csv, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"), source_csv=mock_csv)
+    bronze_ingest(spark, paths.source, paths.bronze)
+    result = silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports)
+    assert not result.plan.flagged.is_cached
+    with pytest.raises(ValueError, match="materialize"):
+        silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports, materialize="memory")
