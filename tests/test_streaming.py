@@ -63,3 +63,4 @@ def test_cli_compact(spark, mock_csv, tmp_path):
     table = str(tmp_path / "table")
     assert main(["compact", "--base", base, "--path", table]) == 0
     assert spark.read.parquet(table).count() == 1
+    assert main(["preview", "--path", f"{base}/silver/quarantine", "--limit", "100"]) == 0
