@@ -6,11 +6,12 @@ from lakeproof.llm import decontaminate, topk
 from lakeproof.llm.neardup import op10_minhash_near_dedup
 from lakeproof.llm.packing import op5_best_fit_packing
 from lakeproof.llm.privacy import op9_information_sanitisation
+from lakeproof.llm.quality import op2_co_training_quality
 from lakeproof.llm.sharding import op4_feistel_sharding
 from lakeproof.llm.tokenfiles import op7_token_files, op8_separator_scan
 
 QUERIES = {f.__name__: f for f in (
-    topk.op3_bit_sliced_top_k, op4_feistel_sharding, op5_best_fit_packing,
+    op2_co_training_quality, topk.op3_bit_sliced_top_k, op4_feistel_sharding, op5_best_fit_packing,
     decontaminate.op6_positional_decontamination, op7_token_files, op8_separator_scan,
     op9_information_sanitisation, op10_minhash_near_dedup)}
 
