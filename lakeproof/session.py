@@ -91,3 +91,21 @@ def scale_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2) -> dict
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         **{k: v for k, v in ENGINE_CONF.items() if k != "spark.ui.enabled"},
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``: as a
+    zip sent once per application, unless PYTHONPATH names its folder already."""
+    import pathlib
+    import zipfile
+
+    root = pathlib.Path(__file__).resolve().parent.parent
+    sc = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_lakeproof_shipped", False):
+        return
+    path = pathlib.Path(tempfile.mkdtemp(prefix="lakeproof-zip-")) / "lakeproof.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "lakeproof").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(path))
+    sc._lakeproof_shipped = True
