@@ -8,10 +8,11 @@ from lakeproof.llm.packing import op5_best_fit_packing
 from lakeproof.llm.privacy import op9_information_sanitisation
 from lakeproof.llm.quality import op2_co_training_quality
 from lakeproof.llm.sharding import op4_feistel_sharding
+from lakeproof.llm.suffix import op1_suffix_dedup
 from lakeproof.llm.tokenfiles import op7_token_files, op8_separator_scan
 
 QUERIES = {f.__name__: f for f in (
-    op2_co_training_quality, topk.op3_bit_sliced_top_k, op4_feistel_sharding, op5_best_fit_packing,
+    op1_suffix_dedup, op2_co_training_quality, topk.op3_bit_sliced_top_k, op4_feistel_sharding, op5_best_fit_packing,
     decontaminate.op6_positional_decontamination, op7_token_files, op8_separator_scan,
     op9_information_sanitisation, op10_minhash_near_dedup)}
 
