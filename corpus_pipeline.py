@@ -1,22 +1,63 @@
 """Corpus pipeline: five stages, each an operator of ``lakeproof.llm`` on all
-that its predecessor kept."""
+that its predecessor kept.
+
+A null text passes every filter (it is no copy, holds no passage, and is
+judged by its metadata alone) and is packed as an end mark. Rows without
+doc_id stay, in no group of copies. Rows that share a doc_id stay or go
+together where a stage decides by doc_id. Columns beside those of
+``documents`` are left out at the start.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeproof.llm.common import load, only, scratch
+from lakeproof.llm.common import load, materialise, only, scratch
+from lakeproof.llm.decontaminate import decontaminated
+from lakeproof.llm.neardup import near_duplicates
 from lakeproof.llm.packing import pack_documents
+from lakeproof.llm.privacy import sanitised, with_spans
+from lakeproof.llm.quality import accepted, train
+from lakeproof.llm.words import small
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents judged of low quality or toxic go."""
+    docs = only(docs, *COLUMNS)
+    return accepted(docs, train(docs, load(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of each group of near copies the smallest doc_id stays."""
+    docs = only(docs, *COLUMNS)
+    gone = materialise(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    return docs.join(small(gone), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents with a benchmark passage go."""
+    return decontaminated(only(docs, *COLUMNS), load(spark, sf_dir, "benchmark")).where(
+        "NOT contaminated").select(*COLUMNS)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: personal data and the terms that disclose it are replaced
+    by their kind in brackets; n_chars follows the new text."""
+    found = with_spans(only(docs, *COLUMNS)).withColumn("text", sanitised())
+    return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long"))
+                            .otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing: the sequences of the final corpus."""
+    """Operator 5: the token sequences of the final corpus."""
     return pack_documents(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_dedup),
+          ("benchmark decontamination", decontamination), ("PII", pii), ("best-fit packing", packing)]
 
 # Model scores, token ids and greedy packing have no SQL form.
 ORACLE_SQL = None

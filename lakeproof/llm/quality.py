@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,6 +241,28 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, dict | None]:
     return {t: co_train(features, np.vstack(meta), frame[t].to_numpy(float)) for t in TARGETS}
 
 
+def _scored(batch: pd.DataFrame, models: dict[str, dict | None]) -> pd.DataFrame:
+    """Scores of a batch that isn't empty, and kept."""
+    parsed = Parsed(batch["text"].tolist())
+    meta = _meta(batch, parsed)
+    rejected = np.zeros(len(batch), bool)
+    out = {}
+    for t in TARGETS:
+        m = models[t]
+        if m is None:
+            out |= {f"{v}_{t}": np.full(len(batch), np.nan) for v in ("p", "text", "meta")}
+            continue
+        doc, column = parsed.buckets(m["picked"])
+        z_text = np.bincount(doc, m["w_text"][column], len(batch)) + m["w_text"][-1]
+        z_meta = _logit((meta - m["mean"]) / m["spread"], m["w_meta"])
+        views = np.column_stack([np.clip(_logit(v[:, None], c), -12, 12)
+                                 for v, c in zip((z_text, z_meta), m["calibration"])])
+        p = _sigmoid(_logit(views, m["combine"]))
+        rejected |= p >= REJECT
+        out |= {f"p_{t}": p, f"text_{t}": _sigmoid(views[:, 0]), f"meta_{t}": _sigmoid(views[:, 1])}
+    return pd.DataFrame(out | {"kept": ~rejected})
+
+
 def score(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
     """doc_id and, for each target, p_<target>, text_<target>, meta_<target>;
     kept unless a target reaches REJECT. Without a model (no labels, or one
@@ -250,32 +273,27 @@ def score(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            out = {"doc_id": batch["doc_id"].astype("Int64")}
-            parsed = Parsed(batch["text"].tolist())
-            meta = _meta(batch, parsed)
-            rejected = np.zeros(len(batch), bool)
-            for t in TARGETS:
-                m = models[t]
-                if m is None:
-                    out |= {f"{v}_{t}": np.full(len(batch), np.nan) for v in ("p", "text", "meta")}
-                    continue
-                doc, column = parsed.buckets(m["picked"])
-                z_text = np.bincount(doc, m["w_text"][column], len(batch)) + m["w_text"][-1]
-                z_meta = _logit((meta - m["mean"]) / m["spread"], m["w_meta"])
-                views = np.column_stack([np.clip(_logit(v[:, None], c), -12, 12)
-                                         for v, c in zip((z_text, z_meta), m["calibration"])])
-                p = _sigmoid(_logit(views, m["combine"]))
-                rejected |= p >= REJECT
-                out |= {f"p_{t}": p, f"text_{t}": _sigmoid(views[:, 0]), f"meta_{t}": _sigmoid(views[:, 1])}
-            frame = pd.DataFrame(out)
-            frame["kept"] = ~rejected
-            yield frame
+            if len(batch):
+                out = _scored(batch, models)
+                out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+                yield out
 
     return only(docs, *names).mapInPandas(run, "doc_id long, " + ", ".join(fields) + ", kept boolean")
 
 
+def accepted(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                names = [c for c in ("text", "lang", "source") if c in batch.schema.names]
+                kept = _scored(batch.select(names).to_pandas(), models)["kept"]
+                yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_co_training_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents from models trained on ``labels``."""
     docs = load(spark, sf_dir, "documents")
