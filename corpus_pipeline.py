@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import load, materialise, only, scratch
+from lakeproof.llm.common import bounded_batches, load, materialise, only, scratch
 from lakeproof.llm.decontaminate import decontaminated
 from lakeproof.llm.neardup import near_duplicates
 from lakeproof.llm.packing import pack_documents
@@ -26,12 +26,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents judged of low quality or toxic go."""
+    bounded_batches(spark)
     docs = only(docs, *COLUMNS)
     return accepted(docs, train(docs, load(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: of each group of near copies the smallest doc_id stays."""
+    bounded_batches(spark)
     docs = only(docs, *COLUMNS)
     gone = materialise(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
     return docs.join(small(gone), "doc_id", "left_anti").select(*COLUMNS)
@@ -39,6 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents with a benchmark passage go."""
+    bounded_batches(spark)
     return decontaminated(only(docs, *COLUMNS), load(spark, sf_dir, "benchmark")).where(
         "NOT contaminated").select(*COLUMNS)
 
@@ -46,6 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: personal data and the terms that disclose it are replaced
     by their kind in brackets; n_chars follows the new text."""
+    bounded_batches(spark)
     found = with_spans(only(docs, *COLUMNS)).withColumn("text", sanitised())
     return found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long"))
                             .otherwise(F.col("n_chars"))).select(*COLUMNS)
@@ -53,6 +57,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: the token sequences of the final corpus."""
+    bounded_batches(spark)
     return pack_documents(docs)
 
 

@@ -6,8 +6,10 @@ from __future__ import annotations
 import functools
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.session import ensure_checkpoint_dir
@@ -15,7 +17,14 @@ from lakeproof.session import ensure_checkpoint_dir
 TOKENIZER_FILE = "word_bpe_49k.json"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Small Arrow batches: a batch of texts and what a task makes of it must
+    fit beside the JVM in an executor, whatever the texts' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -138,6 +147,17 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def by_bytes(batches: Iterator[pd.DataFrame], limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
+    """Batches cut so that their texts hold about ``limit`` characters; a
+    longer text is a batch of its own. Empty batches are left out."""
+    for batch in batches:
+        if len(batch):
+            size = batch["text"].str.len().fillna(0).to_numpy(float).cumsum()
+            cuts = np.flatnonzero(np.diff(size // limit)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(batch)]):
+                yield batch.iloc[lo:hi].reset_index(drop=True)
+
+
 # --- hashing -----------------------------------------------------------------
 
 _U = np.uint64

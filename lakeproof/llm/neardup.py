@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import _table, as_long, load, materialise, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import _table, as_long, by_bytes, load, materialise, mix64, only, prefix_hash, window_hash
 
 WORDS, THRESHOLD = 5, 85
 COORDINATES, MATCHES = 32, 16
@@ -38,17 +38,28 @@ _MUL, _XOR = _table(COORDINATES, 101) | _U(1), _table(COORDINATES, 102)
 _POLY = _U(0xC2B2AE3D27D4EB4F)
 
 
+def _words(data: np.ndarray, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of ``data``, which ends in a blank; long
+    data is read in pieces that end in a blank."""
+    starts, hashes, lo = [], [], 0
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    while lo < len(data):
+        hi = lo + piece
+        hi = len(data) if hi >= len(data) else hi + int(blank[hi:].argmax()) + 1
+        part = data[lo:hi]
+        part = np.where((part >= 65) & (part <= 90), part + 32, part).astype(np.uint8)
+        edge = np.flatnonzero(np.diff(np.concatenate(([1], blank[lo:hi])).astype(np.int8)))
+        starts.append(edge[0::2] + lo)
+        hashes.append(window_hash(prefix_hash(part), edge[0::2], edge[1::2]))
+        lo = hi
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
 def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all texts' word windows in order, bounds): text i owns
     hashes[bounds[i]:bounds[i + 1]], with repeats."""
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts])
-    ends = np.cumsum(sizes)
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).astype(np.int8)))
-    start, stop = edge[0::2], edge[1::2]  # every text ends in a blank
-    word = window_hash(prefix_hash(data), start, stop)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    start, word = _words(np.frombuffer(b" ".join(texts) + b" ", np.uint8))
     first = np.concatenate(([0], np.searchsorted(start, ends)))
     count = np.diff(first)
     n = np.where(count >= words, count - words + 1, (count > 0).astype(np.int64))
@@ -78,10 +89,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, the set's 128-bit key, and the minima."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             texts = _encoded(batch["text"])
-            if not texts:
-                continue
             h, bounds = shingles(texts)
             n, low, high = [np.zeros(len(texts), np.int64) for _ in range(3)]
             for i in range(len(texts)):
@@ -225,9 +234,7 @@ def shingle_sets(members: DataFrame) -> DataFrame:
     names = [n for n in members.columns if n != "text"]
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in by_bytes(batches):
             h, bounds = shingles(_encoded(batch["text"]))
             out = batch[names].copy()
             out["members"] = [np.unique(h[lo:hi]).tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import load, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import by_bytes, load, mix64, only, prefix_hash, window_hash
 
 LABELLED, POOL, SAMPLE_CHARS = 8000, 4000, 20_000
 ROUNDS, SURE, PER_ROUND = 3, 0.99, 400
@@ -230,13 +230,14 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, dict | None]:
     if not len(frame):
         return dict.fromkeys(TARGETS)
     doc, bucket, meta = [], [], []
-    for lo in range(0, len(frame), 500):
-        part = frame.iloc[lo:lo + 500]
+    lo = 0
+    for part in by_bytes(iter([frame])):
         parsed = Parsed(part["text"].tolist())
         d, b = parsed.buckets()
         doc.append(d + lo)
         bucket.append(b.astype(np.int32))
         meta.append(_meta(part, parsed))
+        lo += len(part)
     features = np.concatenate(doc), np.concatenate(bucket)
     return {t: co_train(features, np.vstack(meta), frame[t].to_numpy(float)) for t in TARGETS}
 
@@ -272,11 +273,10 @@ def score(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
     fields = [f"{v}_{t} double" for t in TARGETS for v in ("p", "text", "meta")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                out = _scored(batch, models)
-                out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-                yield out
+        for batch in by_bytes(batches):
+            out = _scored(batch, models)
+            out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+            yield out
 
     return only(docs, *names).mapInPandas(run, "doc_id long, " + ", ".join(fields) + ", kept boolean")
 
@@ -288,7 +288,8 @@ def accepted(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 names = [c for c in ("text", "lang", "source") if c in batch.schema.names]
-                kept = _scored(batch.select(names).to_pandas(), models)["kept"]
+                parts = by_bytes(iter([batch.select(names).to_pandas()]))
+                kept = pd.concat([_scored(part, models)["kept"] for part in parts])
                 yield batch.filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)

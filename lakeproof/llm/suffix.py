@@ -34,12 +34,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import as_long, load, materialise, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import as_long, by_bytes, load, materialise, mix64, only, prefix_hash, window_hash
 
 SPAN, CORE = 200, 64
 BACK = SPAN - CORE  # a window starts at most so far before its anchor
-HOT = 512
 RUN_TARGET = 40_000  # suffixes per merge partition
+HOT = RUN_TARGET // 2  # a core that would fill half a partition alone
 SEGMENT = 1 << 20
 
 _U = np.uint64
@@ -104,7 +104,7 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
 
 
 def _draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in by_bytes(batches):
         keys = batch["key"].to_numpy(np.int64)
         texts = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in batch["text"]]
         for data, ends, numbers, offsets in _segments(texts):
