@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.llm.common import by_bytes, load, mix64, only, prefix_hash, window_hash
 
-LABELLED, POOL, SAMPLE_CHARS = 8000, 4000, 20_000
+LABELLED, POOL, SAMPLE_CHARS = 6000, 3000, 10_000
 ROUNDS, SURE, PER_ROUND = 3, 0.99, 400
 BUCKETS, FEATURES = 1 << 20, 512
 BEGINNINGS = (3, 4, 5, 6)
@@ -143,12 +143,14 @@ class TextView:
     """Presence of the FEATURES buckets that tell the classes apart best."""
 
     def __init__(self, doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, rows: np.ndarray):
-        mine = np.isin(doc, rows)
-        label = np.zeros(len(y) if len(y) > doc.max(initial=0) else doc.max(initial=0) + 1)
+        label = np.full(max(len(y), int(doc.max(initial=0)) + 1), -1, np.int8)
         label[rows] = y[rows]
-        hits = np.bincount(bucket[mine], label[doc[mine]], BUCKETS)
-        seen = np.bincount(bucket[mine], minlength=BUCKETS).astype(float)
-        n, pos = len(rows), max(label[rows].sum(), 1e-9)
+        hits, seen = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for lo in range(0, len(doc), 1 << 20):
+            own, found = label[doc[lo:lo + (1 << 20)]], bucket[lo:lo + (1 << 20)]
+            seen += np.bincount(found[own >= 0], minlength=BUCKETS)
+            hits += np.bincount(found[own > 0], minlength=BUCKETS)
+        n, pos = len(rows), max(float(y[rows].sum()), 1e-9)
         expected = seen * pos / n
         # chi-squared of presence against class, for buckets seen often enough
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -162,8 +164,9 @@ class TextView:
 
     def matrix(self, doc: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros((n, self.width), np.float32)
-        column = self.picked[bucket]
-        out[doc[column >= 0], column[column >= 0]] = 1
+        for lo in range(0, len(doc), 1 << 20):
+            column = self.picked[bucket[lo:lo + (1 << 20)]]
+            out[doc[lo:lo + (1 << 20)][column >= 0], column[column >= 0]] = 1
         return out
 
 
@@ -172,11 +175,16 @@ def _sample(docs: DataFrame, labels: DataFrame, target_columns: list[str]) -> pd
     mean of its labels, rounded."""
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
         *[F.round(F.avg(c)).cast("int").alias(c) for c in target_columns])
-    key = F.xxhash64("doc_id", F.lit(11))
-    taken = marks.orderBy(key).limit(LABELLED)
-    others = (docs.select("doc_id").where("doc_id IS NOT NULL").join(marks.select("doc_id"), "doc_id", "left_anti")
-              .orderBy(key).limit(POOL).select("doc_id", *[F.lit(None).cast("int").alias(c) for c in target_columns]))
-    chosen = taken.union(others)  # LABELLED + POOL rows at most
+
+    def some(rows: DataFrame, n: int) -> DataFrame:
+        """About n rows, by the hash of doc_id: bounded, and picked in place."""
+        return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(max(1, rows.count()))) < n)
+
+    taken = some(marks, LABELLED)
+    others = (some(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), 2 * POOL)
+              .join(marks.select("doc_id"), "doc_id", "left_anti").limit(POOL)
+              .select("doc_id", *[F.lit(None).cast("int").alias(c) for c in target_columns]))
+    chosen = taken.union(others)  # about LABELLED + POOL rows
     return (docs.join(F.broadcast(chosen), "doc_id")
             .withColumn("text", F.substring("text", 1, SAMPLE_CHARS)).toPandas()
             .drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True))
@@ -234,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, dict | None]:
     for part in by_bytes(iter([frame])):
         parsed = Parsed(part["text"].tolist())
         d, b = parsed.buckets()
-        doc.append(d + lo)
+        doc.append((d + lo).astype(np.int32))
         bucket.append(b.astype(np.int32))
         meta.append(_meta(part, parsed))
         lo += len(part)

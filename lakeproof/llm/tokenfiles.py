@@ -31,12 +31,13 @@ def _width(path: str) -> str:
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, dtype: str) -> bytes:
     """A zstandard dictionary trained on serialized id arrays of a bounded
-    sample: the SAMPLE_DOCS documents with the smallest hash of doc_id, the
-    first SAMPLE_CHARS characters of each. It only steers the compression
+    sample: about SAMPLE_DOCS documents, picked by their hash where they are,
+    the first SAMPLE_CHARS characters of each. It only steers the compression
     ratio. Empty where the sample is too small to train on."""
     import zstandard
-    rows = (docs.select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-            .orderBy("h").limit(SAMPLE_DOCS).collect())
+    n = max(1, docs.count())
+    rows = (docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) < SAMPLE_DOCS)
+            .select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
     enc = encoder(path)
     samples = [np.append(np.frombuffer(enc.encode(r["text"]), "<u4"), end_id).astype(dtype).tobytes() for r in rows]
     if sum(map(len, samples)) < 4 * DICT_BYTES // 16 or len(samples) < 16:
@@ -273,5 +274,5 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = write_flat_files(load(spark, sf_dir, "documents"), folder)
     files = where.where("file_tokens is not null").select("file", "file_tokens")
     counted = scan_separators(files, folder)
-    return (where.select("file", "ordinal", "doc_id").join(counted, ["file", "ordinal"])
+    return (where.select("file", "ordinal", "doc_id").join(counted.hint("merge"), ["file", "ordinal"])
             .select("doc_id", "file", "ordinal", "start", "n_tokens", "terminated"))
