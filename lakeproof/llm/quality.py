@@ -8,7 +8,7 @@ view. Both views are then calibrated, and a small model on the calibrated
 views, fitted on labelled rows held back so far, scores all documents.
 
 Training takes a bounded sample of labelled rows (LABELLED) and of other rows
-(POOL), by the hash of doc_id, with SAMPLE_CHARS characters of each; scoring
+(those of 2 * POOL documents that have no label), by the hash of doc_id, with SAMPLE_CHARS characters of each; scoring
 reads all documents whole. Two targets are learnt: low quality and toxic.
 """
 
@@ -182,9 +182,9 @@ def _sample(docs: DataFrame, labels: DataFrame, target_columns: list[str]) -> pd
 
     taken = some(marks, LABELLED)
     others = (some(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), 2 * POOL)
-              .join(marks.select("doc_id"), "doc_id", "left_anti").limit(POOL)
+              .join(marks.select("doc_id"), "doc_id", "left_anti")
               .select("doc_id", *[F.lit(None).cast("int").alias(c) for c in target_columns]))
-    chosen = taken.union(others)  # about LABELLED + POOL rows
+    chosen = taken.union(others)  # about LABELLED + 2 * POOL rows at most
     return (docs.join(F.broadcast(chosen), "doc_id")
             .withColumn("text", F.substring("text", 1, SAMPLE_CHARS)).toPandas()
             .drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True))
