@@ -34,8 +34,9 @@ def lenient_timestamp(c: Column, source: T.DataType | None = None) -> Column:
     if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")
     if isinstance(source, _NUMERIC):
-        return c.try_cast("bigint").try_cast("timestamp")
-    return F.coalesce(c.try_cast("bigint").try_cast("timestamp"), c.try_cast("timestamp"))
+        return c.try_cast("timestamp")
+    return F.coalesce(c.try_cast("bigint").try_cast("timestamp"), c.try_cast("double").try_cast("timestamp"),
+                      c.try_cast("timestamp"))
 
 
 def lenient_string(c: Column) -> Column:
@@ -67,6 +68,14 @@ def numeric_text_key(c: Column) -> Column:
     return F.coalesce(c.try_cast("double").cast("string"), c)
 
 
+def integer_text_key(c: Column) -> Column:
+    """Dedup key for an integer column read as text: whole numbers in their
+    plain decimal form, without the loss of a double; other text as it is."""
+    number = c.try_cast("decimal(38,10)")
+    whole = number.cast("decimal(38,0)")
+    return F.coalesce(F.when(number == whole, whole.cast("string")), c)
+
+
 def timestamp_text_key(c: Column) -> Column:
     """Dedup key for a timestamp column read as text: one spelling per instant."""
     return F.coalesce(lenient_timestamp(c, T.StringType()).cast("string"), c)

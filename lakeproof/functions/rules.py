@@ -14,7 +14,7 @@ compose with the DataFrame API.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,12 +23,19 @@ from lakeproof.contract import REASON_SEPARATOR, Contract, Rule
 from lakeproof.functions.sqltext import ident, literal, string
 
 
+def utc_text(instant: datetime) -> str:
+    if instant.tzinfo is not None:
+        instant = instant.astimezone(timezone.utc)
+    return instant.strftime("%Y-%m-%d %H:%M:%S.%f") + "+00:00"
+
+
 def as_of_sql(as_of: str | datetime | None) -> str:
-    """One instant per batch, read in the session time zone."""
+    """One instant per batch. A datetime is an instant whatever the session
+    zone (naive: UTC); text without an offset is read in the session zone."""
     if as_of is None:
         return "current_timestamp()"
     if isinstance(as_of, datetime):
-        as_of = as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
+        as_of = utc_text(as_of)
     return f"CAST({string(as_of)} AS TIMESTAMP)"
 
 
@@ -69,6 +76,7 @@ class CompiledRules:
     messages: dict[str, str]
     categorical: list[str]
     numeric: list[str]
+    advisory: dict[str, str]  # soft rules of columns that have hard ones too
 
     @property
     def columns(self) -> list[str]:
@@ -120,15 +128,21 @@ def compile_rules(contract: Contract, columns, as_of: str | datetime | None = No
     hard: dict[str, str] = {}
     soft: dict[str, str] = {}
     messages: dict[str, str] = {}
+    advisory: dict[str, str] = {}
     for name, rules in grouped.items():
-        pred = " AND ".join(f"({predicate_sql(r, instant)})" for r in rules)
-        if rules[0].severity == "hard":
-            hard[name] = f"coalesce({ident(name)} IS NOT NULL AND {pred}, FALSE)"
-            messages[name] = rules[0].message or f"invalid {name}"
+        blocking = [r for r in rules if r.severity == "hard"]
+        pred = {kind: " AND ".join(f"({predicate_sql(r, instant)})" for r in rules if r.severity == kind)
+                for kind in ("hard", "soft")}
+        if blocking:
+            hard[name] = f"coalesce({ident(name)} IS NOT NULL AND {pred['hard']}, FALSE)"
+            told = list(dict.fromkeys(r.message for r in blocking if r.message))
+            messages[name] = REASON_SEPARATOR.join(told) or f"invalid {name}"
+            if pred["soft"]:
+                advisory[name] = pred["soft"]
         else:
-            soft[name] = pred
+            soft[name] = pred["soft"]
     present = set(columns)
     categorical = [c for c in contract.categorical
                    if c in present and (c in hard or c in soft or c in contract.required)]
     numeric = [c for c in contract.numeric_profile if c in present]
-    return CompiledRules(hard, soft, messages, categorical, numeric)
+    return CompiledRules(hard, soft, messages, categorical, numeric, advisory)

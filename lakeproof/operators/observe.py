@@ -16,6 +16,7 @@ from lakeproof.contract import (CATALOG_OPTIONAL_WORDS, CATALOG_REQUIRED_WORDS,
                                 LOCAL_TIME_OFFSET_HOURS, STATUS_YELLOW_BAND_PCT,
                                 TX_DOMAINS, TX_REQUIRED_COLUMNS)
 from lakeproof.functions.sqltext import ident, literal, pct, string
+from lakeproof.operators.quality import in_domain
 
 _BATCH_KEYS = ("batch_id", "execution_date")
 _THRESHOLD = (f"coalesce(metrics.circuit_breaker_threshold_pct, "
@@ -125,32 +126,28 @@ def schema_drift_alert(reports: DataFrame) -> DataFrame:
                               f"size({unmapped}) > 0 AS drift_alert")
 
 
-def _domain_map(domains: dict[str, list[str]]) -> str:
-    entries = ", ".join(f"{string(k)}, array({', '.join(string(v) for v in vs)})"
-                        for k, vs in domains.items())
-    return f"map({entries})"
-
-
-def category_drift(reports: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
-    """Values found but outside the expected domain, per column.
+def profile_drift(profile: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
+    """Values found but outside the expected domain, with their counts.
 
-    A profiled column with no declared domain has an empty expectation, so
-    all its values are reported.
+    Reads the categorical profile table, which holds every distinct value of a
+    batch; with a ``batch_id`` column the drift is told per batch. A filter
+    over a distributed table: no join, no list, no cut.
     """
-    keys = _keys(reports)
-    found = reports.selectExpr(*keys, "explode(eda.categorical) AS (column_name, found)")
-    expected = f"coalesce(element_at({_domain_map(domains)}, column_name), CAST(array() AS ARRAY<STRING>))"
-    return found.selectExpr(*keys, "column_name", f"explode(array_except(found, {expected})) AS value")
+    keys = [c for c in ("batch_id",) if c in profile.columns]
+    return profile.where(f"NOT {in_domain(domains)}").selectExpr(*keys, "column_name", "value", "n")
 
 
-def profile_drift(profile: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
-    """Exact category drift from a categorical profile table: (column_name, value, n).
+def category_drift(profile: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
+    """The drifted values alone, per column (and batch)."""
+    return profile_drift(profile, domains).drop("n")
 
-    Unlike the report's bounded value lists this sees every distinct value; a
-    filter over the distributed profile, no join.
-    """
-    expected = f"coalesce(element_at({_domain_map(domains)}, column_name), CAST(array() AS ARRAY<STRING>))"
-    return profile.where(f"NOT array_contains({expected}, value)")
+
+def document_drift(reports: DataFrame, domains: dict[str, list[str]] = TX_DOMAINS) -> DataFrame:
+    """Drifted values listed in report documents of the plain layout, which
+    hold every value found. The engine's own reports list domain values only;
+    their drift is in the profile table."""
+    return reports.selectExpr(*_keys(reports), "explode(eda.categorical) AS (column_name, found)").selectExpr(
+        *_keys(reports), "column_name", "explode(found) AS value").where(f"NOT {in_domain(domains)}")
 
 
 def numeric_stats(reports: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ of its own.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeproof.contract import CIRCUIT_BREAKER_THRESHOLD_PCT
 from lakeproof.functions.rules import CompiledRules
@@ -35,9 +36,8 @@ REPORT_DDL = (
     "completeness_pct double, validity_pct double>>, "
     "eda struct<categorical map<string, array<string>>, "
     "numeric map<string, struct<min double, max double, avg double>>, "
-    "categorical_distinct map<string, bigint>>"
+    "categorical_distinct map<string, bigint>, categorical_drifted map<string, bigint>>"
 )
-MAX_REPORT_VALUES = 10_000
 _CQ_TYPE = ("MAP<STRING, STRUCT<valid: BIGINT, `null`: BIGINT, invalid: BIGINT, "
             "completeness_pct: DOUBLE, validity_pct: DOUBLE>>")
 _CAT_TYPE = "MAP<STRING, ARRAY<STRING>>"
@@ -52,6 +52,10 @@ def _n_invalid(c: str) -> str:
     return f"n__{c}__invalid"
 
 
+def _n_advisory(c: str) -> str:
+    return ident(f"n__{c}__advisory")
+
+
 def batch_stats(flagged: DataFrame, rules: CompiledRules) -> DataFrame:
     """One-row aggregate with every count and statistic of the batch."""
     return flagged.selectExpr(*batch_stats_exprs(flagged, rules))
@@ -68,6 +72,8 @@ def batch_stats_exprs(flagged: DataFrame, rules: CompiledRules) -> list[str]:
         cond = ident(flag_column(c)) if flag_column(c) in flagged.columns else f"({rules.condition_sql(c)})"
         exprs.append(f"count_if({ident(c)} IS NULL) AS {_n_null(c)}")
         exprs.append(f"count_if({ident(c)} IS NOT NULL AND NOT {cond}) AS {_n_invalid(c)}")
+    for c, cond in rules.advisory.items():
+        exprs.append(f"count_if({ident(c)} IS NOT NULL AND NOT ({cond})) AS {_n_advisory(c)}")
     for c in rules.numeric:
         exprs += [f"CAST(min({ident(c)}) AS DOUBLE) AS {ident('min__' + c)}",
                   f"CAST(max({ident(c)}) AS DOUBLE) AS {ident('max__' + c)}",
@@ -100,7 +106,7 @@ def _totals(rules: CompiledRules) -> dict[str, str]:
     return {
         "missing_values": total([_n_null(c) for c in rules.columns]),
         "invalid_values": total([_n_invalid(c) for c in rules.columns]),
-        "total_alerts": total([_n_invalid(c) for c in rules.soft]),
+        "total_alerts": total([_n_invalid(c) for c in rules.soft] + [_n_advisory(c) for c in rules.advisory]),
     }
 
 
@@ -162,72 +168,50 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
             .groupBy("column_name", "value").count().withColumnRenamed("count", "n"))
 
 
-def _first_values(profile: DataFrame, max_values: int) -> DataFrame:
-    """(column_name, value): the first ``max_values`` values of each column in sorted order.
-
-    ``row_number() <= k`` is planned as a WindowGroupLimit on both sides of
-    the shuffle, so no task gathers more than ``max_values`` values of a
-    column per input partition.
-    """
-    return (profile.selectExpr("column_name", "value",
-                               "row_number() OVER (PARTITION BY column_name ORDER BY value) AS rank_in_column")
-            .where(f"rank_in_column <= {int(max_values)}").select("column_name", "value"))
-
-
-def _distinct_counts(profile: DataFrame) -> DataFrame:
-    return profile.groupBy("column_name").count().withColumnRenamed("count", "distinct_values")
+def domain_map(domains: dict[str, list[str]]) -> str:
+    entries = ", ".join(f"{string(k)}, {string_array(vs)}" for k, vs in domains.items())
+    return f"map({entries})" if entries else "CAST(map() AS MAP<STRING, ARRAY<STRING>>)"
 
 
-def categorical_values(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> DataFrame:
-    """(column_name, values, distinct_values) from a categorical profile.
-
-    ``values`` holds the first ``max_values`` distinct values in sorted order;
-    ``distinct_values`` is exact. Both sides hold one row per column.
-    """
-    firsts = (_first_values(profile, max_values).groupBy("column_name")
-              .agg({"value": "collect_list"}).withColumnRenamed("collect_list(value)", "values")
-              .selectExpr("column_name", "array_sort(values) AS values"))
-    return firsts.join(_distinct_counts(profile), "column_name", "inner")
+def in_domain(domains: dict[str, list[str]]) -> str:
+    """Whether ``value`` is in the domain of ``column_name``; a column without
+    a declared domain expects no value."""
+    return (f"array_contains(coalesce(element_at({domain_map(domains)}, column_name), "
+            "CAST(array() AS ARRAY<STRING>)), value)")
 
 
-def categorical_lists(profile: DataFrame, max_values: int = MAX_REPORT_VALUES) -> dict[str, tuple[list[str], int]]:
-    """Bounded value lists per column, collected for the one-row report (one job).
+def categorical_lists(profile: DataFrame, domains: dict[str, list[str]]) -> dict[str, tuple[list[str], int, int]]:
+    """Per column: the values of its closed domain that were found, and the
+    exact numbers of distinct and of drifted values.
 
-    At most ``max_values`` values plus one count per column reach the
-    driver; values are ordered like Spark's string order (UTF-8 bytes, which
-    is code-point order).
+    The lists are bounded by the contract's domains, without a cut; values
+    outside them are counted here and listed by the profile table alone. One
+    row per column reaches the driver, aggregated map-side.
     """
-    rows = (_first_values(profile, max_values).selectExpr("column_name", "value", "CAST(NULL AS BIGINT) AS n")
-            .unionByName(_distinct_counts(profile).selectExpr(
-                "column_name", "CAST(NULL AS STRING) AS value", "distinct_values AS n"))
-            .collect())
-    values: dict[str, list[str]] = {}
-    counts: dict[str, int] = {}
-    for r in rows:
-        if r["n"] is None:
-            values.setdefault(r["column_name"], []).append(r["value"])
-        else:
-            counts[r["column_name"]] = int(r["n"])
-    return {c: (sorted(values.get(c, [])), n) for c, n in counts.items()}
+    rows = (profile.selectExpr("column_name", "value", f"{in_domain(domains)} AS expected")
+            .groupBy("column_name")
+            .agg(F.expr("collect_set(CASE WHEN expected THEN value END)").alias("found"),
+                 F.expr("count(1)").alias("n"), F.expr("count_if(NOT expected)").alias("drifted")).collect())
+    return {r["column_name"]: (sorted(r["found"]), int(r["n"]), int(r["drifted"])) for r in rows}
 
 
 def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None = None,
               execution_date: str | None = None,
               threshold: float = CIRCUIT_BREAKER_THRESHOLD_PCT,
-              categorical: dict[str, tuple[list[str], int]] | None = None) -> DataFrame:
+              categorical: dict[str, tuple[list[str], int, int]] | None = None) -> DataFrame:
     """The batch report as a one-row nested frame (schema ``REPORT_DDL``).
 
-    ``categorical`` maps each profiled column to (sorted values, distinct
-    count), as returned by ``categorical_lists``; columns without values get
-    an empty list.
+    ``categorical`` maps each profiled column to (found domain values, distinct
+    count, drifted count), as returned by ``categorical_lists``; columns
+    without values get an empty list.
     """
     metrics = _metrics(rules, unmapped or [], threshold)
     totals = _totals(rules)
     cq = ", ".join(f"{string(c)}, {_quality_struct(c)}" for c in rules.columns)
     categorical = categorical or {}
-    cat = ", ".join(f"{string(c)}, {string_array(categorical.get(c, ([], 0))[0])}" for c in rules.categorical)
-    cat_n = ", ".join(f"{string(c)}, CAST({int(categorical.get(c, ([], 0))[1])} AS BIGINT)"
-                      for c in rules.categorical)
+    cat = ", ".join(f"{string(c)}, {string_array(categorical.get(c, ([], 0, 0))[0])}" for c in rules.categorical)
+    cat_n, cat_drift = (", ".join(f"{string(c)}, CAST({int(categorical.get(c, ([], 0, 0))[i])} AS BIGINT)"
+                                  for c in rules.categorical) for i in (1, 2))
     num = ", ".join(f"{string(c)}, {_numeric_struct(c)}" for c in rules.numeric)
     executed = (string(execution_date) if execution_date
                 else "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")")
@@ -239,5 +223,6 @@ def dq_report(stats: DataFrame, rules: CompiledRules, unmapped: list[str] | None
         f"CAST(map({cq}) AS {_CQ_TYPE}) AS column_quality",
         f"named_struct('categorical', CAST(map({cat}) AS {_CAT_TYPE}), "
         f"'numeric', CAST(map({num}) AS {_NUM_TYPE}), "
-        f"'categorical_distinct', CAST(map({cat_n}) AS MAP<STRING, BIGINT>)) AS eda",
+        f"'categorical_distinct', CAST(map({cat_n}) AS MAP<STRING, BIGINT>), "
+        f"'categorical_drifted', CAST(map({cat_drift}) AS MAP<STRING, BIGINT>)) AS eda",
     )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.contract import Contract
-from lakeproof.functions.casts import coerce, numeric_text_key, timestamp_text_key
+from lakeproof.functions.casts import coerce, integer_text_key, numeric_text_key, timestamp_text_key
 
 MULTIPLICITY = "__copies"
-_NUMERIC_TYPES = ("float", "double", "int", "bigint")
+_NUMERIC_TYPES = ("float", "double")
+_INTEGER_TYPES = ("int", "bigint")
 _TIME_TYPES = ("timestamp", "timestamp_ntz")
 
 
@@ -28,6 +29,8 @@ def _dedup_keys(df: DataFrame, contract: Contract | None) -> DataFrame:
             continue
         if type_name in _NUMERIC_TYPES:
             fixes[name] = numeric_text_key(F.col(name))
+        elif type_name in _INTEGER_TYPES:
+            fixes[name] = integer_text_key(F.col(name))
         elif type_name in _TIME_TYPES:
             fixes[name] = timestamp_text_key(F.col(name))
     return df.withColumns(fixes) if fixes else df

@@ -59,7 +59,8 @@ def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     built from those metrics. The categorical profile
     ``(column_name, value, n)`` of the batch is written as its own table
     (``profiles_path/batch_id=<id>``, reading only the profiled columns of the
-    cache); the report embeds its sorted values, bounded per column.
+    cache); the report embeds the found values of the closed domains and exact
+    counts of distinct and drifted values.
     ``materialize="checkpoint"`` writes the flagged rows once to the shared
     checkpoint folder instead of caching them on executors.
     """

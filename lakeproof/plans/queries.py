@@ -199,13 +199,19 @@ def q_schema_drift_alert(spark, sf_dir):
 
 
 def q_category_drift(spark, sf_dir):
-    return observe.category_drift(_report(spark, sf_dir))
+    return observe.category_drift(_plan(spark, sf_dir).profile())
 
 
 def q_profile_drift(spark, sf_dir):
     return observe.profile_drift(_plan(spark, sf_dir).profile())
 
 
+def q_user_drift(spark, sf_dir):
+    """Drift of a column with very many values: no list, no cut."""
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("CAST(user_id AS STRING) AS user_id")
+    return observe.profile_drift(quality.categorical_profile(users, ["user_id"]), {"user_id": ["1", "2", "3"]})
+
+
 def q_numeric_stats(spark, sf_dir):
     return observe.numeric_stats(_report(spark, sf_dir))
 
@@ -227,7 +233,7 @@ def q_dq_report_json(spark, sf_dir):
 
 
 def q_report_categorical(spark, sf_dir):
-    """The report's categorical value lists, one row per (column, value, position)."""
+    """The report's lists of found domain values, one row per (column, value, position)."""
     rep = _report(spark, sf_dir)
     return (rep.selectExpr("explode(eda.categorical) AS (column_name, found)")
             .selectExpr("column_name", "posexplode(found) AS (position, value)"))
@@ -338,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift_alert": q_schema_drift_alert,
     "category_drift": q_category_drift,
     "profile_drift": q_profile_drift,
+    "user_drift": q_user_drift,
     "numeric_stats": q_numeric_stats,
     "report_metrics": q_report_metrics,
     "dq_report_json": q_dq_report_json,
@@ -502,7 +509,9 @@ def _report_json_sql() -> str:
         for c in _HARD + _SOFT)
     cat = ", ".join(
         f"'{c}', (SELECT coalesce(list_sort(list(DISTINCT CAST({c} AS VARCHAR))), []::VARCHAR[]) FROM typed "
-        f"WHERE {c} IS NOT NULL)" for c in _CATEGORICAL)
+        f"WHERE {c} IN {_DOMAINS_SQL[c]})" for c in _CATEGORICAL)
+    cat_d = ", ".join(f"'{c}', (SELECT count(DISTINCT {c}) FROM typed WHERE {c} NOT IN {_DOMAINS_SQL[c]})"
+                      for c in _CATEGORICAL)
     cat_n = ", ".join(f"'{c}', (SELECT count(DISTINCT {c}) FROM typed)" for c in _CATEGORICAL)
     num = ", ".join(
         f"'{c}', (SELECT json_object('min', CAST(min({c}) AS DOUBLE), 'max', CAST(max({c}) AS DOUBLE), "
@@ -520,7 +529,8 @@ def _report_json_sql() -> str:
             + f"'anomalies', json_object('missing_values', {missing}, 'invalid_values', {invalid}), "
             + f"'column_quality', json_object({cq}), "
             + f"'eda', json_object('categorical', json_object({cat}), 'numeric', json_object({num}), "
-            + f"'categorical_distinct', json_object({cat_n}))) AS VARCHAR) AS report_json "
+            + f"'categorical_distinct', json_object({cat_n}), 'categorical_drifted', json_object({cat_d}))) AS VARCHAR) "
+              "AS report_json "
               "FROM metrics m, stats s")
 
 
@@ -599,6 +609,8 @@ ORACLES: dict[str, str] = {
     "profile_drift": _with() + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM typed "
         f"WHERE {c} IS NOT NULL AND {c} NOT IN {_DOMAINS_SQL[c]} GROUP BY {c}" for c in _CATEGORICAL),
+    "user_drift": "SELECT 'user_id' AS column_name, CAST(user_id AS VARCHAR) AS value, count(*) AS n FROM events "
+                  "WHERE user_id NOT IN (1, 2, 3) GROUP BY user_id",
     "numeric_stats": _with() + _numeric_sql(),
     "local_time": "SELECT event_id, coalesce(strftime(TRY_CAST(txt AS TIMESTAMP) - INTERVAL 3 HOUR, "
                   "'%d/%m/%Y %H:%M:%S'), txt) AS local_time FROM (SELECT event_id, CASE WHEN event_type = 'error' "
@@ -612,7 +624,7 @@ ORACLES: dict[str, str] = {
     "dq_report_json": _report_json_sql(),
     "report_categorical": _with() + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS position, value "
-        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IS NOT NULL)"
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IN {_DOMAINS_SQL[c]})"
         for c in _CATEGORICAL),
     "layer_preview_ordered": _with(_VALID) + f"SELECT * FROM valid ORDER BY " + ", ".join(
         f'"{c}" ASC NULLS FIRST' for c in TX_COLS) + " LIMIT 250",

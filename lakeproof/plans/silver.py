@@ -21,7 +21,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lakeproof.contract import TX_CONTRACT, Contract
-from lakeproof.functions.rules import CompiledRules, compile_rules
+from lakeproof.functions.rules import CompiledRules, compile_rules, utc_text
 from lakeproof.operators import quality
 from lakeproof.operators.shape import MULTIPLICITY, apply_types, dedup_exact, unmapped_columns
 from lakeproof.operators.split import OK, flag, flag_columns, quarantine, valid
@@ -30,10 +30,8 @@ from lakeproof.operators.split import OK, flag, flag_columns, quarantine, valid
 def resolve_as_of(as_of: str | datetime | None) -> str:
     """A fixed instant for the whole batch (UTC now when not given)."""
     if as_of is None:
-        as_of = datetime.now(timezone.utc).replace(tzinfo=None)
-    if isinstance(as_of, datetime):
-        return as_of.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return as_of
+        as_of = datetime.now(timezone.utc)
+    return utc_text(as_of) if isinstance(as_of, datetime) else as_of
 
 
 @dataclass
@@ -61,9 +59,8 @@ class SilverPlan:
         return quality.categorical_profile(self.flagged, self.rules.categorical)
 
     def report(self, stats: DataFrame | None = None, execution_date: str | None = None,
-               profile: DataFrame | None = None,
-               max_values: int = quality.MAX_REPORT_VALUES) -> DataFrame:
-        """One-row report; categorical lists come from ``profile`` (bounded per column).
+               profile: DataFrame | None = None) -> DataFrame:
+        """One-row report; categorical lists and counts come from ``profile``.
 
         Without a written ``profile`` it is computed here and cached while the
         lists are read; ``persist()`` the plan first so the stats and the
@@ -74,7 +71,7 @@ class SilverPlan:
             own = profile is None
             prof = self.profile().persist() if own else profile
             try:
-                cats = quality.categorical_lists(prof, max_values)
+                cats = quality.categorical_lists(prof, self.contract.domains)
             finally:
                 if own:
                     prof.unpersist()

@@ -16,15 +16,21 @@ def read_raw(spark: SparkSession, path: str, schema: str | T.StructType | None =
     """A raw CSV batch with a header row.
 
     Default: every column as text (no inference pass over the data; typing is
-    done leniently in Silver). ``schema`` declares types up front; ``infer``
-    reproduces type inference, which costs an extra scan of the input
+    done leniently in Silver). ``schema`` declares types
+    by column name; cells that don't fit are NULL. ``infer`` reproduces type inference, which costs an extra scan of the input
     (``sampling_ratio`` < 1 infers from a sample of the rows instead; the
     types may then differ from a full inference).
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
+        fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+        raw = reader.csv(path)
+        declared = {f.name: f.dataType for f in fields}
+        # columns go by the header's names, so one that the file lacks stays missing
+        return raw.select(*[F.col(f"`{n}`") for n in raw.columns if n not in declared],
+                          *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields
+                            if f.name in raw.columns])
+    if infer:
         reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
     return reader.csv(path)
 
@@ -34,6 +40,11 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _newest_first() -> list:
+    """Both layouts name a batch by its time; only its digits are compared."""
+    return [F.rpad(F.regexp_replace("batch_id", "[^0-9]", ""), 20, "0").desc(), F.col("batch_id").desc()]
+
+
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
     """Report history: one row per batch with ``batch_id``, newest first.
 
@@ -46,19 +57,23 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
         df = (spark.read.schema(schema).option("multiLine", True)
               .option("recursiveFileLookup", True).json(path))
     except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"{MSG_NO_REPORTS} ({path})") from exc
+    if not df.inputFiles():
+        raise FileNotFoundError(f"{MSG_NO_REPORTS} ({path})")
     file_path = F.col("_metadata.file_path")
     from_folder = F.regexp_extract(file_path, r"batch_id=([^/]+)/", 1)
     from_name = F.regexp_extract(file_path, r"([^/]+)\.json$", 1)
     batch = F.when(from_folder != "", from_folder).otherwise(from_name)
-    return df.select(batch.alias("batch_id"), *schema.fieldNames()).orderBy(F.col("batch_id").desc())
+    return df.select(batch.alias("batch_id"), *schema.fieldNames()).orderBy(*_newest_first())
 
 
 def select_report(reports: DataFrame, batch_id: str | None = None) -> DataFrame:
     """One batch of the history; the newest when no id is given."""
     if batch_id is not None:
         return reports.filter(F.col("batch_id") == batch_id)
-    return reports.orderBy(F.col("batch_id").desc()).limit(1)
+    return reports.orderBy(*_newest_first()).limit(1)
 
 
 CATALOG_FIELDS = ["coluna", "tipo", "obrigatorio", "regras_dq", "descricao"]
@@ -91,6 +106,8 @@ def preview(spark: SparkSession, path: str, limit: int = PREVIEW_DEFAULT_LIMIT,
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"{MSG_LAYER_NOT_FOUND} ({path})") from exc
     if order_by:
         df = df.orderBy(*order_by)

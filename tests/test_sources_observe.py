@@ -52,7 +52,7 @@ def test_reads_pretty_printed_documents(spark, tmp_path):
     assert observe.local_time(F.lit(row["execution_date"])) is not None
     lt = hist.select(observe.local_time(F.col("execution_date")).alias("t")).first()["t"]
     assert lt == "01/01/2026 09:00:00"
-    drift = {(r["column_name"], r["value"]) for r in observe.category_drift(hist).collect()}
+    drift = {(r["column_name"], r["value"]) for r in observe.document_drift(hist).collect()}
     assert drift == {("location_region", "Euro")}
     v = observe.validity_nonnull(hist).first()
     assert v["validity_nonnull_pct"] == pytest.approx(6 / 7 * 100)
@@ -111,7 +111,7 @@ def test_column_ops_over_written_history(spark, tmp_path):
     write_report(_report(spark), path, "20260101_000000_000001")
     hist = read_reports(spark, path)
     for op in (observe.column_status, observe.issue_ranking, observe.validity_nonnull,
-               observe.required_optional, observe.category_drift, observe.numeric_stats,
+               observe.required_optional, observe.document_drift, observe.numeric_stats,
                observe.kpi_volumes, observe.audit_counts, observe.schema_drift_alert):
         op(hist).write.format("noop").mode("overwrite").save()
     rows = observe.column_status(hist).collect()
@@ -125,22 +125,28 @@ def test_report_rewrite_same_batch_is_idempotent(spark, tmp_path):
     assert read_reports(spark, path).count() == 1
 
 
-def test_report_lists_are_bounded_and_counts_exact(spark):
+def test_report_counts_and_drift_are_complete(spark):
     from lakeproof.operators import quality
-    from .test_plans import _plan_text
-    # location_region of events-derived rows: six distinct values; bound at 4.
-    p = plan_silver(tx_raw(spark, SF_SMALL), TX_CONTRACT, AS_OF)
-    vals = quality.categorical_values(p.profile(), max_values=4)
-    assert "WindowGroupLimit" in _plan_text(vals)
-    got = {r["column_name"]: (r["values"], r["distinct_values"]) for r in vals.collect()}
-    full = {r["column_name"]: r["n"] for r in p.profile().groupBy("column_name").count()
-            .withColumnRenamed("count", "n").collect()}
-    for col, (values, n) in got.items():
-        assert n == full[col]
-        assert len(values) == min(4, n) and values == sorted(values)
-    rep = p.report(p.stats(), AS_OF, max_values=4).first()
+    found = spark.range(10_050).selectExpr("'age_group' AS column_name", "CAST(id AS STRING) AS value", "1L AS n")
+    profile = found.union(spark.sql("SELECT 'age_group', 'new', 4L"))
+    assert quality.categorical_lists(profile, {"age_group": ["new", "veteran"]}) == {"age_group": (["new"], 10_051, 10_050)}
+    assert observe.category_drift(profile).count() == observe.profile_drift(profile).count() == 10_050
+    rep = plan_silver(tx_raw(spark, SF_SMALL), TX_CONTRACT, AS_OF)
+    rep = rep.report(rep.stats(), AS_OF).first()
     assert rep["eda"]["categorical_distinct"]["location_region"] == 6
-    assert len(rep["eda"]["categorical"]["location_region"]) == 4
+    assert rep["eda"]["categorical_drifted"]["location_region"] == 1
+    assert len(rep["eda"]["categorical"]["location_region"]) == 5
+
+
+def test_newest_report_over_both_layouts(spark, tmp_path):
+    path = tmp_path / "reports"
+    write_report(_report(spark), str(path), "20270101_000000_000001")
+    (path / "dq_report_20250101_000000.json").write_text("{}")
+    assert [r["batch_id"] for r in read_reports(spark, str(path)).collect()] == [
+        "20270101_000000_000001", "dq_report_20250101_000000"]
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        read_reports(spark, str(tmp_path / "none"))
 
 
 def test_profile_drift_is_exact(spark, tmp_path):
@@ -154,8 +160,9 @@ def test_profile_drift_is_exact(spark, tmp_path):
     drift = {(r["column_name"], r["value"]) for r in observe.profile_drift(profile).collect()}
     assert drift == {("transaction_type", "refund"), ("location_region", "Euro"), ("anomaly", "extreme"),
                      ("age_group", "legacy"), ("purchase_pattern", "bulk")}
-    hist = read_reports(spark, paths.reports)
-    assert {(r["column_name"], r["value"]) for r in observe.category_drift(hist).collect()} == drift
+    hist = spark.read.parquet(paths.profiles)
+    assert {(r["batch_id"], r["column_name"], r["value"]) for r in observe.category_drift(hist).collect()} == {
+        (res.batch_id, *d) for d in drift}
 
 
 def test_missing_report_history(spark, tmp_path):

@@ -60,8 +60,7 @@ def main() -> None:
         ("Silver valid rows", p.valid()),
         ("Quarantine with reasons", p.quarantine()),
         ("Categorical profile", quality.categorical_profile(p.typed(), p.rules.categorical)),
-        ("Bounded report lists from the written profile (first k values per column + exact counts)",
-         quality.categorical_values(spark.read.parquet(profile_path), 1000)),
+        ("Category drift from the written profile", observe.profile_drift(spark.read.parquet(profile_path))),
         ("Gold region risk", gold.region_risk(sl)),
         ("Gold top sales (latest per address, top 3)", gold.top_sales(sl)),
         ("Latest per address via max_by (alternative)",
