@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakeproof.contract import TX_CATALOG, TX_CONTRACT
+from lakeproof.contract import TX_CONTRACT
 from lakeproof.operators import observe
 from lakeproof.plans.fixtures import AS_OF, tx_raw
 from lakeproof.plans.silver import plan_silver
@@ -15,6 +15,16 @@ from lakeproof.sources.writers import write_report
 from .conftest import SF_SMALL
 
 
+CATALOG = {
+    "landing": [{"coluna": "order_no", "descricao": "number as delivered"},
+                {"coluna": "weight", "descricao": "grams as text"}],
+    "checked": [{"coluna": "timestamp", "tipo": "timestamp", "obrigatorio": "Sim", "regras_dq": "not null",
+                 "descricao": "when it left"},
+                {"coluna": "anomaly", "tipo": "string", "obrigatorio": "Não", "regras_dq": "a known word",
+                 "descricao": "what looked odd"}],
+}
+
+
 def _report(spark, variant="clean"):
     p = plan_silver(tx_raw(spark, SF_SMALL, variant), TX_CONTRACT, AS_OF)
     return p.report(p.stats(), AS_OF)
@@ -72,16 +82,16 @@ def test_bands(spark):
 
 def test_catalog(spark, tmp_path):
     path = tmp_path / "data_catalog.json"
-    path.write_text(json.dumps(TX_CATALOG, ensure_ascii=False, indent=4))
+    path.write_text(json.dumps(CATALOG, ensure_ascii=False, indent=4))
     cat = observe.catalog_listing(read_catalog(spark, str(path)))
     rows = cat.collect()
-    assert len(rows) == sum(len(v) for v in TX_CATALOG.values())
+    assert len(rows) == sum(len(v) for v in CATALOG.values())
     layers = [r["layer"] for r in cat.select("layer", "layer_position").distinct()
               .orderBy("layer_position").collect()]
-    assert layers == list(TX_CATALOG)
-    silver = {r["coluna"]: r["mandatory"] for r in rows if r["layer"] == "Silver (Clean)"}
+    assert layers == list(CATALOG)
+    silver = {r["coluna"]: r["mandatory"] for r in rows if r["layer"] == "checked"}
     assert silver["timestamp"] == "required" and silver["anomaly"] == "optional"
-    assert all(r["mandatory"] is None for r in rows if r["layer"] == "Bronze (Raw)")
+    assert all(r["mandatory"] is None for r in rows if r["layer"] == "landing")
 
 
 def test_preview(spark, tmp_path):
