@@ -19,6 +19,7 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from lakeproof.session import ENGINE_CONF
 
@@ -47,7 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     from lakeproof.operators import observe
     from lakeproof.operators.gates import QualityGateError, circuit_breaker
     from lakeproof.plans import jobs
-    from lakeproof.sources import LakePaths, compact_reports, preview, read_reports, select_report
+    from lakeproof.sources import LakePaths, compact_reports, preview, read_layer, read_reports, select_report
 
     spark = _session()
     paths = LakePaths(args.base or ".", source_csv=args.source)
@@ -59,17 +60,21 @@ def main(argv: list[str] | None = None) -> int:
             jobs.bronze_ingest(spark, paths.source, paths.bronze, infer=args.infer)
         elif args.command == "silver":
             result = jobs.silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports,
-                                     as_of=args.as_of)
+                                     as_of=args.as_of, profiles_path=paths.profiles)
             print(json.dumps(result.verdict()))
             print(circuit_breaker(result.verdict()))
         elif args.command == "gold":
+            last = select_report(read_reports(spark, paths.reports)).first()
+            print(circuit_breaker({"conformity_pct": last["metrics"]["conformity_rate_pct"]}))
             jobs.gold_region_risk(spark, paths.silver, paths.region_risk)
             jobs.gold_top_sales(spark, paths.silver, paths.top_sales)
         elif args.command == "report":
             chosen = select_report(read_reports(spark, paths.reports), args.batch_id)
             for op in (observe.kpi_volumes, observe.batch_status, observe.audit_counts,
-                       observe.issue_ranking, observe.category_drift, observe.numeric_stats):
+                       observe.issue_ranking, observe.numeric_stats):
                 op(chosen).show(truncate=False)
+            profile = read_layer(spark, paths.profiles).join(F.broadcast(chosen.select("batch_id")), "batch_id")
+            observe.profile_drift(profile).orderBy(F.col("n").desc()).show(truncate=False)
         elif args.command == "compact":
             compact_reports(spark, paths.reports, args.path)
         elif args.command == "preview":

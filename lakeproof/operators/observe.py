@@ -56,12 +56,6 @@ def band_sql(value: str, threshold: str, yellow: float = STATUS_YELLOW_BAND_PCT)
             f"WHEN {value} >= {threshold} - {literal(float(yellow))} THEN 'yellow' ELSE 'red' END")
 
 
-def band(value: Column, threshold: Column, yellow: float = STATUS_YELLOW_BAND_PCT) -> Column:
-    return (F.when(value >= threshold, F.lit("green"))
-            .when(value >= threshold - F.lit(yellow), F.lit("yellow"))
-            .otherwise(F.lit("red")))
-
-
 def column_rows(reports: DataFrame) -> DataFrame:
     """One row per batch and ruled column, with the batch totals alongside."""
     keys = _keys(reports)
@@ -94,12 +88,13 @@ def column_status(reports: DataFrame) -> DataFrame:
 
 
 def issue_ranking(reports: DataFrame) -> DataFrame:
-    """Columns by invalid + null occurrences, most first (name breaks ties)."""
+    """Columns by invalid + null occurrences, most first (name breaks ties), per batch."""
     keys = _keys(reports)
-    part = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    if not keys:
+        raise ValueError(f"the ranking is per batch: the reports need one of {_BATCH_KEYS}")
     return column_rows(reports).selectExpr(
         *keys, "column_name", "invalid", "`null`", "invalid + `null` AS total_issues",
-        f"row_number() OVER ({part}ORDER BY invalid + `null` DESC, column_name) AS issue_rank")
+        f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY invalid + `null` DESC, column_name) AS issue_rank")
 
 
 def required_optional(reports: DataFrame, required=TX_REQUIRED_COLUMNS) -> DataFrame:
@@ -157,12 +152,6 @@ def numeric_stats(reports: DataFrame) -> DataFrame:
             .selectExpr(*keys, "column_name", "s.min", "s.max", "s.avg"))
 
 
-def local_time_sql(text: str, hours: int = LOCAL_TIME_OFFSET_HOURS, fmt: str = LOCAL_TIME_FORMAT) -> str:
-    """ISO text shifted by ``hours`` and formatted; unparsable text returned as is."""
-    shifted = f"timestampadd(HOUR, {int(hours)}, try_cast({text} AS TIMESTAMP_NTZ))"
-    return f"coalesce(date_format({shifted}, {string(fmt)}), {text})"
-
-
 def local_time(text: Column, hours: int = LOCAL_TIME_OFFSET_HOURS, fmt: str = LOCAL_TIME_FORMAT) -> Column:
     parsed = text.try_cast("timestamp_ntz")
     return F.coalesce(F.date_format(F.timestamp_add("HOUR", F.lit(hours), parsed), fmt), text)

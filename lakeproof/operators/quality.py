@@ -9,10 +9,9 @@ profile) are projections of that one row.
 
 Categorical values are not gathered by that aggregate: a column that drifts
 to free text could hold billions of distinct values. They come from the
-distributed profile ``(column_name, value, n)``; the report embeds at most
-``max_values`` sorted values per column (all of them for closed domains)
-together with the exact distinct count, and the complete profile is a table
-of its own.
+distributed profile ``(column_name, value, n)``, a table of its own; the
+report embeds the found values of the contract's closed domains together with
+the exact numbers of distinct and drifted values.
 """
 
 from __future__ import annotations

@@ -18,9 +18,9 @@ from lakeproof.contract import TX_CONTRACT, Contract
 from lakeproof.functions.sqltext import ident, typed_literal
 from lakeproof.operators import gold, quality
 from lakeproof.operators.gates import circuit_breaker, require_columns, require_non_empty
-from lakeproof.operators.shape import MULTIPLICITY
-from lakeproof.operators.split import valid
+from lakeproof.operators.split import OK
 from lakeproof.plans.silver import SilverPlan, plan_silver
+from lakeproof.session import drop_path, input_bytes, scratch_path, sized_shuffle
 from lakeproof.sources.paths import LakePaths
 from lakeproof.sources.readers import read_layer, read_raw
 from lakeproof.sources.writers import new_batch_id, write_layer, write_report
@@ -49,49 +49,50 @@ class SilverResult:
 def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str,
                reports_path: str, contract: Contract = TX_CONTRACT, as_of=None,
                batch_id: str | None = None, raw: DataFrame | None = None,
-               materialize: str = "persist", profiles_path: str | None = None) -> SilverResult:
+               profiles_path: str | None = None) -> SilverResult:
     """Dedup, type, validate, split, profile; write Silver, quarantine and the report.
 
-    One data shuffle. The Silver write computes the dedup shuffle, fills the
-    cache of flagged rows and, through ``observe``, every count and statistic
-    of the report (one row of metrics, collected from the write's own tasks);
-    the quarantine write reads the cache. The report is then a one-row frame
-    built from those metrics. The categorical profile
-    ``(column_name, value, n)`` of the batch is written as its own table
-    (``profiles_path/batch_id=<id>``, reading only the profiled columns of the
-    cache); the report embeds the found values of the closed domains and exact
-    counts of distinct and drifted values.
-    ``materialize="checkpoint"`` writes the flagged rows once to the shared
-    checkpoint folder instead of caching them on executors.
+    One data shuffle. The flagged rows are written once to shared scratch,
+    partitioned by verdict; ``observe`` computes every count and statistic of
+    the report in that write. Each layer then reads its own partition, and the
+    profile its few columns; a lost executor costs no second dedup. The
+    categorical profile ``(column_name, value, n)`` of the batch is a table of
+    its own (``profiles_path/batch_id=<id>``); the report embeds the found
+    values of the closed domains and exact counts of distinct and drifted
+    values. Shuffle partitions are sized to the Bronze layer while the job
+    runs; the scratch is deleted at its end.
     """
-    if materialize not in ("persist", "checkpoint"):
-        raise ValueError(f"materialize must be 'persist' or 'checkpoint', not {materialize!r}")
     profiles_path = profiles_path or os.path.join(os.path.dirname(reports_path.rstrip("/")), "dq_profiles")
     batch_id = batch_id or new_batch_id()
-    raw = raw if raw is not None else read_layer(spark, bronze_path)
-    plan = plan_silver(raw, contract, as_of)
-    plan = plan.checkpoint() if materialize == "checkpoint" else plan.persist()
+    source = raw if raw is not None else read_layer(spark, bronze_path)
+    plan = plan_silver(source, contract, as_of)
+    lazy = plan.flagged
+    work = scratch_path(spark, "silver-flagged")
     try:
-        observation = Observation(f"silver_batch_stats_{uuid.uuid4().hex}")
-        exprs = quality.batch_stats_exprs(plan.flagged, plan.rules)
-        observed = plan.flagged.observe(observation, *[F.expr(e) for e in exprs])
-        write_layer(valid(observed).drop(MULTIPLICITY), silver_path)
-        write_layer(plan.quarantine(), quarantine_path)
-        schema = quality.batch_stats(plan.flagged, plan.rules).schema
-        values = observation.get
-        # The one observed row as a literal frame: projections over it fold into a
-        # local relation, so reading the verdict below runs no Spark job.
-        stats = spark.sql("SELECT " + ", ".join(
-            f"{typed_literal(values[f.name], f.dataType.simpleString())} AS {ident(f.name)}"
-            for f in schema.fields))
-        profile_path = f"{profiles_path.rstrip('/')}/batch_id={batch_id}"
-        write_layer(plan.profile(), profile_path)
-        executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
-        report = plan.report(stats, executed, profile=read_layer(spark, profile_path))
-        batch_id = write_report(report, reports_path, batch_id)
-        metrics = quality.batch_metrics(stats, plan.rules, plan.unmapped, contract.threshold_pct).first()
+        with sized_shuffle(spark, input_bytes(source) if raw is None else 0):
+            observation = Observation(f"silver_batch_stats_{uuid.uuid4().hex}")
+            exprs = quality.batch_stats_exprs(lazy, plan.rules)
+            lazy.observe(observation, *[F.expr(e) for e in exprs]).write.partitionBy(OK).parquet(work)
+            plan.flagged = spark.read.schema(lazy.schema).parquet(work)
+            write_layer(plan.valid(), silver_path)
+            write_layer(plan.quarantine(), quarantine_path)
+            schema = quality.batch_stats(lazy, plan.rules).schema
+            values = observation.get
+            # The one observed row as a literal frame: projections over it fold into a
+            # local relation, so reading the verdict below runs no Spark job.
+            stats = spark.sql("SELECT " + ", ".join(
+                f"{typed_literal(values[f.name], f.dataType.simpleString())} AS {ident(f.name)}"
+                for f in schema.fields))
+            profile_path = f"{profiles_path.rstrip('/')}/batch_id={batch_id}"
+            profile = plan.profile()
+            write_layer(profile, profile_path)
+            executed = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+            report = plan.report(stats, executed, profile=spark.read.schema(profile.schema).parquet(profile_path))
+            batch_id = write_report(report, reports_path, batch_id)
+            metrics = quality.batch_metrics(stats, plan.rules, plan.unmapped, contract.threshold_pct).first()
     finally:
-        plan.unpersist()
+        plan.flagged = lazy
+        drop_path(spark, work)
     return SilverResult(float(metrics["conformity_rate_pct"]), batch_id, plan)
 
 

@@ -6,10 +6,9 @@
     flagged --filter ok--> Silver      flagged --filter not ok--> quarantine
     flagged[categorical columns] --grouped count--> profile       (column_name, value, n)
 
-``flagged`` is materialised once so the writes and the profile read it instead
-of redoing the dedup shuffle; the Silver job (``plans.jobs.silver_job``)
-observes the batch stats during the Silver write rather than running the
-aggregate apart.
+The Silver job (``plans.jobs.silver_job``) writes ``flagged`` once to shared
+scratch, apart by verdict, and observes the batch stats during that write; the
+layers and the profile read it instead of redoing the dedup shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lakeproof.contract import TX_CONTRACT, Contract
@@ -62,48 +60,14 @@ class SilverPlan:
                profile: DataFrame | None = None) -> DataFrame:
         """One-row report; categorical lists and counts come from ``profile``.
 
-        Without a written ``profile`` it is computed here and cached while the
-        lists are read; ``persist()`` the plan first so the stats and the
-        profile share one dedup.
+        Without a written ``profile`` it is computed here, over a dedup of its own.
         """
         cats = {}
         if self.rules.categorical:
-            own = profile is None
-            prof = self.profile().persist() if own else profile
-            try:
-                cats = quality.categorical_lists(prof, self.contract.domains)
-            finally:
-                if own:
-                    prof.unpersist()
+            cats = quality.categorical_lists(self.profile() if profile is None else profile, self.contract.domains)
         return quality.dq_report(stats if stats is not None else self.stats(), self.rules,
                                  self.unmapped, execution_date, self.contract.threshold_pct, cats)
 
-    def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "SilverPlan":
-        """Keep the flagged rows for both writes and the profile.
-
-        A lost executor's cached blocks are recomputed from lineage (scan and
-        one shuffle), so the job survives executor loss without a full
-        rewrite of the data to shared storage.
-        """
-        self.flagged = self.flagged.persist(level)
-        return self
-
-    def checkpoint(self) -> "SilverPlan":
-        """Write the flagged rows once to the shared checkpoint folder.
-
-        For very long lineages or clusters with frequent executor loss: the
-        writes and the profile then read a reliable copy instead of
-        recomputing lost blocks.
-        """
-        from lakeproof.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(self.flagged.sparkSession)
-        self.flagged = self.flagged.checkpoint(eager=True)
-        return self
-
-    def unpersist(self) -> None:
-        self.flagged.unpersist()
-
 
 def plan_silver(raw: DataFrame, contract: Contract = TX_CONTRACT,
                 as_of: str | datetime | None = None) -> SilverPlan:

@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session running the engine should carry. At cluster scale the
 # shuffle partition count is a starting point only: AQE coalesces small
@@ -93,6 +95,32 @@ def scale_conf(input_bytes: int, partition_bytes: int = 512 * 1024 ** 2) -> dict
     }
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files behind a frame that reads files, by the plan's statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+@contextmanager
+def sized_shuffle(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """While the block runs, at least as many shuffle partitions as ``scale_conf``
+    gives for the input; a larger setting of the session's own is kept."""
+    key = "spark.sql.shuffle.partitions"
+    before, target = spark.conf.get(key), int(scale_conf(n_bytes)["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+    wanted = -(-n_bytes // target)
+    if wanted > int(before):
+        spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of the engine's own, on whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of ``spark``: as a
     zip sent once per application, unless PYTHONPATH names its folder already."""

@@ -76,7 +76,7 @@ def test_local_time_unparsable_passthrough(spark):
 
 def test_bands(spark):
     df = spark.createDataFrame([(80.0,), (79.9,), (75.0,), (74.99,)], "v double")
-    out = [r[0] for r in df.select(observe.band(F.col("v"), F.lit(80.0))).collect()]
+    out = [r[0] for r in df.selectExpr(observe.band_sql("v", "80.0D")).collect()]
     assert out == ["green", "yellow", "yellow", "red"]
 
 
