@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.llm.common import load, materialise, only
-from lakeproof.llm.words import BREAK, WORD, ascii_lower, small, word_places
+from lakeproof.llm.words import BREAK, WORD, ascii_lower, small
 
 KINDS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -126,8 +126,9 @@ def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEX
                         .alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e")))
     # n(t) over the whole corpus, for the terms in question only
     terms = small(pairs.select("word").distinct(), "word")
-    n_t = (word_places(docs.withColumn("__row", F.monotonically_increasing_id()), "__row").join(terms, "word")
-           .groupBy("word", "__row").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("*").alias("n_t")))
+    # (a text's own words are made distinct in place, so counts alone are dealt)
+    own = F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1))
+    n_t = docs.select(F.explode(own).alias("word")).join(terms, "word").groupBy("word").agg(F.count("*").alias("n_t"))
     n = docs.count()
     bits = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     return (pairs.join(n_e, "entity").join(n_t, "word")
