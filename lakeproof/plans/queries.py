@@ -9,9 +9,11 @@ as plain SQL: it restates the semantics, it is not generated by the engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakeproof.contract import TX_CONTRACT, TX_REQUIRED_COLUMNS, Contract, Rule
 from lakeproof.operators import gold, observe, quality
@@ -20,11 +22,11 @@ from lakeproof.operators.shape import (MULTIPLICITY, apply_types, dedup_exact, d
                                        schema_drift)
 from lakeproof.operators.split import reason_counts, rule_flags, split_counts
 from lakeproof.plans.fixtures import AS_OF, duckdb_cte, read_table, tx_raw
-from lakeproof.plans.jobs import bronze_ingest, run_all
+from lakeproof.plans.jobs import bronze_ingest, run_all, silver_job
 from lakeproof.plans.silver import plan_silver
 from lakeproof.session import scratch_path
 from lakeproof.sources.paths import LakePaths
-from lakeproof.sources.readers import preview
+from lakeproof.sources.readers import preview, read_layer, read_reports, select_report
 from lakeproof.sources.writers import write_layer
 
 TX_COLS = ["timestamp", "sending_address", "receiving_address", "amount", "transaction_type",
@@ -38,9 +40,125 @@ def _plan(spark: SparkSession, sf_dir: str, variant: str = "clean"):
     return plan_silver(tx_raw(spark, sf_dir, variant), TX_CONTRACT, AS_OF)
 
 
+# One written batch of each variant; the ids tell their order in time.
+BATCHES = {"clean": "20260101_000000_000000", "rejected": "20260102_000000_000000", "drift": "20260103_000000_000000"}
+_LAKES: dict[tuple[str, str, str], LakePaths] = {}
+
+
+def _lake(spark, sf_dir, variant="clean") -> LakePaths:
+    """The layers and report that the Silver job wrote for a variant's batch,
+    written once per application and shared by the queries that read them."""
+    key = (spark.sparkContext.applicationId, sf_dir, variant)
+    if key not in _LAKES:
+        paths = LakePaths(scratch_path(spark, f"lake-{variant}"))
+        write_layer(tx_raw(spark, sf_dir, variant), paths.bronze)
+        silver_job(spark, paths.bronze, paths.silver, paths.quarantine, paths.reports, TX_CONTRACT, AS_OF,
+                   BATCHES[variant], profiles_path=paths.profiles)
+        _LAKES[key] = paths
+    return _LAKES[key]
+
+
 def _report(spark, sf_dir, variant="clean"):
-    p = _plan(spark, sf_dir, variant)
-    return p.report(p.stats(), AS_OF).drop("execution_date")
+    return select_report(read_reports(spark, _lake(spark, sf_dir, variant).reports), BATCHES[variant])
+
+
+def _observed(spark, sf_dir, operator, variant="clean"):
+    """An observability operator over the written report, without the batch's keys."""
+    return operator(_report(spark, sf_dir, variant)).drop("batch_id", "execution_date")
+
+
+def _profile(spark, sf_dir, variant="clean"):
+    return read_layer(spark, f"{_lake(spark, sf_dir, variant).profiles}/batch_id={BATCHES[variant]}")
+
+
+def _history(spark, sf_dir):
+    """The reports of all variants as one history."""
+    reports = [read_reports(spark, _lake(spark, sf_dir, v).reports) for v in BATCHES]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _csv_run(spark, sf_dir) -> LakePaths:
+    """A full run from a CSV file of the whole batch, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "csv")
+    if key not in _LAKES:
+        base = scratch_path(spark, "run-csv")
+        paths = LakePaths(f"{base}/lake", source_csv=f"{base}/landing")
+        (tx_raw(spark, sf_dir).write.option("header", True)
+         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(paths.source))
+        run_all(spark, paths, TX_CONTRACT, AS_OF)
+        _LAKES[key] = paths
+    return _LAKES[key]
+
+
+def q_silver_job_valid(spark, sf_dir):
+    return read_layer(spark, _lake(spark, sf_dir).silver)
+
+
+def q_silver_job_quarantine(spark, sf_dir):
+    return read_layer(spark, _lake(spark, sf_dir).quarantine)
+
+
+def q_report_history(spark, sf_dir):
+    """Every batch, newest first by rank, with its status; the newest is selected."""
+    history = _history(spark, sf_dir)
+    newest = select_report(history).select("batch_id", F.lit(True).alias("selected"))
+    ranked = observe.batch_status(history).drop("execution_date").withColumn(
+        "newest_rank", F.row_number().over(Window.orderBy(F.col("batch_id").desc())))
+    return ranked.join(F.broadcast(newest), "batch_id", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+
+
+def q_run_all_csv(spark, sf_dir):
+    """Region risk of a full run from CSV, with the place of each region."""
+    order = Window.orderBy(F.col("avg_risk_score").desc(), "location_region")
+    return read_layer(spark, _csv_run(spark, sf_dir).region_risk).withColumn("place", F.row_number().over(order))
+
+
+def q_run_all_top_sales(spark, sf_dir):
+    return read_layer(spark, _csv_run(spark, sf_dir).top_sales)
+
+
+# A text batch as it lands: wide and plain ids, junk, missing and negative amounts, second spellings
+# of an amount, times as whole and fractional epoch seconds, as ISO text and as junk.
+DIRTY_CONTRACT = Contract(
+    name="dirty_text", expected=["id", "amount", "at"], required=["id", "amount", "at"],
+    types={"id": "bigint", "amount": "double", "at": "timestamp_ntz"},
+    rules=[Rule("id", "not_null", {}, "hard", "bad id"), Rule("amount", "min", {"value": 0}, "hard", "bad amount"),
+           Rule("at", "not_after", {}, "hard", "bad time")],
+    categorical=[], numeric_profile=["amount"])
+_DIRTY_TEXT = """
+SELECT CASE WHEN event_id % 10 = 0 THEN 'n/a' WHEN event_id % 3 = 0 THEN CAST(9007199254740992 + event_id AS STRING)
+            WHEN event_id % 3 = 1 THEN CAST(10000000 + event_id AS STRING) ELSE CAST(event_id AS STRING) END AS id,
+       CASE WHEN event_id % 7 = 0 THEN 'junk' WHEN event_id % 7 = 1 THEN NULL
+            WHEN event_id % 7 = 2 THEN '-' || CAST(event_id AS STRING) || '.5'
+            ELSE CAST(event_id AS STRING) || spelling END AS amount,
+       CASE WHEN event_id % 4 = 0 THEN CAST(1672574400 + event_id AS STRING)
+            WHEN event_id % 4 = 1 THEN '2023-01-0' || CAST(1 + event_id % 9 AS STRING) || 'T10:00:00'
+            WHEN event_id % 4 = 2 THEN CAST(1672574400 + event_id AS STRING) || '.75' ELSE 'soon' END AS at
+FROM (SELECT event_id, '.0' AS spelling FROM {events}
+      UNION ALL SELECT event_id, '.00' AS spelling FROM {events} WHERE event_id % 50 IN (0, 1))
+"""
+
+
+def _dirty_plan(spark, sf_dir):
+    base = scratch_path(spark, "dirty-text")
+    spark.sql(_DIRTY_TEXT, events=read_table(spark, sf_dir, "events")).write.option("header", True).csv(f"{base}/landing")
+    return plan_silver(bronze_ingest(spark, f"{base}/landing", f"{base}/bronze", DIRTY_CONTRACT), DIRTY_CONTRACT, AS_OF)
+
+
+def q_dirty_text_typed(spark, sf_dir):
+    return _dirty_plan(spark, sf_dir).typed()
+
+
+def q_dirty_text_quarantine(spark, sf_dir):
+    return _dirty_plan(spark, sf_dir).quarantine()
+
+
+def q_dirty_text_duplicates(spark, sf_dir):
+    return duplicate_count(_dirty_plan(spark, sf_dir).flagged)
+
+
+def q_bigint_ids(spark, sf_dir):
+    return _dirty_plan(spark, sf_dir).valid().select("id")
 
 
 def q_csv_roundtrip_typed(spark, sf_dir):
@@ -125,8 +243,7 @@ def q_numeric_profile(spark, sf_dir):
 
 
 def q_dq_report(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    return p.report(p.stats(), AS_OF)
+    return _report(spark, sf_dir)
 
 
 def _breaker(spark, sf_dir, variant):
@@ -167,43 +284,43 @@ def q_gold_top_sales_agg(spark, sf_dir):
 
 
 def q_kpi_volumes(spark, sf_dir):
-    return observe.kpi_volumes(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.kpi_volumes)
 
 
 def q_batch_status(spark, sf_dir):
-    return observe.batch_status(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.batch_status)
 
 
 def q_column_status(spark, sf_dir):
-    return observe.column_status(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.column_status)
 
 
 def q_issue_ranking(spark, sf_dir):
-    return observe.issue_ranking(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.issue_ranking)
 
 
 def q_required_optional(spark, sf_dir):
-    return observe.required_optional(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.required_optional)
 
 
 def q_validity_nonnull(spark, sf_dir):
-    return observe.validity_nonnull(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.validity_nonnull)
 
 
 def q_audit_counts(spark, sf_dir):
-    return observe.audit_counts(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.audit_counts)
 
 
 def q_schema_drift_alert(spark, sf_dir):
-    return observe.schema_drift_alert(_report(spark, sf_dir, "drift"))
+    return _observed(spark, sf_dir, observe.schema_drift_alert, "drift")
 
 
 def q_category_drift(spark, sf_dir):
-    return observe.category_drift(_plan(spark, sf_dir).profile())
+    return observe.category_drift(_profile(spark, sf_dir))
 
 
 def q_profile_drift(spark, sf_dir):
-    return observe.profile_drift(_plan(spark, sf_dir).profile())
+    return observe.profile_drift(_profile(spark, sf_dir))
 
 
 def q_user_drift(spark, sf_dir):
@@ -213,7 +330,7 @@ def q_user_drift(spark, sf_dir):
 
 
 def q_numeric_stats(spark, sf_dir):
-    return observe.numeric_stats(_report(spark, sf_dir))
+    return _observed(spark, sf_dir, observe.numeric_stats)
 
 
 def q_report_metrics(spark, sf_dir):
@@ -353,6 +470,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "local_time": q_local_time,
     "layer_preview": q_layer_preview,
     "run_all": q_run_all,
+    "silver_job_valid": q_silver_job_valid,
+    "silver_job_quarantine": q_silver_job_quarantine,
+    "report_history": q_report_history,
+    "run_all_csv": q_run_all_csv,
+    "run_all_top_sales": q_run_all_top_sales,
+    "dirty_text_typed": q_dirty_text_typed,
+    "dirty_text_quarantine": q_dirty_text_quarantine,
+    "dirty_text_duplicates": q_dirty_text_duplicates,
+    "bigint_ids": q_bigint_ids,
     "lineitem_column_quality": q_lineitem_column_quality,
     "lineitem_reason_counts": q_lineitem_reason_counts,
     "orders_latest_per_customer": q_orders_latest_per_customer,
@@ -534,7 +660,41 @@ def _report_json_sql() -> str:
               "FROM metrics m, stats s")
 
 
+_DIRTY = """WITH typed AS (SELECT CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 9007199254740992 + event_id
+       WHEN event_id % 3 = 1 THEN 10000000 + event_id ELSE event_id END::BIGINT AS id,
+  CASE WHEN event_id % 7 IN (0, 1) THEN NULL WHEN event_id % 7 = 2 THEN -(event_id + 0.5) ELSE event_id END::DOUBLE AS amount,
+  CASE WHEN event_id % 4 = 0 THEN make_timestamp((1672574400 + event_id) * 1000000)
+       WHEN event_id % 4 = 1 THEN TIMESTAMP '2023-01-01 10:00:00' + to_days(CAST(event_id % 9 AS INTEGER))
+       WHEN event_id % 4 = 2 THEN make_timestamp((1672574400 + event_id) * 1000000 + 750000) END AS "at" FROM events)
+"""
+_DIRTY_OK = "id IS NOT NULL AND amount IS NOT NULL AND amount >= 0 AND \"at\" IS NOT NULL"
+
+
+def _status_sql(variant: str, batch: str) -> str:
+    return (f"SELECT '{batch}' AS batch_id, * FROM (" + _with(_STATS, _METRICS, variant=variant)
+            + "SELECT conformity_rate_pct AS conformity_pct, threshold AS threshold_pct, conformity_rate_pct >= threshold AS passed, "
+              "CASE WHEN conformity_rate_pct >= threshold THEN 'ok' ELSE 'fail' END AS status "
+              "FROM (SELECT conformity_rate_pct, circuit_breaker_threshold_pct AS threshold FROM metrics))")
+
+
 ORACLES: dict[str, str] = {
+    "silver_job_valid": _with(_VALID) + "SELECT * FROM valid",
+    "silver_job_quarantine": _with(_QUAR) + "SELECT * FROM quar",
+    "report_history": "SELECT *, CAST(row_number() OVER (ORDER BY batch_id DESC) AS INTEGER) AS newest_rank, "
+                      "batch_id = '20260103_000000_000000' AS selected FROM ("
+                      + " UNION ALL ".join(_status_sql(v, b) for v, b in BATCHES.items()) + ")",
+    "run_all_csv": _with(_VALID) + "SELECT *, CAST(row_number() OVER (ORDER BY avg_risk_score DESC, location_region) "
+                                   f"AS INTEGER) AS place FROM ({_REGION})",
+    "run_all_top_sales": _with(_VALID, _LATEST) + "SELECT * FROM latest ORDER BY amount DESC, receiving_address LIMIT 3",
+    "dirty_text_typed": _DIRTY + "SELECT * FROM typed",
+    "dirty_text_quarantine": _DIRTY + "SELECT *, concat_ws(' | ', CASE WHEN id IS NULL THEN 'bad id' END, "
+                                      "CASE WHEN amount IS NULL OR amount < 0 THEN 'bad amount' END, "
+                                      "CASE WHEN \"at\" IS NULL THEN 'bad time' END) AS rejection_reason "
+                                      f"FROM typed WHERE NOT ({_DIRTY_OK})",
+    "dirty_text_duplicates": "SELECT count(*) + count(*) FILTER (WHERE event_id % 50 IN (0, 1)) AS total_incoming, "
+                             "count(*) AS distinct_records, count(*) FILTER (WHERE event_id % 50 IN (0, 1)) "
+                             "AS duplicate_records FROM events",
+    "bigint_ids": _DIRTY + f"SELECT id FROM typed WHERE {_DIRTY_OK}",
     "csv_roundtrip_typed": f"WITH {duckdb_cte('clean', 'raw')} {_TYPED_BODY} FROM raw",
     "required_columns": "SELECT * FROM (VALUES ('timestamp', true), ('receiving_address', true), ('amount', true), "
                         "('transaction_type', true), ('location_region', true), ('risk_score', true)) "
