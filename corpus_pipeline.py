@@ -22,6 +22,7 @@ from lakeproof.llm.quality import accepted, train
 from lakeproof.llm.words import small
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SIMILARITY = 80  # percent, over shingles of five words
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +33,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: of each group of near copies the smallest doc_id stays."""
+    """Operator 10: of each group of near copies (similarity 0.8 or more) the
+    smallest doc_id stays."""
     bounded_batches(spark)
     docs = only(docs, *COLUMNS)
-    gone = materialise(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    gone = materialise(near_duplicates(docs, SIMILARITY).where("NOT kept").select("doc_id").distinct(), "near-copies")
     return docs.join(small(gone), "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -13,13 +13,15 @@
 Lists and groups of any size are dealt out as pairs of bounded blocks, so
 that no task holds more than two blocks of one.
 
-With T of K = 16 of 32, a pair at the threshold of 0.85 is missed with
-probability 6e-7, a closer one less.
+T is the largest count that misses a pair exactly at the threshold with a
+probability of 1e-6 at most (a closer one less): with K = 32 it is 16 at 0.85
+and 13 at 0.80.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -29,8 +31,7 @@ from pyspark.sql import functions as F
 from lakeproof.llm.common import _table, as_long, by_bytes, load, materialise, mix64, only, prefix_hash, window_hash
 
 WORDS, THRESHOLD = 5, 85
-COORDINATES, MATCHES = 32, 16
-PREFIX = COORDINATES - MATCHES + 1
+COORDINATES, MISSED = 32, 1e-6
 LIST_BLOCK, GROUP_BLOCK = 512, 256
 
 _U = np.uint64
@@ -38,6 +39,18 @@ _MUL, _XOR = _table(COORDINATES, 101) | _U(1), _table(COORDINATES, 102)
 _POLY = _U(0xC2B2AE3D27D4EB4F)
 
 
+def matches_for(threshold: int) -> int:
+    """The most coordinates that can be asked to agree: a pair of similarity
+    ``threshold`` percent agrees in fewer with probability MISSED at most."""
+    p, missed, t = threshold / 100, 0.0, 0
+    while t < COORDINATES:
+        missed += comb(COORDINATES, t) * p ** t * (1 - p) ** (COORDINATES - t)
+        if missed > MISSED:
+            break
+        t += 1
+    return max(t, 1)
+
+
 def _words(data: np.ndarray, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words of ``data``, which ends in a blank; long
     data is read in pieces that end in a blank."""
@@ -156,36 +169,38 @@ def in_blocks(rows: DataFrame, key: str, member: str, size: str, block: int) ->
             .drop("__n", "__b", "__o"))
 
 
-def _collisions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Forests of the members that agree in MATCHES coordinates or more."""
-    keys = ["key", "__i", "__j"]
-    for frame in whole_groups(batches, keys):
-        node = frame["node"].to_numpy(np.int64)
-        sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(len(frame), COORDINATES)
-        change = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
-        start = np.flatnonzero(change)
-        size = np.diff(np.append(start, len(frame)))
-        group = np.repeat(np.arange(len(start)), size)
-        a, b = [], []
-        small = size[group] <= 16
-        for d in range(1, 16):  # small lists of the frame at once, by distance
-            left = np.flatnonzero(small[:-d] & (group[:-d] == group[d:])) if len(frame) > d else np.zeros(0, int)
-            if not len(left):
-                break
-            hit = left[(sig[left] == sig[left + d]).sum(axis=1) >= MATCHES]
-            a.append(node[hit])
-            b.append(node[hit + d])
-        for g in np.flatnonzero(size > 16):
-            own = slice(start[g], start[g] + size[g])
-            s, joined = sig[own], np.zeros((size[g], size[g]), np.uint8)
-            for k in range(COORDINATES):
-                joined += s[:, k, None] == s[None, :, k]
-            label = _labels(joined >= MATCHES)
-            far = np.flatnonzero(label != np.arange(size[g]))
-            a.append(node[own][far])
-            b.append(node[own][label[far]])
-        if a:
-            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+def _collisions(matches: int):
+    def collide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Forests of the members that agree in ``matches`` coordinates or more."""
+        keys = ["key", "__i", "__j"]
+        for frame in whole_groups(batches, keys):
+            node = frame["node"].to_numpy(np.int64)
+            sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(len(frame), COORDINATES)
+            change = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
+            start = np.flatnonzero(change)
+            size = np.diff(np.append(start, len(frame)))
+            group = np.repeat(np.arange(len(start)), size)
+            a, b = [], []
+            small = size[group] <= 16
+            for d in range(1, 16):  # small lists of the frame at once, by distance
+                left = np.flatnonzero(small[:-d] & (group[:-d] == group[d:])) if len(frame) > d else np.zeros(0, int)
+                if not len(left):
+                    break
+                hit = left[(sig[left] == sig[left + d]).sum(axis=1) >= matches]
+                a.append(node[hit])
+                b.append(node[hit + d])
+            for g in np.flatnonzero(size > 16):
+                own = slice(start[g], start[g] + size[g])
+                s, joined = sig[own], np.zeros((size[g], size[g]), np.uint8)
+                for k in range(COORDINATES):
+                    joined += s[:, k, None] == s[None, :, k]
+                label = _labels(joined >= matches)
+                far = np.flatnonzero(label != np.arange(size[g]))
+                a.append(node[own][far])
+                b.append(node[own][label[far]])
+            if a:
+                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+    return collide
 
 
 def _links(threshold: int):
@@ -286,6 +301,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     Rows that share a doc_id are each judged by their own text; a link of one
     of them counts for the id. An empty table gives no rows.
     """
+    matches = matches_for(threshold)
+    prefix = COORDINATES - matches + 1
     signed = materialise(signatures(docs), "signed")
     classes = materialise(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key_low", "key_high", "n_shingles")
@@ -296,8 +313,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             if not len(batch):
                 continue
             m = np.frombuffer(b"".join(batch["minima"]), _U).reshape(len(batch), COORDINATES)
-            keys = mix64(m[:, :PREFIX] ^ _table(PREFIX, 103)[None, :])
-            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), PREFIX), "key": as_long(keys.ravel())})
+            keys = mix64(m[:, :prefix] ^ _table(prefix, 103)[None, :])
+            yield pd.DataFrame({"node": np.repeat(batch["node"].to_numpy(), prefix), "key": as_long(keys.ravel())})
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -310,7 +327,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     sigs = classes.select("node", "minima").mapInPandas(sketch, "node long, sig binary")
     dealt = in_blocks(live, "key", "node", "n", LIST_BLOCK).join(sigs, "node").select("key", "__i", "__j", "node", "sig")
     candidates = (dealt.repartition("key", "__i", "__j").sortWithinPartitions("key", "__i", "__j")
-                  .mapInPandas(_collisions, "a long, b long"))
+                  .mapInPandas(_collisions(matches), "a long, b long"))
 
     found = components(candidates)
     found = found.union(found.select("root", "root").distinct())

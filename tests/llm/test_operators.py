@@ -1,6 +1,7 @@
 """Every training-data query against brute force on the awkward tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lakeproof.llm import packing, privacy, quality, sharding, suffix, topk
+from lakeproof.llm import neardup, packing, privacy, quality, sharding, suffix, topk
 from lakeproof.llm.queries import ORACLES, QUERIES
 
 
@@ -231,7 +232,8 @@ def shingle_set(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def test_near_duplicates(spark, tables, rows):
+def near_roots(rows, threshold):
+    """The sets by doc_id, and each one's smallest reachable doc_id."""
     sets = {d: shingle_set(t) for d, t in rows if d is not None}
     root = {d: d for d in sets}
     changed = True
@@ -240,9 +242,14 @@ def test_near_duplicates(spark, tables, rows):
         for a in sets:
             for b in sets:
                 both = len(sets[a] & sets[b])
-                if both and 100 * both >= 85 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                if both and 100 * both >= threshold * len(sets[a] | sets[b]) and root[a] != root[b]:
                     root[a] = root[b] = min(root[a], root[b])
                     changed = True
+    return sets, root
+
+
+def test_near_duplicates(spark, tables, rows):
+    sets, root = near_roots(rows, 85)
     got = rows_of(spark, "op10_minhash_near_dedup", tables)
     assert len(got) == len(rows)
     for r in got:
@@ -253,6 +260,26 @@ def test_near_duplicates(spark, tables, rows):
             assert r["component_id"] is None and r["kept"]
 
 
+def test_matches_miss_one_pair_in_a_million():
+    assert (neardup.matches_for(85), neardup.matches_for(80)) == (16, 13)
+
+
+def test_pipeline_drops_near_copies_at_080(spark, tmp_path):
+    rng = random.Random(3)
+    texts = []
+    for _ in range(40):  # one changed word leaves 0.79 to 0.86 of the shingles
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(46, 66))]
+        texts.append(" ".join(words))
+        words[rng.randrange(10, 30)] = "other"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    assert near_roots(rows, 80)[1] != near_roots(rows, 85)[1]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert kept == {d for d, r in near_roots(rows, 80)[1].items() if d == r}
+
+
 def test_pipeline_stages(spark, tables, no_rows):
     for folder in (tables, no_rows):
         docs = spark.read.parquet(f"{folder}/documents.parquet")
