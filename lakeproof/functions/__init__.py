@@ -1,11 +1,10 @@
-"""Column-level building blocks: lenient casts, compiled rules, percentages."""
+"""Column-level building blocks: lenient casts and compiled rules."""
 
 from lakeproof.functions.casts import (coerce, lenient_float, lenient_int, lenient_timestamp,
                                        numeric_text_key)
-from lakeproof.functions.metrics import pct, round2
-from lakeproof.functions.rules import CompiledRules, as_of_literal, compile_rules, predicate
+from lakeproof.functions.rules import CompiledRules, compile_rules
 
 __all__ = [
-    "CompiledRules", "as_of_literal", "coerce", "compile_rules", "lenient_float", "lenient_int",
-    "lenient_timestamp", "numeric_text_key", "pct", "predicate", "round2",
+    "CompiledRules", "coerce", "compile_rules", "lenient_float", "lenient_int",
+    "lenient_timestamp", "numeric_text_key",
 ]

@@ -39,10 +39,6 @@ def as_of_sql(as_of: str | datetime | None) -> str:
     return f"CAST({string(as_of)} AS TIMESTAMP)"
 
 
-def as_of_literal(as_of: str | datetime | None) -> Column:
-    return F.expr(as_of_sql(as_of))
-
-
 def predicate_sql(rule: Rule, as_of: str) -> str:
     c = ident(rule.column)
     a = rule.args
@@ -63,10 +59,6 @@ def predicate_sql(rule: Rule, as_of: str) -> str:
     raise ValueError(rule.kind)
 
 
-def predicate(rule: Rule, as_of: str | datetime | None = None) -> Column:
-    return F.expr(predicate_sql(rule, as_of_sql(as_of)))
-
-
 @dataclass
 class CompiledRules:
     """SQL conditions per ruled column, in contract order."""

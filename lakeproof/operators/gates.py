@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeproof.contract import (CIRCUIT_BREAKER_THRESHOLD_PCT, MSG_BREAKER_PASSED,
                                 MSG_BREAKER_TRIPPED, MSG_EMPTY_SOURCE, MSG_MISSING_COLUMNS,
                                 MSG_NO_METRICS)
+from lakeproof.functions.sqltext import string
 
 
 class QualityGateError(ValueError):
@@ -28,6 +29,15 @@ def missing_columns(spark: SparkSession, df: DataFrame, required) -> DataFrame:
                                  "column_name string, present boolean")
 
 
+def filled_counts(df: DataFrame, columns) -> DataFrame:
+    """(column_name, n_values): non-null values of each column, 0 where it is
+    absent; one partial aggregate over the named columns alone."""
+    counts = df.agg(*[(F.count(F.col(c)) if c in df.columns else F.lit(0).cast("bigint")).alias(f"n{i}")
+                      for i, c in enumerate(columns)], F.count(F.lit(1)).alias("n_rows"))
+    pairs = ", ".join(f"struct({string(c)} AS column_name, n{i} AS n_values)" for i, c in enumerate(columns))
+    return counts.selectExpr(f"inline(array({pairs}))")
+
+
 def require_columns(df: DataFrame, required) -> DataFrame:
     """Raise listing every required column that is absent (case-sensitive)."""
     missing = [c for c in required if c not in df.columns]

@@ -153,7 +153,9 @@ def numeric_stats(reports: DataFrame) -> DataFrame:
 
 
 def local_time(text: Column, hours: int = LOCAL_TIME_OFFSET_HOURS, fmt: str = LOCAL_TIME_FORMAT) -> Column:
-    parsed = text.try_cast("timestamp_ntz")
+    """A whole ISO date, with or without a time, moved by ``hours``; any other
+    text (a year or a month alone, say) as it is."""
+    parsed = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}.*)?$"), text.try_cast("timestamp_ntz"))
     return F.coalesce(F.date_format(F.timestamp_add("HOUR", F.lit(hours), parsed), fmt), text)
 
 

@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 
 from lakeproof.contract import TX_CONTRACT, TX_REQUIRED_COLUMNS, Contract, Rule
 from lakeproof.operators import gold, observe, quality
-from lakeproof.operators.gates import breaker_verdict, missing_columns
+from lakeproof.operators.gates import breaker_verdict, filled_counts, missing_columns
 from lakeproof.operators.shape import (MULTIPLICITY, apply_types, dedup_exact, duplicate_count,
-                                       schema_drift)
+                                       schema_drift, unmapped_columns)
 from lakeproof.operators.split import reason_counts, rule_flags, split_counts
 from lakeproof.plans.fixtures import AS_OF, duckdb_cte, read_table, tx_raw
 from lakeproof.plans.jobs import bronze_ingest, run_all, silver_job
@@ -171,7 +171,9 @@ def q_csv_roundtrip_typed(spark, sf_dir):
 
 
 def q_required_columns(spark, sf_dir):
-    return missing_columns(spark, tx_raw(spark, sf_dir), TX_REQUIRED_COLUMNS)
+    """Presence of the required columns, and how many rows fill each."""
+    raw = tx_raw(spark, sf_dir)
+    return missing_columns(spark, raw, TX_REQUIRED_COLUMNS).join(filled_counts(raw, TX_REQUIRED_COLUMNS), "column_name")
 
 
 def q_non_empty(spark, sf_dir):
@@ -187,8 +189,9 @@ def q_duplicate_count(spark, sf_dir):
 
 
 def q_schema_drift(spark, sf_dir):
-    return schema_drift(spark, tx_raw(spark, sf_dir, "drift"), TX_CONTRACT.expected) \
-        .select("column_name", "position")
+    raw = tx_raw(spark, sf_dir, "drift")
+    filled = filled_counts(raw, unmapped_columns(raw, TX_CONTRACT.expected))
+    return schema_drift(spark, raw, TX_CONTRACT.expected).select("column_name", "position").join(filled, "column_name")
 
 
 def q_typed_rows(spark, sf_dir):
@@ -200,6 +203,24 @@ def q_rule_flags(spark, sf_dir):
     return rule_flags(p.typed(), p.rules)
 
 
+# Optional columns that a sparse batch leaves out; their rules don't exist there.
+SPARSE = ["purchase_pattern", "age_group", "session_duration"]
+
+
+def _sparse_plan(spark, sf_dir):
+    return plan_silver(tx_raw(spark, sf_dir).drop(*SPARSE), TX_CONTRACT, AS_OF)
+
+
+def q_rule_flags_sparse(spark, sf_dir):
+    p = _sparse_plan(spark, sf_dir)
+    return rule_flags(p.typed(), p.rules)
+
+
+def q_column_quality_sparse(spark, sf_dir):
+    p = _sparse_plan(spark, sf_dir)
+    return quality.column_quality(p.stats(), p.rules)
+
+
 def q_valid_rows(spark, sf_dir):
     return _plan(spark, sf_dir).valid()
 
@@ -434,6 +455,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift": q_schema_drift,
     "typed_rows": q_typed_rows,
     "rule_flags": q_rule_flags,
+    "rule_flags_sparse": q_rule_flags_sparse,
+    "column_quality_sparse": q_column_quality_sparse,
     "valid_rows": q_valid_rows,
     "quarantine_rows": q_quarantine_rows,
     "reason_counts": q_reason_counts,
@@ -543,6 +566,18 @@ def _with(*ctes: str, variant: str = "clean") -> str:
     return "WITH " + ",\n".join(base + list(ctes)) + "\n"
 
 
+_SPARSE_SOFT = ["anomaly", "ip_prefix", "login_frequency", "sending_address"]
+
+
+def _sparse_with() -> str:
+    """The batch without its sparse columns: typed rows and flags of the others."""
+    typed = _TYPED_BODY.replace("CAST(session_duration AS INTEGER) AS session_duration,", "") \
+        .replace("purchase_pattern, age_group, ", "")
+    flags = "\n".join(line for line in _FLAGS.split("\n") if not any(f"AS s_{c}," in line for c in SPARSE))
+    return (f"WITH {duckdb_cte('clean', 'raw')}, typed AS ({typed} FROM "
+            f"(SELECT DISTINCT * EXCLUDE ({', '.join(SPARSE)}) FROM raw)),\n{flags}\n")
+
+
 _VALID = f"valid AS (SELECT {_COLS} FROM ok_flags WHERE ok)"
 _REASON = "concat_ws(' | ', " + ", ".join(
     f"CASE WHEN NOT h_{c} THEN '{m}' END" for c, m in [
@@ -696,18 +731,29 @@ ORACLES: dict[str, str] = {
                              "AS duplicate_records FROM events",
     "bigint_ids": _DIRTY + f"SELECT id FROM typed WHERE {_DIRTY_OK}",
     "csv_roundtrip_typed": f"WITH {duckdb_cte('clean', 'raw')} {_TYPED_BODY} FROM raw",
-    "required_columns": "SELECT * FROM (VALUES ('timestamp', true), ('receiving_address', true), ('amount', true), "
-                        "('transaction_type', true), ('location_region', true), ('risk_score', true)) "
-                        "AS t(column_name, present)",
+    "required_columns": f"WITH {duckdb_cte('clean', 'raw')} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, true AS present, count(\"{c}\") AS n_values FROM raw"
+        for c in ["timestamp", "receiving_address", "amount", "transaction_type", "location_region", "risk_score"]),
     "non_empty": f"WITH {duckdb_cte('clean', 'raw')} SELECT count(*) > 0 AS non_empty FROM raw",
     "dedup_exact": f"WITH {duckdb_cte('clean', 'raw')} SELECT DISTINCT * FROM raw",
     "duplicate_count": f"WITH {duckdb_cte('clean', 'raw')} SELECT count(*) AS total_incoming, "
                        "(SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS distinct_records, "
                        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS duplicate_records FROM raw",
-    "schema_drift": "SELECT 'channel' AS column_name, 13 AS position",
+    "schema_drift": f"WITH {duckdb_cte('drift', 'raw')} SELECT 'channel' AS column_name, 13 AS position, "
+                    "count(channel) AS n_values FROM raw",
     "typed_rows": _with() + "SELECT * FROM typed",
     "rule_flags": _with() + f"SELECT {_COLS}, " + ", ".join(
         f"{'h' if c in _HARD else 's'}_{c} AS ok_{c}" for c in _HARD + _SOFT) + " FROM ok_flags",
+    "rule_flags_sparse": _sparse_with() + "SELECT " + ", ".join(
+        [f'"{c}"' for c in TX_COLS if c not in SPARSE] + [f"h_{c} AS ok_{c}" for c in _HARD]
+        + [f"s_{c} AS ok_{c}" for c in _SPARSE_SOFT]) + " FROM ok_flags",
+    "column_quality_sparse": _sparse_with() + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS severity, count(*) FILTER (WHERE {flag}) AS valid, "
+        f'count(*) FILTER (WHERE "{c}" IS NULL) AS "null", '
+        f'count(*) FILTER (WHERE "{c}" IS NOT NULL AND NOT {flag}) AS invalid, '
+        + _pct(f'count("{c}")', "count(*)") + " AS completeness_pct, "
+        + _pct(f"count(*) FILTER (WHERE {flag})", "count(*)") + " AS validity_pct FROM ok_flags"
+        for c, kind, flag in [(c, "hard", f"h_{c}") for c in _HARD] + [(c, "soft", f"s_{c}") for c in _SPARSE_SOFT]),
     "valid_rows": _with(_VALID) + "SELECT * FROM valid",
     "quarantine_rows": _with(_QUAR) + "SELECT * FROM quar",
     "reason_counts": _with(_QUAR) + "SELECT rejection_reason, count(*) AS n FROM quar GROUP BY rejection_reason",

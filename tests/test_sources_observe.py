@@ -69,9 +69,9 @@ def test_reads_pretty_printed_documents(spark, tmp_path):
 
 
 def test_local_time_unparsable_passthrough(spark):
-    df = spark.createDataFrame([("not a date",), ("2026-03-01T01:30:00",)], "t string")
+    df = spark.createDataFrame([("not a date",), ("2026-03-01T01:30:00",), ("2024",), ("2024-1-1",), ("2024-05-02",)], "t string")
     out = [r[0] for r in df.select(observe.local_time(F.col("t"))).collect()]
-    assert out == ["not a date", "28/02/2026 22:30:00"]
+    assert out == ["not a date", "28/02/2026 22:30:00", "2024", "2024-1-1", "01/05/2024 21:00:00"]
 
 
 def test_bands(spark):
