@@ -4,10 +4,13 @@ DataFrame functions only. Base spans (addresses, IPs, card and phone numbers)
 are found by pattern; each distinct value is a protected entity. Over the
 whole corpus, co-occurrence of terms with mentions of an entity tells how much
 a term gives away: the pointwise mutual information
-``log2(N * n(e, t) / (n(e) * n(t)))`` in bits and the chance ``n(e, t) / n(t)``
-that a document with the term names the entity. Terms above both thresholds,
+``log2(N * n(e, t) / (n(e) * n(t)))`` in bits, as a share of the entity's own
+information ``log2(N / n(e))``, and the chance ``n(e, t) / n(t)`` that a
+document with the term names the entity. Terms that reach both thresholds,
 seen with the entity in enough different texts, are generalised in the
-documents that name it.
+documents that name it. The share is 1 for a term that never stands without
+the entity, however common the entity or small the corpus; an entity that all
+documents name has no information to give away.
 
 Patterns are written so that Java matches them without recursion or
 rescanning (possessive groups; a match starts where the last one ended or at
@@ -35,7 +38,7 @@ KINDS = {
 HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 ORDER = {**{k: i for i, k in enumerate(KINDS)}, "term": len(KINDS)}
 
-MIN_TEXTS, MIN_BITS, MIN_CHANCE = 3, 6.0, 0.5
+MIN_TEXTS, MIN_SHARE, MIN_CHANCE = 3, 0.5, 0.5
 CONTEXT = 160  # characters on either side of a mention
 CHUNK = 256
 
@@ -100,7 +103,7 @@ def listed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')")
 
 
-def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, min_bits: float = MIN_BITS,
+def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, min_share: float = MIN_SHARE,
                      min_chance: float = MIN_CHANCE) -> DataFrame:
     """entity, terms: the terms that give the entity away.
 
@@ -131,8 +134,11 @@ def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEX
     n_t = docs.select(F.explode(own).alias("word")).join(terms, "word").groupBy("word").agg(F.count("*").alias("n_t"))
     n = docs.count()
     bits = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    own_bits = F.log2(F.lit(float(n)) / F.col("n_e"))
+    # (1e-9: shares equal to the threshold count, whatever the logarithms' rounding)
     return (pairs.join(n_e, "entity").join(n_t, "word")
-            .where((bits >= min_bits) & (F.col("n_et") / F.col("n_t") >= min_chance))
+            .where((F.col("n_e") < n) & (bits >= own_bits * min_share - 1e-9)
+                   & (F.col("n_et") / F.col("n_t") >= min_chance))
             .select("entity", "word"))
 
 

@@ -227,6 +227,19 @@ def test_terms_that_give_an_entity_away(spark, tables):
         assert "secret.one" not in r.safe and "[EMAIL]" in r.safe
 
 
+def test_terms_of_small_tables_and_hot_entities(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+    found = privacy.with_spans(docs).withColumn("safe", privacy.sanitised()).where("text LIKE '%Quastorp%'").collect()
+    assert len(found) == 5 and not any("Quastorp" in r.safe or "Melvin" in r.safe for r in found)
+    # an address in a third of 24 documents; "common" stands in all, "hall" with it in 4 of 10
+    texts = [f"common Velgard at hot.one@mail.example.org{' hall' * (i < 4)}" if i < 8 else
+             f"common prose{' hall' * (i < 14)}" for i in range(24)]
+    docs = spark.createDataFrame([(i, t.replace("common", "common " + "xyzuvw"[i % 6] * (3 + i))) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    for r in privacy.with_spans(docs).collect():
+        assert [s.value for s in r.spans if s.kind == "term"] == ["Velgard"] * (r.doc_id < 8)
+
+
 def shingle_set(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
