@@ -3,7 +3,7 @@ r"""Operator 9: personal data by information-theoretic sanitisation.
 DataFrame functions only. Base spans (addresses, IPs, card and phone numbers)
 are found by pattern; each distinct value is a protected entity. Over the
 whole corpus, co-occurrence of terms with mentions of an entity tells how much
-a term gives away: the pointwise mutual information
+a term, wherever it stands in a document, gives away: the pointwise mutual information
 ``log2(N * n(e, t) / (n(e) * n(t)))`` in bits, as a share of the entity's own
 information ``log2(N / n(e))``, and the chance ``n(e, t) / n(t)`` that a
 document with the term names the entity. Terms that reach both thresholds,
@@ -39,7 +39,6 @@ HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 ORDER = {**{k: i for i, k in enumerate(KINDS)}, "term": len(KINDS)}
 
 MIN_TEXTS, MIN_SHARE, MIN_CHANCE = 3, 0.5, 0.5
-CONTEXT = 160  # characters on either side of a mention
 CHUNK = 256
 
 SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:string>"
@@ -103,43 +102,58 @@ def listed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')")
 
 
+def _named(spans: str = "spans") -> Column:
+    """The distinct entities of base spans."""
+    return F.array_distinct(F.transform(spans, lambda s: F.lower(s["value"])))
+
+
 def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEXTS, min_share: float = MIN_SHARE,
                      min_chance: float = MIN_CHANCE) -> DataFrame:
-    """entity, terms: the terms that give the entity away.
+    """id (SHA-256 of a text), words: the terms in the text that give away an
+    entity the text names.
 
     ``named``: text and spans of the documents with base spans. Copies of a
     text weigh as documents in n(e), n(t) and n(e, t), but are one text for
-    ``min_texts``. Terms are counted in the CONTEXT characters on either side
-    of a mention, so that pairs grow with the mentions alone.
+    ``min_texts``. All words of a text are counted with all of its entities;
+    entities and words that can't reach a threshold with any partner are taken
+    out before they are paired, which changes no result.
     """
-    texts = (named.groupBy(F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("id"))
-             .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("spans").alias("spans")))
-    mentions = texts.select("id", "copies", "text", F.explode("spans").alias("s")).select(
-        "id", "copies", F.lower("s.value").alias("entity"),
-        F.expr(f"""concat_ws(' ',
-            regexp_replace(substring(text, greatest(s.start - {CONTEXT}, 0) + 1, least(s.start, {CONTEXT})), r'^{WORD}', ''),
-            regexp_replace(substring(text, s.end + 1, {CONTEXT}), r'{WORD}$', ''))""").alias("near"))
-    seen = materialise(
-        mentions.select("id", "copies", "entity", F.explode(F.split("near", BREAK, -1)).alias("w"))
-        .where("length(w) >= 3 AND NOT w RLIKE '[0-9]'")
-        .select("entity", "id", "copies", ascii_lower(F.col("w")).alias("word")).distinct(), "near-terms")
-    pairs = materialise(seen.groupBy("entity", "word").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_et"))
-                        .where(F.col("texts") >= min_texts), "pairs")
-    n_e = (texts.select("copies", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"]))))
-                        .alias("entity")).groupBy("entity").agg(F.sum("copies").alias("n_e")))
-    # n(t) over the whole corpus, for the terms in question only
-    terms = small(pairs.select("word").distinct(), "word")
+    texts = materialise(
+        named.groupBy(F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("id"))
+        .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("spans").alias("spans"))
+        .select("id", "copies", _named().alias("entities"),
+                F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1)).alias("words")), "named-texts")
+    n = docs.count()
+    entities = texts.select("id", "copies", F.explode("entities").alias("entity"))
+    # (an entity that all documents name has no information)
+    n_e = materialise(entities.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_e"))
+                      .where((F.col("texts") >= min_texts) & (F.col("n_e") < n)).select("entity", "n_e"), "n-e")
+    asked = materialise(entities.select("id", "entity").join(small(n_e, "entity"), "entity"), "asked")
+    words = (texts.join(small(asked.select("id").distinct(), "id"), "id", "left_semi")
+             .select("id", "copies", F.explode("words").alias("word"))
+             .where("length(word) >= 3 AND NOT word RLIKE '[0-9]'"))
+    near = materialise(words.groupBy("word").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_near"))
+                       .where(F.col("texts") >= min_texts).select("word", "n_near"), "near-terms")
+    # n(t) over the whole corpus, for the words in question only
     # (a text's own words are made distinct in place, so counts alone are dealt)
     own = F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1))
-    n_t = docs.select(F.explode(own).alias("word")).join(terms, "word").groupBy("word").agg(F.count("*").alias("n_t"))
-    n = docs.count()
+    n_t = (docs.select(F.explode(own).alias("word")).join(small(near.select("word"), "word"), "word")
+           .groupBy("word").agg(F.count("*").alias("n_t")))
+    # n(e, t) is at most n(e) and at most the documents in question with the word
+    candidates = materialise(near.join(n_t, "word").where(F.col("n_near") / F.col("n_t") >= min_chance)
+                             .select("word", "n_t"), "candidates")
+    seen = materialise(
+        words.join(small(candidates, "word"), "word").join(small(asked, "id", "entity"), "id")
+        .where(F.col("n_e") / F.col("n_t") >= min_chance), "seen")
     bits = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     own_bits = F.log2(F.lit(float(n)) / F.col("n_e"))
     # (1e-9: shares equal to the threshold count, whatever the logarithms' rounding)
-    return (pairs.join(n_e, "entity").join(n_t, "word")
-            .where((F.col("n_e") < n) & (bits >= own_bits * min_share - 1e-9)
-                   & (F.col("n_et") / F.col("n_t") >= min_chance))
-            .select("entity", "word"))
+    pairs = (seen.groupBy("entity", "word", "n_e", "n_t").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_et"))
+             .where((F.col("texts") >= min_texts) & (bits >= own_bits * min_share - 1e-9)
+                    & (F.col("n_et") / F.col("n_t") >= min_chance)))
+    pairs = materialise(pairs.select("entity", "word"), "pairs")
+    return (seen.join(small(pairs, "entity", "word"), ["entity", "word"])
+            .groupBy("id").agg(F.collect_set("word").alias("words")))
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
@@ -151,11 +165,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     """
     found = docs.withColumn("base", base_spans("coalesce(text, '')"))
     named = materialise(found.where("size(base) > 0").select("text", F.col("base").alias("spans")), "named")
-    terms = disclosing_terms(named, docs)
-    told = (named.select("text", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"]))))
-                         .alias("entity"))
-            .join(terms, "entity").groupBy(F.sha2("text", 256).alias("__id")).agg(F.collect_set("word").alias("__terms")))
-    told = small(materialise(told, "told").withColumn("__size", F.concat_ws(" ", "__terms")), "__id", "__size").drop("__size")
+    told = materialise(disclosing_terms(named, docs).select(F.col("id").alias("__id"), F.col("words").alias("__terms")), "told")
+    told = small(told.withColumn("__size", F.concat_ws(" ", "__terms")), "__id", "__size").drop("__size")
     key = F.when(F.size("base") > 0, F.sha2("text", 256))
     joined = found.withColumn("__key", key).join(told, F.col("__key") == F.col("__id"), "left")
     extra = F.expr(f"""if(__terms IS NULL, cast(array() AS array<{SPAN}>),

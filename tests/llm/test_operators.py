@@ -233,13 +233,25 @@ def test_terms_of_small_tables_and_hot_entities(spark, tables):
     assert len(found) == 5 and not any("Quastorp" in r.safe or "Melvin" in r.safe for r in found)
     # an address in a third of 24 documents; "common" stands in all, "hall" with it in 4 of 10
     texts = [f"common Velgard at hot.one@mail.example.org{' hall' * (i < 4)}" if i < 8 else
-             f"common prose{' hall' * (i < 14)}" for i in range(24)]
+             f"common prose at{' hall' * (i < 14)}" for i in range(24)]
     docs = spark.createDataFrame([(i, t.replace("common", "common " + "xyzuvw"[i % 6] * (3 + i))) for i, t in enumerate(texts)],
                                  "doc_id long, text string")
     for r in privacy.with_spans(docs).collect():
         assert [s.value for s in r.spans if s.kind == "term"] == ["Velgard"] * (r.doc_id < 8)
 
 
+def test_terms_anywhere_in_a_text(spark):
+    """Telling words 400 characters and more from the address, near it in some texts and far in others."""
+    gap = " ".join(["filler"] * 60)
+    texts = [f"Velgard {gap} write to far.one@mail.example.org {gap} Meldorf" if i < 6 else f"{gap} {i}" for i in range(200)]
+    texts[:2] = [f"{gap} Velgard write to far.one@mail.example.org Meldorf {i}" for i in range(2)]
+    texts[2:6] = [f"{t} {'xyzu'[i] * 9}" for i, t in enumerate(texts[2:6])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in privacy.with_spans(docs).collect():
+        told = {s.value for s in r.spans if s.kind == "term"}
+        assert (told >= {"Velgard", "Meldorf"} and "filler" not in told) if r.doc_id < 6 else not told
+
+
 def shingle_set(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
