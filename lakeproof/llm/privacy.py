@@ -130,8 +130,7 @@ def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEX
                       .where((F.col("texts") >= min_texts) & (F.col("n_e") < n)).select("entity", "n_e"), "n-e")
     asked = materialise(entities.select("id", "entity").join(small(n_e, "entity"), "entity"), "asked")
     words = (texts.join(small(asked.select("id").distinct(), "id"), "id", "left_semi")
-             .select("id", "copies", F.explode("words").alias("word"))
-             .where("length(word) >= 3 AND NOT word RLIKE '[0-9]'"))
+             .select("id", "copies", F.explode("words").alias("word")).where("word <> ''"))
     near = materialise(words.groupBy("word").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_near"))
                        .where(F.col("texts") >= min_texts).select("word", "n_near"), "near-terms")
     # n(t) over the whole corpus, for the words in question only

@@ -252,6 +252,52 @@ def test_terms_anywhere_in_a_text(spark):
         assert (told >= {"Velgard", "Meldorf"} and "filler" not in told) if r.doc_id < 6 else not told
 
 
+def spans_with_terms(texts):
+    """Brute force: base and term spans of each text."""
+    lower = [re.sub("[A-Z]+", lambda m: m[0].lower(), t or "") for t in texts]
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    words = [set(re.findall(word, t)) for t in lower]
+    names = [{(t or "")[s:e].lower() for s, _, e, _ in base_of(t or "")} for t in texts]
+    n_e, n_t = Counter(e for x in names for e in x), Counter(w for x in words for w in x)
+    n_et = Counter((e, w) for x, y in zip(names, words) for e in x for w in y)
+    where = defaultdict(set)
+    for t, x, y in zip(texts, names, words):
+        for e in x:
+            for w in y:
+                where[e, w].add(t)
+    n = len(texts)
+    tell = {(e, w) for (e, w), k in n_et.items() if len(where[e, w]) >= 3 and n_e[e] < n and 2 * k >= n_t[w]
+            and np.log2(n * k / (n_e[e] * n_t[w])) >= 0.5 * np.log2(n / n_e[e]) - 1e-9}
+    out = []
+    for t, low, x in zip(texts, lower, names):
+        base = base_of(t or "")
+        terms = [(m.start(), len(PLAIN), m.end(), "term") for m in re.finditer(word, low) if any((e, m[0]) in tell for e in x)
+                 and not any(s < m.end() and m.start() < stop for s, _, stop, _ in base)]
+        out.append(",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(base + terms)))
+    return out
+
+
+def test_term_spans_against_brute_force(spark, rows):
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}" for a in "abcdefgh" for b in ("", "1", "22", "io", "rtz")]
+    people = [("Quastorp Li jo77", "a@b.cd"), ("\u674e\u660e 24105", "10.1.2.3"), ("K9 Meldorf", "+49 (30) 123456-78"),
+              ("Ana", "hot@b.cd"), ("Ana Bo", "rare@b.cd")]
+    texts = [t for _, t in rows] + [None, ""]
+    for i in range(150):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60)))
+        for j, (about, entity) in enumerate(people):
+            if rng.random() < (0.5 if j == 3 else 0.1):
+                a, b = rng.sample(about.split() * 2, 2)
+                text = rng.choice([f"{a} writes to {entity} from {b}", f"{about} {text} {entity}", f"{entity.upper()} {text} {b}"])
+        texts += [text] * rng.choice([1, 1, 1, 3])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = privacy.with_spans(docs).select("doc_id", privacy.listed("spans").alias("spans")).collect()
+    want = spans_with_terms(texts)
+    assert {r.doc_id: r.spans for r in got} == dict(enumerate(want))
+    told = Counter(texts[i][int(s.split(":")[1]):int(s.split(":")[2])] for i, w in enumerate(want) for s in w.split(",") if "term" in s)
+    assert all(told[w] for w in ("Quastorp", "Li", "jo77", "\u674e\u660e", "24105", "K9"))
+
+
 def shingle_set(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
