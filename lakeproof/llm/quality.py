@@ -8,8 +8,9 @@ view. Both views are then calibrated, and a small model on the calibrated
 views, fitted on labelled rows held back so far, scores all documents.
 
 Training takes a bounded sample of labelled rows (LABELLED) and of other rows
-(those of 2 * POOL documents that have no label), by the hash of doc_id, with SAMPLE_CHARS characters of each; scoring
-reads all documents whole. Two targets are learnt: low quality and toxic.
+(those of 2 * POOL documents that have no label), by the hash of doc_id. Their texts are turned into features
+whole, inside the tasks, and only the features are collected; scoring reads all
+documents whole. Two targets are learnt: low quality and toxic.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.llm.common import by_bytes, load, mix64, only, prefix_hash, window_hash
 
-LABELLED, POOL, SAMPLE_CHARS = 6000, 3000, 10_000
+LABELLED, POOL = 6000, 3000
 ROUNDS, SURE, PER_ROUND = 3, 0.99, 400
 BUCKETS, FEATURES = 1 << 20, 512
 BEGINNINGS = (3, 4, 5, 6)
@@ -170,11 +171,27 @@ class TextView:
         return out
 
 
+def _features(docs: DataFrame, target_columns: list[str]) -> DataFrame:
+    """doc_id and the targets as they are, with the buckets (int32) and the
+    metadata (float64) of the whole text as bytes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in by_bytes(batches):
+            parsed = Parsed(part["text"].tolist())
+            doc, bucket = parsed.buckets()
+            own = np.split(bucket.astype(np.int32), np.searchsorted(doc, np.arange(1, len(part))))
+            yield part[["doc_id", *target_columns]].assign(
+                buckets=[b.tobytes() for b in own], meta=[m.tobytes() for m in _meta(part, parsed)])
+
+    return docs.mapInPandas(run, "doc_id long, " + "".join(f"{c} double, " for c in target_columns)
+                            + "buckets binary, meta binary")
+
+
 def _sample(docs: DataFrame, labels: DataFrame, target_columns: list[str]) -> pd.DataFrame:
-    """Labelled and pool documents; a doc_id labelled more than once has the
+    """Features of labelled and pool documents; a doc_id labelled more than once has the
     mean of its labels, rounded."""
     marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        *[F.round(F.avg(c)).cast("int").alias(c) for c in target_columns])
+        *[F.round(F.avg(c)).cast("double").alias(c) for c in target_columns])
 
     def some(rows: DataFrame, n: int) -> DataFrame:
         """About n rows, by the hash of doc_id: bounded, and picked in place."""
@@ -183,10 +200,9 @@ def _sample(docs: DataFrame, labels: DataFrame, target_columns: list[str]) -> pd
     taken = some(marks, LABELLED)
     others = (some(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), 2 * POOL)
               .join(marks.select("doc_id"), "doc_id", "left_anti")
-              .select("doc_id", *[F.lit(None).cast("int").alias(c) for c in target_columns]))
+              .select("doc_id", *[F.lit(None).cast("double").alias(c) for c in target_columns]))
     chosen = taken.union(others)  # about LABELLED + 2 * POOL rows at most
-    return (docs.join(F.broadcast(chosen), "doc_id")
-            .withColumn("text", F.substring("text", 1, SAMPLE_CHARS)).toPandas()
+    return (_features(docs.join(F.broadcast(chosen), "doc_id"), target_columns).toPandas()
             .drop_duplicates("doc_id").sort_values("doc_id").reset_index(drop=True))
 
 
@@ -237,17 +253,11 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, dict | None]:
     frame = _sample(only(docs, *names), marks, list(TARGETS))
     if not len(frame):
         return dict.fromkeys(TARGETS)
-    doc, bucket, meta = [], [], []
-    lo = 0
-    for part in by_bytes(iter([frame])):
-        parsed = Parsed(part["text"].tolist())
-        d, b = parsed.buckets()
-        doc.append((d + lo).astype(np.int32))
-        bucket.append(b.astype(np.int32))
-        meta.append(_meta(part, parsed))
-        lo += len(part)
-    features = np.concatenate(doc), np.concatenate(bucket)
-    return {t: co_train(features, np.vstack(meta), frame[t].to_numpy(float)) for t in TARGETS}
+    sizes = frame["buckets"].str.len().to_numpy() // 4
+    features = (np.repeat(np.arange(len(frame), dtype=np.int32), sizes),
+                np.frombuffer(b"".join(frame.pop("buckets")), np.int32))
+    meta = np.frombuffer(b"".join(frame.pop("meta")), np.float64).reshape(len(frame), -1)
+    return {t: co_train(features, meta, frame[t].to_numpy(float)) for t in TARGETS}
 
 
 def _scored(batch: pd.DataFrame, models: dict[str, dict | None]) -> pd.DataFrame:

@@ -88,6 +88,18 @@ def test_quality_held_out_accuracy(spark):
     assert len(scored) > 1000 and wrong.mean() < 0.02
 
 
+def test_quality_learns_from_whole_texts(spark):
+    """Only the last word, past 12,000 characters, tells toxic texts from others."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["lorem", "ipsum", "dolor", "amet"]) for _ in range(2400))
+             + (" vilezork" if i % 5 < 2 else " goodzork")) for i in range(400)]
+    assert min(len(t) for _, t in rows) > 12_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 < 2)) for i in range(300)], "doc_id long, quality int, toxic int")
+    scored = quality.score(docs, quality.train(docs, labels)).toPandas()
+    assert len(scored) == 400 and (scored.kept == (scored.doc_id % 5 >= 2)).all()
+
+
 def test_top_k(spark, tables):
     columns = ["query_id", '"rank"', "vec_id", "score"]
     got = Counter((r["query_id"], r["rank"], r["vec_id"], r["score"])
