@@ -5,12 +5,17 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lakeproof.session import ensure_checkpoint_dir
 
@@ -52,6 +57,45 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
 
 
+# --- tasks -------------------------------------------------------------------
+
+Frames = Iterator[pd.DataFrame]
+
+
+def _frame(batch: pa.RecordBatch) -> pd.DataFrame:
+    """pandas turns whole numbers beside a null into doubles, which cannot
+    hold every long; such columns are made nullable integers instead."""
+    exact = [f.name for f in batch.schema if pa.types.is_integer(f.type) and batch.column(f.name).null_count]
+    frame = batch.drop_columns(exact).to_pandas() if exact else batch.to_pandas()
+    for name in exact:
+        column = batch.column(name)
+        values = column.fill_null(0).to_numpy(zero_copy_only=False)
+        frame[name] = pd.arrays.IntegerArray(values.astype(np.int64), column.is_null().to_numpy(zero_copy_only=False))
+    return frame[batch.schema.names]
+
+
+def map_frames(rows: DataFrame, fn: Callable[[Frames], Frames], schema: str) -> DataFrame:
+    """``mapInPandas`` whose whole numbers stay exact beside nulls."""
+    wanted = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in fn(map(_frame, batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema=wanted, preserve_index=False)
+
+    return rows.mapInArrow(run, schema)
+
+
+def text_parts(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch cut so that its texts hold about ``limit`` bytes; a longer text
+    is a part of its own. An empty batch has no parts."""
+    if batch.num_rows:
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends = size.astype(np.int64).cumsum()
+        cuts = np.flatnonzero(np.diff(ends // limit)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+            yield batch.slice(lo, hi - lo)
+
+
 # --- token ids ---------------------------------------------------------------
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -61,7 +105,8 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_TAIL = ".,!?;:"
+_PLAIN = re.compile(f"([A-Za-zÀ-ÖØ-öø-ÿ]+)([{_TAIL}]*)")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -98,7 +143,14 @@ class TokenEncoder:
             def __missing__(self, chunk: str) -> bytes:
                 if len(self) >= encoder.MAX_CHUNKS:
                     self.clear()
-                ids = self[chunk] = encoder._chunk(chunk)
+                word = chunk.rstrip(_TAIL)
+                if word.isascii() and word.isalpha():  # most of all chunks
+                    ids = encoder._word(word.lower())
+                    if len(word) < len(chunk):
+                        ids += encoder._word(chunk[len(word):])
+                else:
+                    ids = encoder._chunk(chunk)
+                self[chunk] = ids
                 return ids
 
         self.chunks = Chunks()
@@ -113,7 +165,8 @@ class TokenEncoder:
                 self.words.clear()
             if word[0].isalpha():
                 chars = word if word.isascii() else "".join(self.alphabet[b] for b in word.encode())
-                ids = np.array([t.id for t in self.model.tokenize(chars)], "<u4").tobytes()
+                found = [t.id for t in self.model.tokenize(chars)]
+                ids = struct.pack(f"<{len(found)}I", *found)
             else:
                 ids = self._whole(word)
             self.words[word] = ids
@@ -132,6 +185,15 @@ class TokenEncoder:
         text = text.replace("\n", " ").replace("\t", " ")
         return b"".join(map(self.chunks.__getitem__, text.split(" ")))
 
+    def encode_many(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of many texts (null: empty), each with ``end_id`` behind it:
+        one flat uint32 array, and the texts' bounds in it."""
+        end = struct.pack("<I", end_id)
+        own = [self.encode(t) + end for t in texts.to_pylist()]
+        bounds = np.zeros(len(own) + 1, np.int64)
+        np.cumsum([len(ids) // 4 for ids in own], out=bounds[1:])
+        return np.frombuffer(b"".join(own), "<u4"), bounds
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, special_as_text: bool = False) -> TokenEncoder:

@@ -28,7 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import _table, as_long, by_bytes, load, materialise, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import (_table, as_long, by_bytes, load, map_frames, materialise, mix64, only, prefix_hash,
+                                  window_hash)
 
 WORDS, THRESHOLD = 5, 85
 COORDINATES, MISSED = 32, 1e-6
@@ -117,11 +118,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 kept = np.append(bounds[:-1][full], bounds[-1])
                 for i, m in zip(full, _signature(h, kept)):
                     minima[i] = m.tobytes()
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": n,
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": n,
                                 "key_low": low, "key_high": high, "minima": minima})
 
-    return only(docs, "doc_id", "text").mapInPandas(
-        sign, "doc_id long, n_shingles long, key_low long, key_high long, minima binary")
+    return map_frames(
+        only(docs, "doc_id", "text"), sign, "doc_id long, n_shingles long, key_low long, key_high long, minima binary")
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int = 20_000) -> Iterator[pd.DataFrame]:

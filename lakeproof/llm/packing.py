@@ -15,11 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeproof.llm.common import encoder, load, materialise, only, tokenizer_path
+from lakeproof.llm.common import encoder, load, map_frames, materialise, only, text_parts, tokenizer_path
 
 CAPACITY = 4096
 RANK_GROUPS = 256
@@ -82,21 +83,21 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1,
     """doc_id, piece, start, length, ids_crc32 of every document's pieces."""
     path = tokenizer_path(tokenizer)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        tail = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = enc.encode(text) + tail
-                for i, lo in enumerate(range(0, len(ids), 4 * capacity)):
-                    piece = ids[lo:lo + 4 * capacity]
-                    rows.append((doc_id, i, lo // 4, len(piece) // 4, zlib.crc32(piece)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
-
-    return only(docs, "doc_id", "text").mapInPandas(
+        for part in (p for batch in batches for p in text_parts(batch)):
+            ids, bounds = enc.encode_many(part.column("text"), end_id)
+            n_pieces = -(-np.diff(bounds) // capacity)
+            row = np.repeat(np.arange(len(n_pieces)), n_pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+            lo = bounds[row] + piece * capacity
+            hi = np.minimum(lo + capacity, bounds[row + 1])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(piece * capacity),
+                 pa.array(hi - lo), pa.array([zlib.crc32(ids[a:b]) for a, b in zip(lo, hi)], pa.int64())],
+                ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return only(docs, "doc_id", "text").mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
@@ -125,11 +126,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             at = np.searchsorted(keys, (batch["length"].to_numpy(np.int64) << 48) + rank, "right") - 1
             batch["sequence_id"] = plan[at, 3] + rank - plan[at, 1]
             batch["offset"] = plan[at, 4]
-            batch["doc_id"] = batch["doc_id"].astype("Int64")
             yield batch[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "__rank").mapInPandas(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return map_frames(
+        ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "__rank"), place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import by_bytes, load, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import by_bytes, load, map_frames, mix64, only, prefix_hash, window_hash
 
 LABELLED, POOL = 6000, 3000
 ROUNDS, SURE, PER_ROUND = 3, 0.99, 400
@@ -293,10 +293,10 @@ def score(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in by_bytes(batches):
             out = _scored(batch, models)
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+            out.insert(0, "doc_id", batch["doc_id"])
             yield out
 
-    return only(docs, *names).mapInPandas(run, "doc_id long, " + ", ".join(fields) + ", kept boolean")
+    return map_frames(only(docs, *names), run, "doc_id long, " + ", ".join(fields) + ", kept boolean")
 
 
 def accepted(docs: DataFrame, models: dict[str, dict | None]) -> DataFrame:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import as_long, by_bytes, load, materialise, mix64, only, prefix_hash, window_hash
+from lakeproof.llm.common import as_long, by_bytes, load, map_frames, materialise, mix64, only, prefix_hash, window_hash
 
 SPAN, CORE = 200, 64
 BACK = SPAN - CORE  # a window starts at most so far before its anchor
@@ -319,15 +319,11 @@ def _pack_text(docs: DataFrame, *columns: str) -> DataFrame:
         c = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             out = batch[[*columns, "key"]].copy()
-            for name in columns:
-                if types[name] == "bigint":
-                    out[name] = out[name].astype("Int64")
             out["z"] = [c.compress(t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"")
                         for t in batch["text"]]
             yield out
 
-    return docs.select(*columns, "key", "text").mapInPandas(
-        pack, ", ".join(f"{c} {types[c]}" for c in columns) + (", " if columns else "") + "key long, z binary")
+    return map_frames(docs.select(*columns, "key", "text"), pack, ", ".join(f"{c} {types[c]}" for c in columns) + (", " if columns else "") + "key long, z binary")
 
 
 def _contexts(parts: int):
@@ -462,11 +458,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 kept = b"".join([*kept, text[at:]])
                 rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
             out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+            out.insert(0, "doc_id", batch["doc_id"])
             yield out
 
-    return joined.mapInPandas(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return map_frames(
+        joined, cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,14 +12,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeproof.llm.common import encoder, load, materialise, only, open_fs, scratch, tokenizer_path
+from lakeproof.llm.common import encoder, load, materialise, only, open_fs, scratch, text_parts, tokenizer_path
 
 MAGIC = b"TOKZ0001"
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 1000, 4096, 65_536
+READ_BYTES = 4 << 20
 
 
 # --- operator 7 ----------------------------------------------------------------
@@ -32,14 +34,17 @@ def _width(path: str) -> str:
 def train_dictionary(docs: DataFrame, path: str, end_id: int, dtype: str) -> bytes:
     """A zstandard dictionary trained on serialized id arrays of a bounded
     sample: about SAMPLE_DOCS documents, picked by their hash where they are,
-    the first SAMPLE_CHARS characters of each. It only steers the compression
-    ratio. Empty where the sample is too small to train on."""
+    SAMPLE_CHARS characters of each from a place that the hash gives too, equal
+    ones once. It only steers the compression ratio. Empty where the sample is
+    too small to train on."""
     import zstandard
     n = max(1, docs.count())
+    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))) + 1
     rows = (docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) < SAMPLE_DOCS)
-            .select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
-    enc = encoder(path)
-    samples = [np.append(np.frombuffer(enc.encode(r["text"]), "<u4"), end_id).astype(dtype).tobytes() for r in rows]
+            .select(F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"))
+            .where("text IS NOT NULL").distinct().collect())
+    ids, bounds = encoder(path).encode_many(pa.array([r["text"] for r in rows], pa.string()), end_id)
+    samples = [ids[lo:hi].astype(dtype).tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]
     if sum(map(len, samples)) < 4 * DICT_BYTES // 16 or len(samples) < 16:
         return b""
     try:
@@ -54,8 +59,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
 
     File: magic, JSON header (id type, dictionary hash, counts) with its
     length, one zstandard frame per document, then the index: the documents'
-    ids and their frames' offsets, so that one short document is read by two
-    seeks. The dictionary stands once, beside the files, named by its hash.
+    ids (null ones first, with their number) and their frames' offsets, so that
+    one short document is read by two seeks. The dictionary stands once, beside the files, named by its hash.
     A file gets a fresh name on every attempt and counts only once the written
     manifest names it, so lost or repeated tasks leave no wrong result.
     """
@@ -69,36 +74,42 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     with fs.open_output_stream(f"{root}/dict-{digest}") as f:
         f.write(dictionary)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
         enc = encoder(path)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         comp = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=True)
-        out, name, ids, offsets, tokens = None, "", [], [0], 0
+        out, name, doc_ids, offsets, tokens, nulls = None, "", [], [0], 0, 0
         fs, root = open_fs(folder)
-        for batch in batches:
-            if out is None and len(batch):
+        for part in (p for batch in batches for p in text_parts(batch)):
+            if out is None:
                 name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.tokz"
                 out = fs.open_output_stream(f"{root}/{name}")
                 header = json.dumps({"dtype": dtype, "dict": digest, "end_id": end_id}).encode()
                 out.write(MAGIC + struct.pack("<I", len(header)) + header)
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                arr = np.append(np.frombuffer(enc.encode(text), "<u4"), np.uint32(end_id)).astype(dtype)
-                frame = comp.compress(arr.tobytes())
-                out.write(frame)
-                ids.append(-1 << 63 if pd.isna(doc_id) else int(doc_id))
-                offsets.append(offsets[-1] + len(frame))
-                tokens += len(arr)
+            ids, bounds = enc.encode_many(part.column("text"), end_id)
+            data = ids.astype(dtype)
+            frames = [comp.compress(data[lo:hi]) for lo, hi in zip(bounds[:-1], bounds[1:])]
+            out.write(b"".join(frames))
+            offsets.extend((offsets[-1] + np.cumsum([len(f) for f in frames])).tolist())
+            nulls += part.column("doc_id").null_count
+            doc_ids.append(part.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
+            tokens += len(ids)
         if out is not None:
-            index = np.array(ids, "<i8").tobytes() + np.array(offsets, "<u8").tobytes()
-            out.write(index + struct.pack("<QQ", len(ids), tokens) + MAGIC)
+            index = np.concatenate(doc_ids).tobytes() + np.array(offsets, "<u8").tobytes()
+            out.write(index + struct.pack("<QQQ", len(offsets) - 1, nulls, tokens) + MAGIC)
             out.close()
-            yield pd.DataFrame({"file_no": [TaskContext.get().partitionId()], "file": [name],
-                                "n_docs": [len(ids)], "n_tokens": [tokens]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name]),
+                 pa.array([len(offsets) - 1], pa.int64()), pa.array([tokens], pa.int64())],
+                ["file_no", "file", "n_docs", "n_tokens"])
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialise(ordered.mapInPandas(write, "file_no int, file string, n_docs long, n_tokens long"), "manifest")
+    # rows that share a doc_id, or have none, are dealt out by their texts and places
+    tied = docs.withColumns({"__text": F.xxhash64("text"), "__tie": F.monotonically_increasing_id()})
+    order = ["doc_id", "__text", "__tie"]
+    ordered = tied.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    return materialise(ordered.mapInArrow(write, "file_no int, file string, n_docs long, n_tokens long"), "manifest")
 
 
 class TokenFile:
@@ -113,12 +124,12 @@ class TokenFile:
         head = self.f.read(12)
         self.header = json.loads(self.f.read(struct.unpack("<I", head[8:])[0]))
         self.base = 12 + struct.unpack("<I", head[8:])[0]
-        self.f.seek(size - 24)
-        tail = self.f.read(24)
-        if head[:8] != MAGIC or tail[16:] != MAGIC:
+        self.f.seek(size - 32)
+        tail = self.f.read(32)
+        if head[:8] != MAGIC or tail[24:] != MAGIC:
             raise ValueError(f"{name} is no complete token file")
-        self.n, self.n_tokens = struct.unpack("<QQ", tail[:16])
-        self.f.seek(size - 24 - 8 * (2 * self.n + 1))
+        self.n, self.n_null, self.n_tokens = struct.unpack("<QQQ", tail[:24])
+        self.f.seek(size - 32 - 8 * (2 * self.n + 1))
         index = self.f.read(8 * (2 * self.n + 1))
         self.doc_ids = np.frombuffer(index, "<i8", self.n)
         self.offsets = np.frombuffer(index, "<u8", self.n + 1, 8 * self.n).astype(np.int64)
@@ -129,10 +140,16 @@ class TokenFile:
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.d = zstandard.ZstdDecompressor(dict_data=shared)
 
+    def run(self, lo: int, hi: int) -> Iterator[np.ndarray]:
+        """The ids of documents lo to hi - 1, from one read."""
+        self.f.seek(self.base + int(self.offsets[lo]))
+        data = memoryview(self.f.read(int(self.offsets[hi] - self.offsets[lo])))
+        at = (self.offsets[lo:hi + 1] - self.offsets[lo]).tolist()
+        for a, b in zip(at[:-1], at[1:]):
+            yield np.frombuffer(self.d.decompress(data[a:b]), self.header["dtype"]).astype("<u4")
+
     def ids(self, i: int) -> np.ndarray:
-        self.f.seek(self.base + int(self.offsets[i]))
-        return np.frombuffer(self.d.decompress(self.f.read(int(self.offsets[i + 1] - self.offsets[i]))),
-                             self.header["dtype"]).astype("<u4")
+        return next(self.run(i, i + 1))
 
     def close(self) -> None:
         self.f.close()
@@ -145,28 +162,30 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     # one row per file; dealt out again so that files are read in parallel
     files = files.repartition(max(1, manifest.sparkSession.sparkContext.defaultParallelism * 4), "file_no")
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, base in zip(batch["file"], batch["base"]):
-                tf = TokenFile(folder, name)
-                place = int(base)
-                for lo in range(0, tf.n, 10_000):
-                    rows = []
-                    for i in range(lo, min(tf.n, lo + 10_000)):
-                        ids = tf.ids(i)
-                        rows.append((int(tf.doc_ids[i]), place, len(ids), zlib.crc32(ids.tobytes())))
-                        place += len(ids)
-                    out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                    out["doc_id"] = out["doc_id"].astype("Int64").mask(out["doc_id"] == -1 << 63)
-                    yield out
-                tf.close()
-
-    return files.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            tf = TokenFile(folder, row["file"])
+            place, lo = row["base"], 0
+            while lo < tf.n:
+                within = int(np.searchsorted(tf.offsets, tf.offsets[lo] + READ_BYTES, "right")) - 1
+                hi = min(tf.n, lo + 10_000, max(lo + 1, within))
+                found = [(len(ids), zlib.crc32(ids)) for ids in tf.run(lo, hi)]
+                sizes = np.array([n for n, _ in found], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tf.doc_ids[lo:hi], pa.int64(), mask=np.arange(lo, hi) < tf.n_null),
+                     pa.array(place + np.cumsum(sizes) - sizes), pa.array(sizes),
+                     pa.array([crc for _, crc in found], pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                place, lo = place + int(sizes.sum()), hi
+            tf.close()
+
+    return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written and read back. Null text: the end id alone.
-    Null doc_ids sort first; repeated ones keep one record each."""
+    Null doc_ids sort first; repeated ones keep one record each, in any order
+    among themselves. Long texts are a batch of their own, held whole in one
+    task. An empty table gives no files and no rows."""
     folder = scratch(spark, "tokz")
     return read_token_files(write_token_files(load(spark, sf_dir, "documents"), folder), folder)
 
@@ -187,32 +206,32 @@ def write_flat_files(docs: DataFrame, folder: str, tokenizer: str | None = None,
     fs, root = open_fs(folder)
     fs.create_dir(root, recursive=True)
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, True)
         name = f"flat-{uuid.uuid4().hex}.bin"
         out, n, tokens, held = None, 0, 0, None
-        for batch in batches:
-            if not len(batch):
-                continue
+        def rows(last: int | None = None) -> pa.RecordBatch:
+            m = held.num_rows
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name] * m), pa.array(np.arange(n - m, n)), held.column("doc_id"),
+                 pa.array([None] * (m - 1) + [last], pa.int64())], ["file", "ordinal", "doc_id", "file_tokens"])
+
+        for part in (p for batch in batches for p in text_parts(batch)):
             if out is None:
                 fs, root = open_fs(folder)
                 out = fs.open_output_stream(f"{root}/{name}")
-            for text in batch["text"]:
-                arr = np.append(np.frombuffer(enc.encode(text), "<u4"), np.uint32(end_id)).astype(dtype)
-                out.write(arr.tobytes())
-                tokens += len(arr)
-            if held is not None:
-                yield held
-            held = pd.DataFrame({"file": name, "ordinal": np.arange(n, n + len(batch)),
-                                 "doc_id": batch["doc_id"].astype("Int64"),
-                                 "file_tokens": pd.array([None] * len(batch), "Int64")})
-            n += len(batch)
+            else:
+                yield rows()
+            ids, _ = enc.encode_many(part.column("text"), end_id)
+            out.write(ids.astype(dtype).tobytes())
+            tokens += len(ids)
+            held = part
+            n += part.num_rows
         if out is not None:
             out.close()
-            held.iloc[-1, 3] = tokens
-            yield held
+            yield rows(tokens)
 
-    return materialise(only(docs, "doc_id", "text").mapInPandas(
+    return materialise(only(docs, "doc_id", "text").mapInArrow(
         write, "file string, ordinal long, doc_id long, file_tokens long"), "flat")
 
 
@@ -269,7 +288,9 @@ def scan_separators(files: DataFrame, folder: str, end_id: int = 49_407, dtype:
 
 
 def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts of every document by scanning flat token files."""
+    """Token counts of every document by scanning flat token files. A null
+    text is an end id alone, a null doc_id stays null, repeated rows are counted
+    each; an empty table gives no rows."""
     folder = scratch(spark, "flat-files")
     where = write_flat_files(load(spark, sf_dir, "documents"), folder)
     files = where.where("file_tokens is not null").select("file", "file_tokens")
