@@ -29,6 +29,14 @@ def lenient_int(c: Column, source: T.DataType | None = None) -> Column:
     return c.try_cast("double").try_cast("int")
 
 
+def lenient_bigint(c: Column, source: T.DataType | None = None) -> Column:
+    """Whole numbers in any spelling ('1.0', '1e3'), without the loss of a
+    double; fractions are cut off as by ``lenient_int``."""
+    if isinstance(source, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return c.cast("bigint")
+    return F.coalesce(c.try_cast("bigint"), c.try_cast("decimal(38,10)").try_cast("bigint"))
+
+
 def lenient_timestamp(c: Column, source: T.DataType | None = None) -> Column:
     """Epoch seconds or timestamp text to a timestamp; anything else NULL."""
     if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -52,6 +60,8 @@ def coerce(df: DataFrame, column: str, type_name: str) -> Column:
         return lenient_double(c)
     if type_name == "int":
         return lenient_int(c, source)
+    if type_name == "bigint":
+        return lenient_bigint(c, source)
     if type_name == "timestamp":
         return lenient_timestamp(c, source)
     if type_name == "timestamp_ntz":
@@ -77,5 +87,10 @@ def integer_text_key(c: Column) -> Column:
 
 
 def timestamp_text_key(c: Column) -> Column:
-    """Dedup key for a timestamp column read as text: one spelling per instant."""
-    return F.coalesce(lenient_timestamp(c, T.StringType()).cast("string"), c)
+    """Dedup key for a timestamp column read as text: one spelling per instant,
+    in UTC with its offset, so that the two instants of a repeated hour stay
+    apart in every session zone. Text that would not parse back stays as it is."""
+    instant = lenient_timestamp(c, T.StringType())
+    since_epoch = F.unix_micros(instant) * F.expr("INTERVAL '0.000001' SECOND")
+    key = F.concat((F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + since_epoch).cast("string"), F.lit("+00:00"))
+    return F.when(key.try_cast("timestamp") == instant, key).otherwise(c)

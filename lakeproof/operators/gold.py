@@ -13,17 +13,21 @@ def _cols(items) -> list[Column]:
 
 
 def avg_by(df: DataFrame, key: str | Sequence[str], value: str, alias: str,
-           digits: int = 2, sort_desc: bool = True) -> DataFrame:
+           digits: int = 2, sort_desc: bool = True, rank_col: str | None = None) -> DataFrame:
     """Grouped average rounded HALF_UP; optional descending order with the key as tie-breaker.
 
+    ``rank_col`` adds the place in that order, from 1 (a window over the
+    groups, of which there is one row each, not over the rows).
+
     Partial aggregation runs map-side, so a key holding a third of all rows
     still sends one partial row per map task through the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     out = df.groupBy(*keys).agg(F.round(F.avg(value), digits).alias(alias))
-    if sort_desc:
-        out = out.orderBy(F.col(alias).desc(), *[F.col(k).asc() for k in keys])
-    return out
+    order = [F.col(alias).desc(), *[F.col(k).asc() for k in keys]]
+    if rank_col:
+        out = out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+    return out.orderBy(*order) if sort_desc else out
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column | str],
@@ -60,9 +64,10 @@ def top_k(df: DataFrame, order: Sequence[Column | str], k: int,
     return out.select(*columns) if columns else out
 
 
-def region_risk(silver: DataFrame, region: str = "location_region", risk: str = "risk_score") -> DataFrame:
+def region_risk(silver: DataFrame, region: str = "location_region", risk: str = "risk_score",
+                rank_col: str | None = None) -> DataFrame:
     """Average risk per region, rounded to 2, highest first."""
-    return avg_by(silver, region, risk, "avg_risk_score")
+    return avg_by(silver, region, risk, "avg_risk_score", rank_col=rank_col)
 
 
 def sales_only(silver: DataFrame, kind: str = "sale") -> DataFrame:

@@ -22,17 +22,33 @@ from lakeproof.operators.split import OK
 from lakeproof.plans.silver import SilverPlan, plan_silver
 from lakeproof.session import drop_path, input_bytes, scratch_path, sized_shuffle
 from lakeproof.sources.paths import LakePaths
-from lakeproof.sources.readers import read_layer, read_raw
+from lakeproof.sources.readers import malformed, read_layer, read_raw, read_raw_checked, well_formed
 from lakeproof.sources.writers import new_batch_id, write_layer, write_report
 
 
 def bronze_ingest(spark: SparkSession, source: str, target: str, contract: Contract = TX_CONTRACT,
-                  schema=None, infer: bool = False) -> DataFrame:
-    """CSV batch -> non-empty gate -> required-columns gate -> Parquet Bronze."""
-    raw = read_raw(spark, source, schema=schema, infer=infer)
+                  schema=None, infer: bool = False, malformed_path: str | None = None,
+                  columns: list[str] | None = None) -> DataFrame:
+    """CSV batch -> non-empty gate -> required-columns gate -> Parquet Bronze.
+
+    With ``malformed_path`` lines with too many or too few fields go there
+    with their reason instead of being cut or padded; the batch is parsed once,
+    into shared scratch, and read twice from there. ``columns`` then names the
+    columns of files without a header row.
+    """
+    if malformed_path is None:
+        raw, parsed = read_raw(spark, source, schema=schema, infer=infer), None
+    else:
+        parsed = scratch_path(spark, "parsed")
+        write_layer(read_raw_checked(spark, source, columns), parsed)
+        checked = read_layer(spark, parsed)
+        write_layer(malformed(checked), malformed_path)
+        raw = well_formed(checked)
     require_non_empty(raw)
     require_columns(raw, contract.required)
     write_layer(raw, target)
+    if parsed:
+        drop_path(spark, parsed)
     return read_layer(spark, target)
 
 

@@ -17,10 +17,13 @@ from pyspark.sql.window import Window
 
 from lakeproof.contract import TX_CONTRACT, TX_REQUIRED_COLUMNS, Contract, Rule
 from lakeproof.operators import gold, observe, quality
-from lakeproof.operators.gates import breaker_verdict, filled_counts, missing_columns
+from lakeproof.operators.compare import batch_diff, diff_summary
+from lakeproof.operators.gates import breaker_verdict, filled_counts, missing_columns, require_non_empty
+from lakeproof.operators.refer import flag_orphans, orphans, referenced
 from lakeproof.operators.shape import (MULTIPLICITY, apply_types, dedup_exact, duplicate_count,
                                        schema_drift, unmapped_columns)
 from lakeproof.operators.split import reason_counts, rule_flags, split_counts
+from lakeproof.operators.temporal import last_before, sessions
 from lakeproof.plans.fixtures import AS_OF, duckdb_cte, read_table, tx_raw
 from lakeproof.plans.jobs import bronze_ingest, run_all, silver_job
 from lakeproof.plans.silver import plan_silver
@@ -113,6 +116,74 @@ def q_run_all_csv(spark, sf_dir):
     return read_layer(spark, _csv_run(spark, sf_dir).region_risk).withColumn("place", F.row_number().over(order))
 
 
+def q_region_risk_ranked(spark, sf_dir):
+    return gold.region_risk(_plan(spark, sf_dir).valid(), rank_col="place")
+
+
+# Lines as they land, without a header: most are well-formed (some with a quoted comma), others have a field too many or too few.
+_EVENT_LINES = """
+SELECT CAST(event_id AS STRING) || CASE WHEN event_id % 10 = 0 THEN ',' || CAST(user_id AS STRING) || ',' || event_type || ',more'
+         WHEN event_id % 10 = 5 THEN ',' || CAST(user_id AS STRING)
+         WHEN event_id % 10 = 7 THEN ',' || CAST(user_id AS STRING) || ',"' || event_type || ', again"'
+         ELSE ',' || CAST(user_id AS STRING) || ',' || event_type END AS value FROM {events}
+"""
+EVENT_LINE_CONTRACT = Contract(name="event_lines", expected=["event_id", "user_id", "event_type"],
+                               required=["event_id", "user_id", "event_type"], types={}, rules=[],
+                               categorical=[], numeric_profile=[])
+
+
+def _event_lines(spark, sf_dir) -> str:
+    """Bronze and malformed lines of the whole batch, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "lines")
+    if key not in _LAKES:
+        base = scratch_path(spark, "event-lines")
+        spark.sql(_EVENT_LINES, events=read_table(spark, sf_dir, "events")).write.text(f"{base}/landing")
+        bronze_ingest(spark, f"{base}/landing", f"{base}/bronze", EVENT_LINE_CONTRACT,
+                      malformed_path=f"{base}/malformed", columns=EVENT_LINE_CONTRACT.expected)
+        _LAKES[key] = base
+    return _LAKES[key]
+
+
+def q_malformed_rows(spark, sf_dir):
+    return read_layer(spark, f"{_event_lines(spark, sf_dir)}/malformed")
+
+
+def q_well_formed_rows(spark, sf_dir):
+    return read_layer(spark, f"{_event_lines(spark, sf_dir)}/bronze")
+
+
+def q_batch_diff(spark, sf_dir):
+    return batch_diff(tx_raw(spark, sf_dir), tx_raw(spark, sf_dir, "rejected"))
+
+
+def q_batch_diff_summary(spark, sf_dir):
+    return diff_summary(q_batch_diff(spark, sf_dir))
+
+
+def _lineitem_orders(spark, sf_dir):
+    """Line items against the orders that are not urgent."""
+    orders = read_table(spark, sf_dir, "orders").where("o_orderpriority <> '1-URGENT'")
+    return flag_orphans(read_table(spark, sf_dir, "lineitem"), orders, "l_orderkey", "o_orderkey")
+
+
+def q_orphan_lineitems(spark, sf_dir):
+    return orphans(_lineitem_orders(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_partkey", "orphan_reason")
+
+
+def q_referenced_lineitems(spark, sf_dir):
+    return referenced(_lineitem_orders(spark, sf_dir)).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+def q_last_view_before_purchase(spark, sf_dir):
+    events = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    matched = last_before(events, "user_id", "ts", "event_id", "event_type = 'view'", ["event_id", "ts"], "view_")
+    return matched.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "view_event_id", "view_ts")
+
+
+def q_user_sessions(spark, sf_dir):
+    return sessions(read_table(spark, sf_dir, "events"), "user_id", "ts", 6 * 3600)
+
+
 def q_run_all_top_sales(spark, sf_dir):
     return read_layer(spark, _csv_run(spark, sf_dir).top_sales)
 
@@ -177,7 +248,7 @@ def q_required_columns(spark, sf_dir):
 
 
 def q_non_empty(spark, sf_dir):
-    return tx_raw(spark, sf_dir).limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty"))
+    return require_non_empty(tx_raw(spark, sf_dir)).limit(1).agg((F.count(F.lit(1)) > 0).alias("non_empty"))
 
 
 def q_dedup_exact(spark, sf_dir):
@@ -371,10 +442,9 @@ def q_dq_report_json(spark, sf_dir):
 
 
 def q_report_categorical(spark, sf_dir):
-    """The report's lists of found domain values, one row per (column, value, position)."""
-    rep = _report(spark, sf_dir)
-    return (rep.selectExpr("explode(eda.categorical) AS (column_name, found)")
-            .selectExpr("column_name", "posexplode(found) AS (position, value)"))
+    """All values found in the batch, one row per (column, value, position), from the written profile."""
+    place = Window.partitionBy("column_name").orderBy("value")
+    return _profile(spark, sf_dir).select("column_name", (F.row_number().over(place) - 1).alias("position"), "value")
 
 
 def q_layer_preview_ordered(spark, sf_dir):
@@ -496,6 +566,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_job_valid": q_silver_job_valid,
     "silver_job_quarantine": q_silver_job_quarantine,
     "report_history": q_report_history,
+    "region_risk_ranked": q_region_risk_ranked,
+    "malformed_rows": q_malformed_rows,
+    "well_formed_rows": q_well_formed_rows,
+    "batch_diff": q_batch_diff,
+    "batch_diff_summary": q_batch_diff_summary,
+    "orphan_lineitems": q_orphan_lineitems,
+    "referenced_lineitems": q_referenced_lineitems,
+    "last_view_before_purchase": q_last_view_before_purchase,
+    "user_sessions": q_user_sessions,
     "run_all_csv": q_run_all_csv,
     "run_all_top_sales": q_run_all_top_sales,
     "dirty_text_typed": q_dirty_text_typed,
@@ -712,6 +791,12 @@ def _status_sql(variant: str, batch: str) -> str:
               "FROM (SELECT conformity_rate_pct, circuit_breaker_threshold_pct AS threshold FROM metrics))")
 
 
+_DIFF_SQL = (f"WITH {duckdb_cte('clean', 'a')}, {duckdb_cte('rejected', 'b')}, diff AS (SELECT {_COLS}, "
+             "CAST(count(*) FILTER (WHERE side = 0) AS BIGINT) AS n_old, CAST(count(*) FILTER (WHERE side = 1) AS BIGINT) "
+             "AS n_new, CASE WHEN min(side) = 1 THEN 'added' WHEN max(side) = 0 THEN 'gone' ELSE 'count' END AS change "
+             "FROM (SELECT *, 0 AS side FROM a UNION ALL SELECT *, 1 AS side FROM b) "
+             f"GROUP BY {_COLS} HAVING n_old <> n_new) ")
+
 ORACLES: dict[str, str] = {
     "silver_job_valid": _with(_VALID) + "SELECT * FROM valid",
     "silver_job_quarantine": _with(_QUAR) + "SELECT * FROM quar",
@@ -830,8 +915,35 @@ ORACLES: dict[str, str] = {
     "dq_report_json": _report_json_sql(),
     "report_categorical": _with() + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS position, value "
-        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IN {_DOMAINS_SQL[c]})"
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM typed WHERE {c} IS NOT NULL)"
         for c in _CATEGORICAL),
+    "region_risk_ranked": _with(_VALID) + "SELECT *, CAST(row_number() OVER (ORDER BY avg_risk_score DESC, "
+                          f"location_region) AS INTEGER) AS place FROM ({_REGION})",
+    "malformed_rows": "SELECT CASE WHEN event_id % 10 = 0 THEN concat_ws(',', event_id, user_id, event_type, 'more') "
+                      "ELSE concat_ws(',', event_id, user_id) END AS raw_line, "
+                      "CASE WHEN event_id % 10 = 0 THEN 4 ELSE 2 END AS n_fields, "
+                      "CASE WHEN event_id % 10 = 0 THEN 'too many fields' ELSE 'too few fields' END AS reason "
+                      "FROM events WHERE event_id % 5 = 0",
+    "well_formed_rows": "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, "
+                        "event_type || CASE WHEN event_id % 10 = 7 THEN ', again' ELSE '' END AS event_type "
+                        "FROM events WHERE event_id % 5 <> 0",
+    "batch_diff": _DIFF_SQL + "SELECT * FROM diff",
+    "batch_diff_summary": _DIFF_SQL + "SELECT change, count(*) AS n_rows, CAST(sum(abs(n_new - n_old)) AS BIGINT) "
+                          "AS n_copies FROM diff GROUP BY change",
+    "orphan_lineitems": "SELECT l_orderkey, l_linenumber, l_partkey, 'no parent' AS orphan_reason FROM lineitem "
+                        "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey "
+                        "AND o_orderpriority <> '1-URGENT')",
+    "referenced_lineitems": "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN "
+                            "(SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')",
+    "last_view_before_purchase": "SELECT event_id, user_id, ts, v.event_id AS view_event_id, v.ts AS view_ts FROM ("
+                                 "SELECT *, max(CASE WHEN event_type = 'view' THEN {'ts': ts, 'event_id': event_id} END) "
+                                 "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING "
+                                 "AND 1 PRECEDING) AS v FROM events) WHERE event_type = 'purchase'",
+    "user_sessions": "WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END "
+                     "AS pause FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), b AS (SELECT *, 1 + sum(pause) "
+                     "OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM a) SELECT user_id, CAST(session_no AS "
+                     "BIGINT) AS session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_rows "
+                     "FROM b GROUP BY user_id, session_no",
     "layer_preview_ordered": _with(_VALID) + f"SELECT * FROM valid ORDER BY " + ", ".join(
         f'"{c}" ASC NULLS FIRST' for c in TX_COLS) + " LIMIT 250",
     "lineitem_column_quality": _lineitem_cq(),

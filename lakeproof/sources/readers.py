@@ -20,8 +20,16 @@ def read_raw(spark: SparkSession, path: str, schema: str | T.StructType | None =
     by column name; cells that don't fit are NULL. ``infer`` reproduces type inference, which costs an extra scan of the input
     (``sampling_ratio`` < 1 infers from a sample of the rows instead; the
     types may then differ from a full inference).
+
+    In a folder of several files every header must be the first one's: a file
+    with other columns, or another order of them, is refused when it is read,
+    as its values would land in the wrong columns.
     """
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if header and not infer:
+        first = reader.csv(path)
+        if len(first.inputFiles()) > 1:
+            reader = reader.schema(first.schema).option("enforceSchema", False)
     if schema is not None:
         fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
         raw = reader.csv(path)
@@ -35,6 +43,47 @@ def read_raw(spark: SparkSession, path: str, schema: str | T.StructType | None =
     return reader.csv(path)
 
 
+RAW_LINE = "__raw_line"
+
+
+def read_raw_checked(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A raw CSV batch as text columns, with every malformed line as it
+    stands in ``RAW_LINE`` (null for a well-formed one).
+
+    ``columns`` names the columns of files without a header row. Malformed is
+    a line with more or fewer fields than columns, or with an open quote;
+    ``read_raw`` would cut or pad it silently. Blank lines are no records.
+    """
+    reader = spark.read.option("header", columns is None).option("mode", "PERMISSIVE")
+    if columns is None:
+        first = reader.csv(path)
+        columns = first.columns
+        if len(first.inputFiles()) > 1:
+            reader = reader.option("enforceSchema", False)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RAW_LINE]])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", RAW_LINE).csv(path)
+
+
+def well_formed(checked: DataFrame) -> DataFrame:
+    """The records whose line was well-formed."""
+    return checked.where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
+
+
+def malformed(checked: DataFrame, separator: str = ",") -> DataFrame:
+    """(raw_line, n_fields, reason) of the malformed lines.
+
+    ``checked`` has to be a written table (Spark does not read the raw line
+    alone from CSV). Fields are counted outside quotes.
+    """
+    expected = len(checked.columns) - 1
+    bare = F.regexp_replace(RAW_LINE, r'"(\\.|[^"\\])*"', "")
+    n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(separator))) + 1
+    reason = (F.when(F.contains(bare, F.lit('"')), "open quote").when(n_fields > expected, "too many fields")
+              .when(n_fields < expected, "too few fields").otherwise("unreadable"))
+    return checked.where(F.col(RAW_LINE).isNotNull()).select(
+        F.col(RAW_LINE).alias("raw_line"), n_fields.cast("int").alias("n_fields"), reason.alias("reason"))
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet layer; filters and projections reach the scan."""
     return spark.read.parquet(path)
