@@ -153,9 +153,11 @@ def _step(frontier: DataFrame, record: DataFrame, wanted: DataFrame, bottom: Col
 
 
 def _wanted(requests: DataFrame, payload: list[str]) -> DataFrame:
+    # in the order of their digits: the list is made more than once, and what goes down one
+    # reading of it is matched by place with another
     digit = F.col("pos").bitwiseAND(FAN - 1).cast("int").alias("digit")
     return (requests.select("tree", F.shiftright("pos", BITS).alias("at"), F.struct(digit, *payload).alias("item"))
-            .groupBy("tree", F.col("at").alias("pos")).agg(F.collect_list("item").alias("items")))
+            .groupBy("tree", F.col("at").alias("pos")).agg(F.sort_array(F.collect_list("item")).alias("items")))
 
 
 def _descend(records: list[DataFrame], starts: DataFrame, requests: DataFrame, payload: list[str]) -> DataFrame:

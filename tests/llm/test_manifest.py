@@ -107,3 +107,13 @@ def test_proof_of_a_few_requests(spark, tables):
     proofs = manifest.prove(m, some, ["leaf"]).withColumn("root", manifest.folded("leaf")).collect()
     assert len(proofs) == some.count() > 3
     assert {p["root"] for p in proofs} == {m.root}
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_wanted_digits_stand_in_order_however_they_arrive(spark, parts):
+    n = 2 * manifest.FAN + 29
+    requests = spark.range(n).select(F.lit(0).cast("long").alias("tree"), (F.lit(n - 1) - F.col("id")).alias("pos"),
+                                     F.hash("id").alias("x")).repartition(parts)
+    for row in manifest._wanted(requests, ["x"]).collect():
+        digits = [i["digit"] for i in row["items"]]
+        assert digits == list(range(29 if row["pos"] == 2 else manifest.FAN))
