@@ -145,7 +145,7 @@ def bit_sliced_top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K,
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({"query_id": [], "q_no": [], "vec_id": [], "score": []}, dtype="int64")
         page = left["page"].iloc[0]
         ids = np.array([r["vec_id"] for r in page], np.int64)
         numbers = np.array([r["row_no"] for r in page], np.int64)
@@ -155,12 +155,13 @@ def bit_sliced_top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K,
             own = int(np.searchsorted(numbers, q_no))
             rows, score = block.top(np.asarray(q, np.int64), k,
                                     own if own < len(numbers) and numbers[own] == q_no else -1)
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[rows], "score": score}))
+            out.append(pd.DataFrame({"query_id": query_id, "q_no": q_no, "vec_id": ids[rows], "score": score}))
         return pd.concat(out)
 
     found = (pages.groupBy("dim", "block", "grp").cogroup(asked.groupBy("q_dim", "q_block", "q_grp"))
-             .applyInPandas(search, "query_id long, vec_id long, score long"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInPandas(search, "query_id long, q_no long, vec_id long, score long"))
+    # by query row: rows that repeat a vec_id are queries of their own
+    best = Window.partitionBy("query_id", "q_no").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -179,16 +180,16 @@ def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT vec_id, row_number() OVER () AS row_no, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+  SELECT a.vec_id AS query_id, a.row_no AS q_no, b.vec_id AS vec_id,
          CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+  FROM v a JOIN v b ON a.row_no <> b.row_no WHERE a.vec_id % 20 = 0),
 r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY q_no ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
          vec_id, score FROM s)
 SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 20
 """
