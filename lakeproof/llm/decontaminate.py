@@ -56,12 +56,23 @@ def rarest_terms(windows: DataFrame, docs: DataFrame) -> DataFrame:
                  F.max_by("word", "r").alias("word2"), F.max_by("off", "r").alias("off2")))
 
 
-def window_starts(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, start, item_id, words: places where a window's two rarest terms
-    stand as the window has them."""
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``docs``, written once with ``__row``, a number of each row's own. Lists
+    are kept by it, so a null or repeated doc_id is like any other."""
+    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "decontamination-texts")
+
+
+def indexed(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``windows`` with their two rarest terms, and the postings of these."""
     windows = materialise(rarest_terms(windows, docs), "windows")
     terms = windows.select(F.explode(F.array("word1", "word2")).alias("word")).distinct()
-    index = materialise(postings(docs, small(terms, "word")), "postings")
+    return windows, materialise(postings(docs, small(terms, "word")), "postings")
+
+
+def window_starts(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, start, item_id, words: places where a window's two rarest terms
+    stand as the window has them. ``doc_id`` has to be unique."""
+    windows, index = indexed(docs, windows)
     first = (index.join(small(windows.withColumnRenamed("word1", "word")
                               .withColumn("__bytes", F.concat_ws(" ", "words")), "__bytes"), "word")
              .select("doc_id", (F.col("pos") - F.col("off1")).alias("start"), "item_id", "words", "word2", "off2")
@@ -77,13 +88,14 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -
     """``docs`` with n_words, n_hit, n_items, items_sha256, contaminated.
 
     Null and empty texts have no words and no hits. Rows that share a doc_id
-    are each compared with their own text; a null doc_id is never hit. An
-    empty benchmark hits nothing; repeated items count once per item_id.
+    are each compared with their own text, as are rows without one. An empty
+    benchmark hits nothing; repeated items count once per item_id.
     """
-    starts = window_starts(only(docs, "doc_id", "text"), benchmark_windows(benchmark, width))
+    docs = rows_of(docs)
+    starts = window_starts(docs.select(F.col("__row").alias("doc_id"), "text"), benchmark_windows(benchmark, width))
     found = starts.groupBy(F.col("doc_id").alias("__doc")).agg(
         F.collect_list(F.struct("start", "item_id", "words")).alias("__found"))
-    joined = docs.join(found, F.col("doc_id") == F.col("__doc"), "left")
+    joined = docs.join(found, F.col("__row") == F.col("__doc"), "left")
     words = F.transform(word_list(F.col("text")), ascii_lower)
     sized = joined.withColumn("n_words", F.size(word_list(F.col("text"))).cast("long"))
     true = (F.when(F.col("__found").isNotNull(), F.filter(
@@ -97,7 +109,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -
            .withColumn("n_items", F.size("__items").cast("long"))
            .withColumn("items_sha256", F.sha2(F.array_join("__items", ","), 256))
            .withColumn("contaminated", F.col("n_hit") > 0))
-    return out.drop("__doc", "__found", "__words", "__true", "__items")
+    return out.drop("__row", "__doc", "__found", "__words", "__true", "__items")
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame, distance: int) -> DataFrame:
@@ -116,6 +128,22 @@ def proximity_matches(index: DataFrame, pairs: DataFrame, distance: int) -> Data
             .select("doc_id", "left", "right", "pos_left", "pos_right"))
 
 
+def near_matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, distance: int = WINDOW) -> DataFrame:
+    """doc_id, item_id, n_windows: per row of ``docs`` and item the windows
+    whose two rarest terms stand at most ``distance`` words apart, in any
+    order; a passage with words put in or moved shows here. Pairs without a
+    match give no row, nor do windows of one term. Nulls as in ``decontaminated``."""
+    rows = rows_of(only(docs, "doc_id", "text"))
+    windows, index = indexed(rows.select(F.col("__row").alias("doc_id"), "text"), benchmark_windows(benchmark, width))
+    windows = windows.where("word1 <> word2")
+    pairs = windows.select(F.col("word1").alias("left"), F.col("word2").alias("right")).distinct()
+    near = proximity_matches(index, pairs, distance).select("doc_id", "left", "right").distinct()
+    per_item = windows.select(F.col("word1").alias("left"), F.col("word2").alias("right"), "item_id", "words").distinct()
+    found = (near.join(per_item, ["left", "right"]).groupBy(F.col("doc_id").alias("__row"), "item_id")
+             .agg(F.count(F.lit(1)).alias("n_windows")))
+    return rows.join(found, "__row").select("doc_id", "item_id", "n_windows")
+
+
 def op6_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of all benchmark items in all documents."""
     docs = only(load(spark, sf_dir, "documents"), "doc_id", "text")
