@@ -31,6 +31,7 @@ from lakeproof.session import scratch_path
 from lakeproof.sources.paths import LakePaths
 from lakeproof.sources.readers import preview, read_layer, read_reports, select_report
 from lakeproof.sources.writers import write_layer
+from lakeproof.streaming import medallion as streaming
 
 TX_COLS = ["timestamp", "sending_address", "receiving_address", "amount", "transaction_type",
            "location_region", "ip_prefix", "login_frequency", "session_duration",
@@ -471,6 +472,41 @@ def q_run_all(spark, sf_dir):
     return spark.read.parquet(result.paths.region_risk)
 
 
+# Two deliveries; the second one holds the first again.
+STREAM_CUT, STREAM_DELAY_DAYS = "2024-01-16 00:00:00", 3
+
+
+def _streamed(spark, sf_dir):
+    """The tables of a stream that took the batch in two runs and was then started once more."""
+    base, landing = scratch_path(spark, "stream"), scratch_path(spark, "stream-landing")
+    raw = tx_raw(spark, sf_dir)
+
+    def run():
+        streaming.stream_medallion(spark, landing, base, raw.schema, "timestamp", STREAM_DELAY_DAYS * 86_400,
+                                   f"{base}/checkpoint", TX_CONTRACT, AS_OF)
+
+    for delivery in (raw.where(F.col("timestamp") < F.lit(STREAM_CUT).cast("timestamp_ntz")), raw):
+        delivery.write.mode("append").parquet(landing)
+        run()
+    run()
+    return base
+
+
+def q_streamed_silver_valid(spark, sf_dir):
+    return streaming.read_table(spark, _streamed(spark, sf_dir), "silver").select(*TX_COLS)
+
+
+def q_streamed_accounts(spark, sf_dir):
+    """Where the rows of each micro-batch went."""
+    base = _streamed(spark, sf_dir)
+    reasons = {"n_late": streaming.LATE, "n_no_time": streaming.NO_TIME, "n_future": streaming.FUTURE}
+    aside = streaming.read_table(spark, base, "aside").groupBy("batch_id").agg(
+        *[F.count_if(F.col(streaming.REASON) == why).alias(c) for c, why in reasons.items()])
+    progress = streaming.read_table(spark, base, "progress", streaming.PROGRESS)
+    return progress.join(aside, "batch_id", "left").select(
+        "batch_id", "n_in", "n_new", "n_copies", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in reasons])
+
+
 # A contract for ``lineitem``: the same operators on another table.
 LINEITEM_CONTRACT = Contract(
     name="lineitem",
@@ -517,6 +553,8 @@ def q_orders_avg_price_by_priority(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "streamed_silver_valid": q_streamed_silver_valid,
+    "streamed_accounts": q_streamed_accounts,
     "csv_roundtrip_typed": q_csv_roundtrip_typed,
     "required_columns": q_required_columns,
     "non_empty": q_non_empty,
@@ -797,7 +835,22 @@ _DIFF_SQL = (f"WITH {duckdb_cte('clean', 'a')}, {duckdb_cte('rejected', 'b')}, d
              "FROM (SELECT *, 0 AS side FROM a UNION ALL SELECT *, 1 AS side FROM b) "
              f"GROUP BY {_COLS} HAVING n_old <> n_new) ")
 
+_STREAM_SQL = (f"""WITH {duckdb_cte('clean', 'raw')},
+w AS (SELECT max(timestamp) - INTERVAL {STREAM_DELAY_DAYS} DAY AS mark FROM raw WHERE timestamp < TIMESTAMP '{STREAM_CUT}'),
+a AS (SELECT count(*) AS n FROM raw WHERE timestamp < TIMESTAMP '{STREAM_CUT}'),
+da AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM raw) WHERE timestamp < TIMESTAMP '{STREAM_CUT}'),
+db AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM raw) WHERE timestamp >= TIMESTAMP '{STREAM_CUT}'
+       AND timestamp <= TIMESTAMP '{AS_OF}'),
+b AS (SELECT count(*) AS n, count(*) FILTER (WHERE timestamp < mark) AS late,
+             count(*) FILTER (WHERE timestamp IS NULL) AS timeless,
+             count(*) FILTER (WHERE timestamp > TIMESTAMP '{AS_OF}') AS future FROM raw, w)
+""" + "SELECT CAST(0 AS BIGINT) AS batch_id, a.n AS n_in, da.n AS n_new, a.n - da.n AS n_copies, CAST(0 AS BIGINT) AS n_late, "
+      "CAST(0 AS BIGINT) AS n_no_time, CAST(0 AS BIGINT) AS n_future FROM a, da UNION ALL "
+      "SELECT 1, b.n, db.n, b.n - late - timeless - future - db.n, late, timeless, future FROM b, db")
+
 ORACLES: dict[str, str] = {
+    "streamed_silver_valid": _with(_VALID) + "SELECT * FROM valid",
+    "streamed_accounts": _STREAM_SQL,
     "silver_job_valid": _with(_VALID) + "SELECT * FROM valid",
     "silver_job_quarantine": _with(_QUAR) + "SELECT * FROM quar",
     "report_history": "SELECT *, CAST(row_number() OVER (ORDER BY batch_id DESC) AS INTEGER) AS newest_rank, "
