@@ -62,3 +62,19 @@ def split_counts(flagged: DataFrame) -> DataFrame:
     """(valid_records, error_records) in one pass."""
     return flagged.selectExpr(f"count_if({ident(OK)}) AS valid_records",
                               f"count_if(NOT {ident(OK)}) AS error_records")
+
+
+def counts_by_level(rows: DataFrame, columns: list[str], min_rows: int = 1) -> DataFrame:
+    """``columns``, ``level`` (the grouping id: a bit is 1 where the column is
+    summed up, the first column highest) and ``n_rows``, for every subset of
+    ``columns``; groups under ``min_rows`` are left out.
+
+    The rows are counted by all columns first, so only that small table is
+    spread over the subsets. A null value and a total differ by ``level``.
+    """
+    clash = sorted({"level", "n_rows"} & set(columns))
+    if clash:
+        raise ValueError(f"columns named like the result's: {clash}")
+    finest = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    return (finest.cube(*columns).agg(F.grouping_id().alias("level"), F.sum("n_rows").alias("n_rows"))
+            .where(F.col("n_rows") >= min_rows).select(*columns, "level", "n_rows"))

@@ -19,10 +19,11 @@ from lakeproof.contract import TX_CONTRACT, TX_REQUIRED_COLUMNS, Contract, Rule
 from lakeproof.operators import gold, observe, quality
 from lakeproof.operators.compare import batch_diff, diff_summary
 from lakeproof.operators.gates import breaker_verdict, filled_counts, missing_columns, require_non_empty
+from lakeproof.operators.overlap import overlaps
 from lakeproof.operators.refer import flag_orphans, orphans, referenced
 from lakeproof.operators.shape import (MULTIPLICITY, apply_types, dedup_exact, duplicate_count,
                                        schema_drift, unmapped_columns)
-from lakeproof.operators.split import reason_counts, rule_flags, split_counts
+from lakeproof.operators.split import counts_by_level, reason_counts, rule_flags, split_counts
 from lakeproof.operators.temporal import last_before, sessions
 from lakeproof.plans.fixtures import AS_OF, duckdb_cte, read_table, tx_raw
 from lakeproof.plans.jobs import bronze_ingest, run_all, silver_job
@@ -472,6 +473,27 @@ def q_run_all(spark, sf_dir):
     return spark.read.parquet(result.paths.region_risk)
 
 
+# Each order runs a campaign for its customer: some of hours, some of weeks, some of an instant.
+_CAMPAIGN_FROM = "o_orderkey * 7919 % 2592000"
+_CAMPAIGN_SECONDS = "CASE WHEN o_orderkey % 5 = 0 THEN 1728000 WHEN o_orderkey % 7 = 0 THEN 0 ELSE o_orderkey % 50 * 3600 END"
+
+
+def q_campaign_sessions(spark, sf_dir):
+    """The sessions of each user and the campaigns that ran during them."""
+    visits = sessions(read_table(spark, sf_dir, "events"), "user_id", "ts", 6 * 3600).drop("n_rows")
+    start = f"TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, {_CAMPAIGN_FROM})"
+    campaigns = read_table(spark, sf_dir, "orders").selectExpr(
+        "o_custkey AS user_id", "o_orderkey AS campaign", f"{start} AS campaign_start",
+        f"{start} + make_dt_interval(0, 0, 0, {_CAMPAIGN_SECONDS}) AS campaign_end")
+    return overlaps(visits, campaigns, "user_id", ("session_start", "session_end"), ("campaign_start", "campaign_end")) \
+        .select("user_id", "session_no", "campaign", "overlap_seconds")
+
+
+def q_quarantine_levels(spark, sf_dir):
+    """Rejected rows by reason, region and type at every level, groups of 5 or more."""
+    return counts_by_level(_plan(spark, sf_dir).quarantine(), ["rejection_reason", "location_region", "transaction_type"], 5)
+
+
 # Two deliveries; the second one holds the first again.
 STREAM_CUT, STREAM_DELAY_DAYS = "2024-01-16 00:00:00", 3
 
@@ -553,6 +575,8 @@ def q_orders_avg_price_by_priority(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "campaign_sessions": q_campaign_sessions,
+    "quarantine_levels": q_quarantine_levels,
     "streamed_silver_valid": q_streamed_silver_valid,
     "streamed_accounts": q_streamed_accounts,
     "csv_roundtrip_typed": q_csv_roundtrip_typed,
@@ -835,6 +859,12 @@ _DIFF_SQL = (f"WITH {duckdb_cte('clean', 'a')}, {duckdb_cte('rejected', 'b')}, d
              "FROM (SELECT *, 0 AS side FROM a UNION ALL SELECT *, 1 AS side FROM b) "
              f"GROUP BY {_COLS} HAVING n_old <> n_new) ")
 
+_SESSIONS_SQL = ("WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END "
+                 "AS pause FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), b AS (SELECT *, 1 + sum(pause) "
+                 "OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM a) SELECT user_id, CAST(session_no AS "
+                 "BIGINT) AS session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_rows "
+                 "FROM b GROUP BY user_id, session_no")
+
 _STREAM_SQL = (f"""WITH {duckdb_cte('clean', 'raw')},
 w AS (SELECT max(timestamp) - INTERVAL {STREAM_DELAY_DAYS} DAY AS mark FROM raw WHERE timestamp < TIMESTAMP '{STREAM_CUT}'),
 a AS (SELECT count(*) AS n FROM raw WHERE timestamp < TIMESTAMP '{STREAM_CUT}'),
@@ -849,6 +879,15 @@ b AS (SELECT count(*) AS n, count(*) FILTER (WHERE timestamp < mark) AS late,
       "SELECT 1, b.n, db.n, b.n - late - timeless - future - db.n, late, timeless, future FROM b, db")
 
 ORACLES: dict[str, str] = {
+    "campaign_sessions": f"WITH s AS ({_SESSIONS_SQL}), c AS (SELECT o_custkey AS user_id, o_orderkey AS campaign, "
+                         f"TIMESTAMP '2024-01-01' + to_seconds({_CAMPAIGN_FROM}) AS b, TIMESTAMP '2024-01-01' "
+                         f"+ to_seconds({_CAMPAIGN_FROM}) + to_seconds({_CAMPAIGN_SECONDS}) AS e FROM orders) "
+                         "SELECT user_id, session_no, campaign, (epoch_us(least(session_end, e)) - "
+                         "epoch_us(greatest(session_start, b))) / 1000000 AS overlap_seconds "
+                         "FROM s JOIN c USING (user_id) WHERE session_start <= e AND b <= session_end",
+    "quarantine_levels": _with(_QUAR) + "SELECT rejection_reason, location_region, transaction_type, CAST(GROUPING("
+                         "rejection_reason, location_region, transaction_type) AS BIGINT) AS level, count(*) AS n_rows "
+                         "FROM quar GROUP BY CUBE (rejection_reason, location_region, transaction_type) HAVING n_rows >= 5",
     "streamed_silver_valid": _with(_VALID) + "SELECT * FROM valid",
     "streamed_accounts": _STREAM_SQL,
     "silver_job_valid": _with(_VALID) + "SELECT * FROM valid",
@@ -992,11 +1031,7 @@ ORACLES: dict[str, str] = {
                                  "SELECT *, max(CASE WHEN event_type = 'view' THEN {'ts': ts, 'event_id': event_id} END) "
                                  "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING "
                                  "AND 1 PRECEDING) AS v FROM events) WHERE event_type = 'purchase'",
-    "user_sessions": "WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END "
-                     "AS pause FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), b AS (SELECT *, 1 + sum(pause) "
-                     "OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM a) SELECT user_id, CAST(session_no AS "
-                     "BIGINT) AS session_no, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_rows "
-                     "FROM b GROUP BY user_id, session_no",
+    "user_sessions": _SESSIONS_SQL,
     "layer_preview_ordered": _with(_VALID) + f"SELECT * FROM valid ORDER BY " + ", ".join(
         f'"{c}" ASC NULLS FIRST' for c in TX_COLS) + " LIMIT 250",
     "lineitem_column_quality": _lineitem_cq(),
