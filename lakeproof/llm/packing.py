@@ -24,6 +24,7 @@ from lakeproof.llm.common import encoder, load, map_frames, materialise, only, t
 
 CAPACITY = 4096
 RANK_GROUPS = 256
+ROWS_PER_TASK = 250_000
 
 
 def fullest(longest: int, lengths: list[int], counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -105,9 +106,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id and offset. Ranks are counted in groups of
     a hash of the piece, so that pieces of one common length are not all in
     one task; a group's first rank is the sum of the groups' counts before it.
+
+    A piece is a few dozen bytes, so pieces and result are written by as many
+    tasks as the cores or their rows ask for, not by one for each split of the
+    texts or shuffle partition.
     """
+    cores = pieces.sparkSession.sparkContext.defaultParallelism
     grouped = pieces.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_GROUPS)))
-    grouped = materialise(grouped, "pieces")
+    grouped = materialise(grouped.repartition(cores * 4), "pieces")
     counts = grouped.groupBy("length", "__group").count()
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     plan = pd.DataFrame(pack_plan(histogram, capacity), columns=["length", "first", "last", "sequence", "offset"])
@@ -128,8 +134,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             batch["offset"] = plan[at, 4]
             yield batch[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
 
+    tasks = max(cores, sum(histogram.values()) // ROWS_PER_TASK)
     return map_frames(
-        ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "__rank"), place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "__rank").coalesce(tasks), place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -151,6 +151,23 @@ def test_packing(spark, tables, rows, ids):
     assert max(ends.values()) <= 4096
 
 
+def test_packing_writes_few_files_of_many_splits(spark):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(cores * 4 + 20)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesced = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", str(cores + 30))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        packed = packing.pack_documents(docs)
+        assert len(packed.inputFiles()) <= cores * 4
+        assert packed.rdd.getNumPartitions() <= cores
+        assert sorted(r["doc_id"] for r in packed.collect()) == list(range(2000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesced)
+
+
 def test_fullest_bin_against_all_subsets():
     counts = {7: 2, 5: 1, 3: 2, 2: 1}
     items = [n for n, k in counts.items() for _ in range(k)]
