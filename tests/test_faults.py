@@ -1,5 +1,6 @@
 """Dirty input: big integers as text, mixed severities, headers, epochs, zones."""
 
+import time
 from datetime import datetime, timedelta, timezone
 
 from lakeproof.contract import Contract, Rule
@@ -56,3 +57,35 @@ def test_now_is_an_instant_in_any_session_zone(spark):
             assert spark.sql(f"SELECT unix_seconds({as_of_sql(when)}) AS s").first()["s"] == when.timestamp()
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_guarded_number_casts_read_odd_texts_as_before(spark):
+    texts = ["1700000000", " 1700000000 ", "+5", "-5", "-5.25", "1.", ".5", "1e3", "1E-3", "-1e-3", "1.5d", "2f", "0x1p-3",
+             "NaN", "Infinity", "-inf", "inf", "", " ", "-", "x", "1-2", "12:30", "T12:30", "2024", "2024-02", "2024-02-30",
+             "2024-02-03", "2024-02-03T04:05:06.789", "2024-02-03 04:05:06+02:00", "9223372036854775807", "9e18", "1\t", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    plain = F.coalesce(t.try_cast("bigint").try_cast("timestamp"), t.try_cast("double").try_cast("timestamp"),
+                       t.try_cast("timestamp"))
+    got = rows.select("t", lenient_timestamp(t, rows.schema["t"].dataType).cast("string").alias("got"),
+                      plain.cast("string").alias("want")).collect()
+    assert [(r["t"], r["got"]) for r in got] == [(r["t"], r["want"]) for r in got]
+    assert sum(r["want"] is not None for r in got) > 10
+
+
+def test_times_as_text_cost_no_failed_number_casts(spark):
+    rows = spark.range(2_000_000).selectExpr("CAST(timestamp_seconds(1700000000 + id) AS STRING) AS t").persist()
+    assert rows.count() == 2_000_000
+
+    def seconds(column):
+        def once():
+            began = time.perf_counter()
+            rows.select(column).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - began
+        return min(once() for _ in range(3))
+
+    try:
+        plain = seconds(F.col("t").try_cast("timestamp"))
+        assert seconds(lenient_timestamp(F.col("t"), rows.schema["t"].dataType)) < 4 * plain + 0.2
+    finally:
+        rows.unpersist()
