@@ -387,3 +387,11 @@ def test_pipeline_stages(spark, tables, no_rows):
             out = stage(spark, docs, folder)
             assert out.columns == corpus_pipeline.COLUMNS, name
     assert corpus_pipeline.run(spark, tables).select("doc_id").distinct().count() > 20
+
+
+def test_pipeline_stages_merge_small_splits(spark, tables):
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.read.parquet(f"{tables}/documents.parquet").repartition(cores * 4 + 20)
+    for stage in (corpus_pipeline.quality, corpus_pipeline.near_dedup):
+        assert stage(spark, docs, tables).rdd.getNumPartitions() <= cores * 4
+    assert corpus_pipeline.parts(docs, spark.range(1)).count() == docs.count()
