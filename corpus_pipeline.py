@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import bounded_batches, load, materialise, only, scratch
+from lakeproof.llm.common import PART_BYTES, bounded_batches, load, materialise, merged, only, scratch
 from lakeproof.llm.decontaminate import decontaminated
 from lakeproof.llm.neardup import near_duplicates
 from lakeproof.llm.packing import pack_documents
@@ -24,14 +24,13 @@ from lakeproof.session import input_bytes
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SIMILARITY = 80  # percent, over shingles of five words
-PART_BYTES = 128 << 20
 
 
 def parts(kept: DataFrame, docs: DataFrame) -> DataFrame:
-    """``kept`` in no more parts than four a core or the bytes of ``docs`` ask
+    """``kept`` in no more parts than two a core or the bytes of ``docs`` ask
     for: each part is a file, and a split of the stages that follow."""
     cores = kept.sparkSession.sparkContext.defaultParallelism
-    return kept.coalesce(min(max(cores * 4, input_bytes(docs) // PART_BYTES), 2 ** 31 - 1))
+    return kept.coalesce(min(max(cores * 2, input_bytes(docs) // PART_BYTES), 2 ** 31 - 1))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest doc_id stays."""
     bounded_batches(spark)
     docs = only(docs, *COLUMNS)
-    gone = materialise(near_duplicates(docs, SIMILARITY).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    gone = near_duplicates(docs, SIMILARITY).where("NOT kept").select("doc_id").distinct()
+    gone = materialise(merged(gone), "near-copies")
     return parts(docs.join(small(gone), "doc_id", "left_anti").select(*COLUMNS), docs)
 
 

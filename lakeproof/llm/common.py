@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lakeproof.session import ensure_checkpoint_dir
+from lakeproof.session import ensure_checkpoint_dir, read_bytes
 
 TOKENIZER_FILE = "word_bpe_49k.json"
+PART_BYTES = 128 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -52,6 +53,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame, per_core: int = 1) -> DataFrame:
+    """``df`` in no more parts than ``per_core`` a core or the bytes of the tables
+    it reads ask for: each part that is written is a file, and a small table
+    would else have one for each shuffle partition or split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(min(max(cores * per_core, read_bytes(df) // PART_BYTES), 2 ** 31 - 1))
+
+
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns alone, so that extra columns of any name can't clash."""
     return df.select(*columns)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeproof.llm.common import load, materialise, only
+from lakeproof.llm.common import load, materialise, merged, only
 from lakeproof.llm.words import ascii_lower, small, word_list, word_places
 
 WINDOW = 10
@@ -42,11 +42,11 @@ def rarest_terms(windows: DataFrame, docs: DataFrame) -> DataFrame:
     """windows with word1, off1 and word2, off2: the two terms of the window
     that are rarest in the corpus, and where they first stand in it. A window
     of one term has it twice."""
-    vocabulary = materialise(windows.select(F.explode("words").alias("word")).distinct(), "vocabulary")
+    vocabulary = materialise(merged(windows.select(F.explode("words").alias("word")).distinct()), "vocabulary")
     counts = word_places(docs, "doc_id").join(small(vocabulary, "word"), "word").groupBy("word").agg(
         F.count("*").alias("n"))
     placed = (windows.select("item_id", "window_no", "words", F.posexplode("words").alias("off", "word"))
-              .join(materialise(counts, "term-counts"), "word", "left")
+              .join(materialise(merged(counts), "term-counts"), "word", "left")
               .groupBy("item_id", "window_no", "words", "word")
               .agg(F.min("off").alias("off"), F.first("n").alias("n")))
     ranked = placed.withColumn("r", F.row_number().over(
@@ -59,14 +59,14 @@ def rarest_terms(windows: DataFrame, docs: DataFrame) -> DataFrame:
 def rows_of(docs: DataFrame) -> DataFrame:
     """``docs``, written once with ``__row``, a number of each row's own. Lists
     are kept by it, so a null or repeated doc_id is like any other."""
-    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "decontamination-texts")
+    return materialise(merged(docs.withColumn("__row", F.monotonically_increasing_id()), 2), "decontamination-texts")
 
 
 def indexed(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``windows`` with their two rarest terms, and the postings of these."""
-    windows = materialise(rarest_terms(windows, docs), "windows")
+    windows = materialise(merged(rarest_terms(windows, docs)), "windows")
     terms = windows.select(F.explode(F.array("word1", "word2")).alias("word")).distinct()
-    return windows, materialise(postings(docs, small(terms, "word")), "postings")
+    return windows, materialise(merged(postings(docs, small(terms, "word")), 2), "postings")
 
 
 def window_starts(docs: DataFrame, windows: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import (_table, as_long, by_bytes, load, map_frames, materialise, mix64, only, prefix_hash,
-                                  window_hash)
+from lakeproof.llm.common import (_table, as_long, by_bytes, load, map_frames, materialise, merged, mix64, only,
+                                  prefix_hash, window_hash)
 
 WORDS, THRESHOLD = 5, 85
 COORDINATES, MISSED = 32, 1e-6
@@ -274,7 +274,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     def pairs(a, b):
         return F.greatest(a, b).alias("a"), F.least(a, b).alias("b")
 
-    edges = materialise(edges.where("a <> b").select(*pairs("a", "b")).distinct(), "edges")
+    edges = materialise(merged(edges.where("a <> b").select(*pairs("a", "b")).distinct()), "edges")
     mark = None
     for _ in range(rounds):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
@@ -284,7 +284,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         turned = (large.withColumn("k", _other("a")).join(low.select(_other("a").alias("k"), "m"), "k")
                   .where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        edges = materialise(low.select("a", F.col("m").alias("b")).union(turned).distinct(), "stars")
+        edges = materialise(merged(low.select("a", F.col("m").alias("b")).union(turned).distinct()), "stars")
         new = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
         if mark == new:
             break
@@ -304,10 +304,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """
     matches = matches_for(threshold)
     prefix = COORDINATES - matches + 1
-    signed = materialise(signatures(docs), "signed")
-    classes = materialise(
+    signed = materialise(merged(signatures(docs), 2), "signed")
+    classes = materialise(merged(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key_low", "key_high", "n_shingles")
-        .agg(F.min("doc_id").alias("node"), F.first("minima").alias("minima")), "classes")
+        .agg(F.min("doc_id").alias("node"), F.first("minima").alias("minima"))), "classes")
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -332,7 +332,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     found = components(candidates)
     found = found.union(found.select("root", "root").distinct())
-    found = materialise(found, "groups")
+    found = materialise(merged(found), "groups")
     sizes = found.groupBy("root").agg(F.count("*").alias("n")).select(_other("root").alias("k"), "n")
     group = (found.withColumn("k", _other("root")).join(sizes, "k")
              .select("node", F.col("root").alias("grp"), "n"))

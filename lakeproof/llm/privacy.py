@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import load, materialise, only
+from lakeproof.llm.common import load, materialise, merged, only
 from lakeproof.llm.words import BREAK, WORD, ascii_lower, small
 
 KINDS = {
@@ -118,39 +118,39 @@ def disclosing_terms(named: DataFrame, docs: DataFrame, min_texts: int = MIN_TEX
     entities and words that can't reach a threshold with any partner are taken
     out before they are paired, which changes no result.
     """
-    texts = materialise(
+    texts = materialise(merged(
         named.groupBy(F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("id"))
         .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("spans").alias("spans"))
         .select("id", "copies", _named().alias("entities"),
-                F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1)).alias("words")), "named-texts")
+                F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1)).alias("words")), 2), "named-texts")
     n = docs.count()
     entities = texts.select("id", "copies", F.explode("entities").alias("entity"))
     # (an entity that all documents name has no information)
-    n_e = materialise(entities.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_e"))
-                      .where((F.col("texts") >= min_texts) & (F.col("n_e") < n)).select("entity", "n_e"), "n-e")
-    asked = materialise(entities.select("id", "entity").join(small(n_e, "entity"), "entity"), "asked")
+    n_e = materialise(merged(entities.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_e"))
+                      .where((F.col("texts") >= min_texts) & (F.col("n_e") < n)).select("entity", "n_e")), "n-e")
+    asked = materialise(merged(entities.select("id", "entity").join(small(n_e, "entity"), "entity")), "asked")
     words = (texts.join(small(asked.select("id").distinct(), "id"), "id", "left_semi")
              .select("id", "copies", F.explode("words").alias("word")).where("word <> ''"))
-    near = materialise(words.groupBy("word").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_near"))
-                       .where(F.col("texts") >= min_texts).select("word", "n_near"), "near-terms")
+    near = materialise(merged(words.groupBy("word").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_near"))
+                       .where(F.col("texts") >= min_texts).select("word", "n_near")), "near-terms")
     # n(t) over the whole corpus, for the words in question only
     # (a text's own words are made distinct in place, so counts alone are dealt)
     own = F.array_distinct(F.split(ascii_lower(F.col("text")), BREAK, -1))
     n_t = (docs.select(F.explode(own).alias("word")).join(small(near.select("word"), "word"), "word")
            .groupBy("word").agg(F.count("*").alias("n_t")))
     # n(e, t) is at most n(e) and at most the documents in question with the word
-    candidates = materialise(near.join(n_t, "word").where(F.col("n_near") / F.col("n_t") >= min_chance)
-                             .select("word", "n_t"), "candidates")
-    seen = materialise(
+    candidates = materialise(merged(near.join(n_t, "word").where(F.col("n_near") / F.col("n_t") >= min_chance)
+                             .select("word", "n_t")), "candidates")
+    seen = materialise(merged(
         words.join(small(candidates, "word"), "word").join(small(asked, "id", "entity"), "id")
-        .where(F.col("n_e") / F.col("n_t") >= min_chance), "seen")
+        .where(F.col("n_e") / F.col("n_t") >= min_chance), 2), "seen")
     bits = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     own_bits = F.log2(F.lit(float(n)) / F.col("n_e"))
     # (1e-9: shares equal to the threshold count, whatever the logarithms' rounding)
     pairs = (seen.groupBy("entity", "word", "n_e", "n_t").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_et"))
              .where((F.col("texts") >= min_texts) & (bits >= own_bits * min_share - 1e-9)
                     & (F.col("n_et") / F.col("n_t") >= min_chance)))
-    pairs = materialise(pairs.select("entity", "word"), "pairs")
+    pairs = materialise(merged(pairs.select("entity", "word")), "pairs")
     return (seen.join(small(pairs, "entity", "word"), ["entity", "word"])
             .groupBy("id").agg(F.collect_set("word").alias("words")))
 
@@ -163,8 +163,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     spans that touch a base span are left out.
     """
     found = docs.withColumn("base", base_spans("coalesce(text, '')"))
-    named = materialise(found.where("size(base) > 0").select("text", F.col("base").alias("spans")), "named")
-    told = materialise(disclosing_terms(named, docs).select(F.col("id").alias("__id"), F.col("words").alias("__terms")), "told")
+    named = materialise(merged(found.where("size(base) > 0").select("text", F.col("base").alias("spans")), 2), "named")
+    told = materialise(merged(disclosing_terms(named, docs).select(F.col("id").alias("__id"), F.col("words").alias("__terms"))), "told")
     told = small(told.withColumn("__size", F.concat_ws(" ", "__terms")), "__id", "__size").drop("__size")
     key = F.when(F.size("base") > 0, F.sha2("text", 256))
     joined = found.withColumn("__key", key).join(told, F.col("__key") == F.col("__id"), "left")

@@ -100,6 +100,12 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def read_bytes(df: DataFrame) -> int:
+    """Bytes of all tables that a frame is made from, by the plan's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length()))
+
+
 @contextmanager
 def sized_shuffle(spark: SparkSession, n_bytes: int) -> Iterator[None]:
     """While the block runs, at least as many shuffle partitions as ``scale_conf``

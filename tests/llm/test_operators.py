@@ -1,6 +1,7 @@
 """Every training-data query against brute force on the awkward tables."""
 
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -14,7 +15,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lakeproof.llm import neardup, packing, privacy, quality, sharding, suffix, topk
+from lakeproof.llm.common import materialise
 from lakeproof.llm.queries import ORACLES, QUERIES
+from lakeproof.session import ensure_checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -395,3 +398,26 @@ def test_pipeline_stages_merge_small_splits(spark, tables):
     for stage in (corpus_pipeline.quality, corpus_pipeline.near_dedup):
         assert stage(spark, docs, tables).rdd.getNumPartitions() <= cores * 4
     assert corpus_pipeline.parts(docs, spark.range(1)).count() == docs.count()
+
+
+def test_tables_written_inside_merge_small_parts(spark, tables):
+    cores = spark.sparkContext.defaultParallelism
+    held = {"spark.sql.shuffle.partitions": str(cores * 4 + 20), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    home = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "llm"
+    old = set(home.glob("*"))
+    rows = spark.read.parquet(f"{tables}/documents.parquet").repartition(cores * 4 + 20)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        docs = materialise(rows, "small-parts")
+        assert len(docs.inputFiles()) > cores * 4
+        for stage in (corpus_pipeline.near_dedup, corpus_pipeline.decontamination, corpus_pipeline.pii):
+            stage(spark, docs, tables).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {f.name.rsplit("-", 1)[0]: len(list(f.glob("part-*"))) for f in set(home.glob("*")) - old}
+    assert files.pop("small-parts") > cores * 4
+    assert len(files) > 12 and max(files.values()) <= cores * 2, files
+    assert max(files[n] for n in ("classes", "vocabulary", "term-counts", "windows", "near-terms")) <= cores, files
