@@ -121,7 +121,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
     """Weights (bias last) by Newton's method with a ridge penalty."""
-    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+    x = np.column_stack([x, np.ones(len(x))]).astype(np.float64, copy=False)
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
@@ -136,8 +136,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
     return w
 
 
-def _logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return x @ w[:-1] + w[-1]
+def _logit(x: np.ndarray, w: np.ndarray, rows: int = 2048) -> np.ndarray:
+    """By blocks of rows, as a block of single precision is copied in double."""
+    blocks = [x[lo:lo + rows] @ w[:-1] for lo in range(0, len(x), rows)]
+    return np.concatenate([np.zeros(0), *blocks]) + w[-1]
 
 
 class TextView:
@@ -146,20 +148,22 @@ class TextView:
     def __init__(self, doc: np.ndarray, bucket: np.ndarray, y: np.ndarray, rows: np.ndarray):
         label = np.full(max(len(y), int(doc.max(initial=0)) + 1), -1, np.int8)
         label[rows] = y[rows]
-        hits, seen = np.zeros(BUCKETS), np.zeros(BUCKETS)
-        for lo in range(0, len(doc), 1 << 20):
-            own, found = label[doc[lo:lo + (1 << 20)]], bucket[lo:lo + (1 << 20)]
-            seen += np.bincount(found[own >= 0], minlength=BUCKETS)
-            hits += np.bincount(found[own > 0], minlength=BUCKETS)
+        hits, seen = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.int32)
+        for lo in range(0, len(doc), 1 << 18):
+            own, found = label[doc[lo:lo + (1 << 18)]], bucket[lo:lo + (1 << 18)]
+            np.add.at(seen, found[own >= 0], 1)
+            np.add.at(hits, found[own > 0], 1)
         n, pos = len(rows), max(float(y[rows].sum()), 1e-9)
-        expected = seen * pos / n
         # chi-squared of presence against class, for buckets seen often enough
+        often = np.flatnonzero(seen >= 5)
+        hits, seen = hits[often].astype(float), seen[often].astype(float)
+        expected = seen * pos / n
         with np.errstate(divide="ignore", invalid="ignore"):
             chi = (hits - expected) ** 2 / (expected * (1 - pos / n) * (1 - seen / n))
-        chi[(seen < 5) | ~np.isfinite(chi)] = 0
+        chi[~np.isfinite(chi)] = 0
         best = np.argsort(-chi, kind="stable")[:FEATURES]
         self.picked = np.full(BUCKETS, -1, np.int32)
-        best = best[chi[best] > 0]
+        best = often[best[chi[best] > 0]]
         self.picked[best] = np.arange(len(best))
         self.width = max(len(best), 1)
 
@@ -257,6 +261,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[str, dict | None]:
     features = (np.repeat(np.arange(len(frame), dtype=np.int32), sizes),
                 np.frombuffer(b"".join(frame.pop("buckets")), np.int32))
     meta = np.frombuffer(b"".join(frame.pop("meta")), np.float64).reshape(len(frame), -1)
+    pa.default_memory_pool().release_unused()  # what the collected features held
     return {t: co_train(features, meta, frame[t].to_numpy(float)) for t in TARGETS}
 
 
